@@ -1,0 +1,64 @@
+"""Spark result against the DuckDB oracle: same columns, rows and values."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+
+import duckdb
+
+TABLES = "region nation customer supplier part orders lineitem events".split()
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    return con
+
+
+def _kind(v):
+    if isinstance(v, bool):
+        return "bool"
+    if isinstance(v, dt.datetime):
+        return "timestamp"
+    return type(v).__name__
+
+
+def _plain(v):
+    if isinstance(v, decimal.Decimal):
+        return ("decimal", str(v))
+    if isinstance(v, float) and math.isnan(v):
+        return "nan"
+    return v
+
+
+def rows_of(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    out = [tuple(_plain(r[i]) for i in order) for r in rows]
+    return sorted(out, key=lambda r: tuple((v is None, str(type(v)), v if v is not None else 0) for v in r))
+
+
+def compare(df, con, sql: str) -> list[str]:
+    """Differences, empty if the two results are equal."""
+    got = rows_of(df.columns, df.collect())
+    cur = con.execute(sql)
+    names = [c[0] for c in cur.description]
+    want = rows_of(names, cur.fetchall())
+    problems = []
+    if sorted(df.columns) != sorted(names):
+        return [f"columns {sorted(df.columns)} != {sorted(names)}"]
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema}
+    same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+    for c in cur.description:
+        t = str(c[1]).upper()
+        want_t = same.get(spark_types[c[0]], spark_types[c[0]])
+        if t not in (want_t, "STRING" if want_t == "VARCHAR" else want_t, "NUMBER" if want_t in ("BIGINT", "INTEGER", "DOUBLE") else want_t, "BOOL" if want_t == "BOOLEAN" else want_t):
+            problems.append(f"type of {c[0]}: {spark_types[c[0]]} vs {t}")
+    if len(got) != len(want):
+        problems.append(f"rows {len(got)} != {len(want)}")
+    bad = [(g, w) for g, w in zip(got, want) if g != w]
+    if bad:
+        problems.append(f"{len(bad)} rows differ, first: {bad[0][0]} != {bad[0][1]} ({sorted(names)})")
+    return problems
