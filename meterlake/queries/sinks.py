@@ -16,71 +16,77 @@ from meterlake.session import shared_dir
 from meterlake.sinks import reports, tables
 from meterlake.plans.validation import quality_long, quality_profile
 
-CUT_LO, CUT_HI = "1998-01-01", "1998-12-31"
+# The new export of replace_range holds these two days only.
+FIRST, LAST = "2024-01-10", "2024-01-20"
+TARGET = "2024-01-15"
 
 
 @contextmanager
 def _table(s, name: str):
-    """A declared table at a fresh place, in a database of its own."""
+    """A declared, managed table in a database of its own at a fresh place."""
     at = shared_dir(s, name)
-    db = "m" + at.rsplit("-", 5)[-1].replace("-", "")
-    s.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{at}/db'")
-    yield tables.create_table(s, name, f"{db}.{name}", f"{at}/{name}"), f"{at}/{name}"
+    db = "run_" + at.rsplit("-", 1)[-1]
+    s.sql(f"CREATE DATABASE {db} LOCATION '{at}'")
+    yield tables.create_table(s, name, f"{db}.{name}"), f"{at}/{name}"
 
 
 def _back(s, path: str, name: str) -> DataFrame:
     return s.read.schema(s.table(name).schema).parquet(path)
 
 
+def _events(s, d) -> DataFrame:
+    return P.app_usage_logs(s, d).drop("activity_timestamp")
+
+
 def _daily(df: DataFrame) -> DataFrame:
-    return df.groupBy("activity_date").agg(
+    return df.groupBy("activity_date", "event_type").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum("amount_usd").cast("double").alias("amount_usd"),
-        F.count("ingestion_timestamp").alias("stamped"),
+        F.countDistinct("event_id").alias("event_ids"),
+        F.countDistinct("user_email").alias("users"),
     )
 
 
+_DAILY = "SELECT activity_date, event_type, COUNT(*) AS rows, COUNT(DISTINCT event_id) AS event_ids, COUNT(DISTINCT user_email) AS users"
+
+
 def append_rows(s, d):
     """Two appends store the rows twice, each stamped with its load time."""
-    rows = P.claude_costs(s, d).drop("ingestion_timestamp")
-    with _table(s, "claude_costs") as (t, path):
-        tables.append(rows, t)
-        tables.append(rows, t)
-        return _daily(_back(s, path, t))
+    with _table(s, "claude_ai_usage_stats") as (t, path):
+        for _ in range(2):
+            tables.append(_events(s, d), t)
+        return _daily(_back(s, path, t).filter("ingestion_timestamp IS NOT NULL"))
 
 
 def replace_date(s, d):
-    """The busiest calendar year's first order day is replaced twice by its web searches."""
-    rows = P.claude_costs(s, d)
-    with _table(s, "claude_costs") as (t, path):
-        tables.append(rows, t)
+    """One day is replaced, twice, by its project events; the other days stay."""
+    new = _events(s, d).filter("event_type = 'project_created'")
+    with _table(s, "claude_ai_usage_stats") as (t, path):
+        tables.append(_events(s, d), t)
         for _ in range(2):
-            tables.replace_date(rows.filter("cost_type = 'web_search'"), t, "1999-03-01")
+            tables.replace_date(new, t, TARGET)
         return _daily(_back(s, path, t))
 
 
+def _new_export(s, d) -> DataFrame:
+    return _events(s, d).filter(F.col("activity_date").isin(FIRST, LAST) & (F.col("event_type") == "project_created"))
+
+
 def replace_range(s, d):
-    """A year is replaced by an export that holds only its web searches; other days of it go."""
-    rows = P.claude_costs(s, d)
-    new = rows.filter((F.col("cost_type") == "web_search") & F.col("activity_date").between(CUT_LO, CUT_HI))
-    with _table(s, "claude_costs") as (t, path):
-        tables.append(rows, t)
+    """An export of two days replaces, twice, everything from the first to the last."""
+    with _table(s, "claude_ai_usage_stats") as (t, path):
+        tables.append(_events(s, d), t)
         for _ in range(2):
-            tables.replace_range(new, t)
+            tables.replace_range(_new_export(s, d), t)
         return _daily(_back(s, path, t))
 
 
 def range_replaced(s, d):
-    rows = P.claude_costs(s, d)
-    new = rows.filter((F.col("cost_type") == "web_search") & F.col("activity_date").between(CUT_LO, CUT_HI))
-    return _daily(tables.range_replaced(rows, new))
+    """The same result as a DataFrame."""
+    return _daily(tables.range_replaced(_events(s, d), _new_export(s, d)))
 
 
-_REPLACED = f"""
-WITH n AS (SELECT * FROM costs WHERE cost_type = 'web_search' AND activity_date BETWEEN DATE '{CUT_LO}' AND DATE '{CUT_HI}'),
-b AS (SELECT MIN(activity_date) AS lo, MAX(activity_date) AS hi FROM n),
-u AS (SELECT activity_date, amount_usd FROM costs, b WHERE activity_date < lo OR activity_date > hi UNION ALL SELECT activity_date, amount_usd FROM n)
-SELECT activity_date, COUNT(*) AS rows, {dbl('SUM(amount_usd)')} AS amount_usd, COUNT(*) AS stamped FROM u GROUP BY 1"""
+_REPLACED = f"""{_DAILY} FROM logs WHERE activity_date < DATE '{FIRST}' OR activity_date > DATE '{LAST}'
+  OR (activity_date IN (DATE '{FIRST}', DATE '{LAST}') AND event_type = 'project_created') GROUP BY 1, 2"""
 
 
 def update_spend(s, d):
@@ -111,14 +117,9 @@ def export_roundtrip(s, d):
 
 
 QUERIES = {
-    "append_rows": Query(
-        append_rows,
-        f"SELECT activity_date, COUNT(*) * 2 AS rows, {dbl('SUM(amount_usd) * 2')} AS amount_usd, COUNT(*) * 2 AS stamped FROM costs GROUP BY 1",
-    ),
+    "append_rows": Query(append_rows, f"{_DAILY.replace('COUNT(*)', '2 * COUNT(*)')} FROM logs GROUP BY 1, 2"),
     "replace_date": Query(
-        replace_date,
-        f"""SELECT activity_date, COUNT(*) AS rows, {dbl('SUM(amount_usd)')} AS amount_usd, COUNT(*) AS stamped FROM costs
-WHERE activity_date <> DATE '1999-03-01' OR cost_type = 'web_search' GROUP BY 1""",
+        replace_date, f"{_DAILY} FROM logs WHERE activity_date <> DATE '{TARGET}' OR event_type = 'project_created' GROUP BY 1, 2"
     ),
     "replace_range": Query(replace_range, _REPLACED),
     "range_replaced": Query(range_replaced, _REPLACED),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,5 +43,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="meterlake-")
         spark.conf.set("spark.checkpoint.dir", root)
-    run = spark.sql("SELECT uuid()").first()[0]
-    return f"{root.rstrip('/')}/{name}-{run}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

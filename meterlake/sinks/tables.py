@@ -97,7 +97,8 @@ def replace_date(df: DataFrame, table: str, target: Day) -> None:
 def replace_range(df: DataFrame, table: str) -> tuple[str, str] | None:
     """Replace every day from the first to the last day of df.
 
-    Days in between that df has no rows for are removed as well. Empty input
+    Days in between that df has no rows for are removed as well; of an external
+    table only the catalog entry goes, its files are the owner's. Empty input
     changes nothing. Returns the range.
     """
     col, spark = spec_of(table).partition, df.sparkSession
