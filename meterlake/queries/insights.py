@@ -84,18 +84,16 @@ s AS (SELECT {big('SUM(n)')} AS total_records, ROUND({sdiv('SUM(filled) * 100',
 SELECT *, ROUND((completeness + accuracy + validity + consistency + freshness) / 5, 2) AS quality_score,
   completeness >= 95 AS completeness_ok, accuracy >= 98 AS accuracy_ok, validity >= 99 AS validity_ok FROM s"""
 
-RULES = {
-    **I.required("client_platform"),
-    **I.not_in("event_type", ["conversation_created", "file_uploaded", "project_created", "project_document_created"]),
-    **I.bad_email("user_email"),
-    **I.negative("event_id"),
-}
-
-
 def _checked(s, d):
     logs = P.app_usage_logs(s, d).select("event_id", "user_email", "event_type", "client_platform")
     known = P.dim_api_keys(s, d).select(F.lower("mapped_user_email").alias("user_email"))
-    return I.validate_rows(logs, RULES, {"user_email": (known, "user_email")})
+    rules = {
+        **I.required("client_platform"),
+        **I.not_in("event_type", ["conversation_created", "file_uploaded", "project_created", "project_document_created"]),
+        **I.bad_email("user_email"),
+        **I.negative("event_id"),
+    }
+    return I.validate_rows(logs, rules, {"user_email": (known, "user_email")})
 
 
 _CHECKED = """

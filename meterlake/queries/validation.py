@@ -49,7 +49,7 @@ def _sums(*cols: str) -> str:
 
 def _profile(proxy, name, rules, sql_rules, view, col="activity_date", distinct=None, start=START, end=END):
     def run(spark, d):
-        return V.quality_profile(proxy(spark, d), name, rules, start, end, col, distinct)
+        return V.quality_profile(proxy(spark, d), name, rules(), start, end, col, distinct)
 
     counts = ", ".join(f"COUNT(*) FILTER ({cond}) AS {k}" for k, cond in sql_rules.items())
     uniques = "".join(f", COUNT(DISTINCT {c}) AS {k}" for k, c in (distinct or {}).items())
@@ -58,28 +58,41 @@ WHERE {col} BETWEEN DATE '{start}' AND DATE '{end}') SELECT *, GREATEST({', '.jo
     return Query(run, sql)
 
 
-EDITOR_RULES = {
-    **V.null_rules("user_email", "user_id", "activity_date"),
-    **V.future_rule("activity_date", "2001-06-30"),
-    **V.negative_rules("total_lines_added", "total_rejects"),
-}
+# Rules are built when a query runs: a Column needs a session.
+def _editor_rules():
+    return {
+        **V.null_rules("user_email", "user_id", "activity_date"),
+        **V.future_rule("activity_date", "2001-06-30"),
+        **V.negative_rules("total_lines_added", "total_rejects"),
+    }
+
+
+def _spend_rules():
+    return {
+        **V.null_rules("user_email", "snapshot_date", "billing_cycle_start"),
+        **V.future_rule("snapshot_date", EVENTS_AS_OF),
+        **V.negative_rules("total_spend_cents", "spend_cents", "included_spend_cents"),
+    }
+
+
+def _log_rules():
+    return {
+        **V.null_rules("user_email", "event_type", "activity_date", "client_platform", "event_id"),
+        **V.future_rule("activity_date", "2024-01-28"),
+    }
+
+
 EDITOR_SQL = {
     "null_user_email": "user_email IS NULL", "null_user_id": "user_id IS NULL", "null_activity_date": "activity_date IS NULL",
     "future_dates": "activity_date > DATE '2001-06-30'",
     "negative_total_lines_added": "total_lines_added < 0", "negative_total_rejects": "total_rejects < 0",
 }
-SPEND_RULES = {
-    **V.null_rules("user_email", "snapshot_date", "billing_cycle_start"),
-    **V.future_rule("snapshot_date", EVENTS_AS_OF),
-    **V.negative_rules("total_spend_cents", "spend_cents", "included_spend_cents"),
-}
 SPEND_SQL = {
     "null_user_email": "user_email IS NULL", "null_snapshot_date": "snapshot_date IS NULL",
     "null_billing_cycle_start": "billing_cycle_start IS NULL", "future_dates": f"snapshot_date > DATE '{EVENTS_AS_OF}'",
     "negative_total_spend_cents": "total_spend_cents < 0", "negative_spend_cents": "spend_cents < 0",
     "negative_included_spend_cents": "included_spend_cents < 0",
 }
-LOG_RULES = {**V.null_rules("user_email", "event_type", "activity_date", "client_platform", "event_id"), **V.future_rule("activity_date", "2024-01-28")}
 LOG_SQL = {
     "null_user_email": "user_email IS NULL", "null_event_type": "event_type IS NULL", "null_activity_date": "activity_date IS NULL",
     "null_client_platform": "client_platform IS NULL", "null_event_id": "event_id IS NULL", "future_dates": "activity_date > DATE '2024-01-28'",
@@ -87,8 +100,8 @@ LOG_SQL = {
 
 
 def _quality_report(s, d):
-    editor = V.quality_profile(P.cursor_usage_stats(s, d), "editor", EDITOR_RULES, START, END)
-    spend = V.quality_profile(P.spend_snapshots(s, d), "spend", SPEND_RULES, EVENTS_START, EVENTS_END, "snapshot_date")
+    editor = V.quality_profile(P.cursor_usage_stats(s, d), "editor", _editor_rules(), START, END)
+    spend = V.quality_profile(P.spend_snapshots(s, d), "spend", _spend_rules(), EVENTS_START, EVENTS_END, "snapshot_date")
     return V.quality_long(editor).unionByName(V.quality_long(spend))
 
 
@@ -266,12 +279,12 @@ FROM spend GROUP BY 1""",
   STRING_AGG(DISTINCT most_used_model, ',' ORDER BY most_used_model) AS models_used
 FROM editor WHERE {RANGE} GROUP BY 1 ORDER BY total_requests DESC NULLS LAST, user_email NULLS LAST LIMIT 20""",
     ),
-    "quality_editor_usage": _profile(P.cursor_usage_stats, "Cursor Usage Stats Quality", EDITOR_RULES, EDITOR_SQL, "editor"),
+    "quality_editor_usage": _profile(P.cursor_usage_stats, "Cursor Usage Stats Quality", _editor_rules, EDITOR_SQL, "editor"),
     "quality_spend": _profile(
-        P.spend_snapshots, "Cursor Spending Quality", SPEND_RULES, SPEND_SQL, "spend", "snapshot_date", start=EVENTS_START, end=EVENTS_END
+        P.spend_snapshots, "Cursor Spending Quality", _spend_rules, SPEND_SQL, "spend", "snapshot_date", start=EVENTS_START, end=EVENTS_END
     ),
     "quality_app_logs": _profile(
-        P.app_usage_logs, "Claude AI Usage Stats Quality", LOG_RULES, LOG_SQL, "logs",
+        P.app_usage_logs, "Claude AI Usage Stats Quality", _log_rules, LOG_SQL, "logs",
         distinct={"unique_event_ids": "event_id"}, start=EVENTS_START, end=EVENTS_END,
     ),
     "quality_report": Query(_quality_report, _QUALITY),

@@ -1,0 +1,35 @@
+"""Every registered query equals its SQL on the same tables."""
+
+import pytest
+from compare import compare, connect
+
+from meterlake.queries import all_queries
+
+QUERIES = all_queries()
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_oracle(spark, con, sf_dir, name):
+    query = QUERIES[name]
+    df = query.run(spark, sf_dir)
+    assert query.sql is not None
+    assert compare(df, con, query.oracle) == []
+
+
+def test_entry_contract(spark):
+    import __spark_entry__ as e
+
+    assert e.queries().keys() == QUERIES.keys()
+    assert e.oracle_sql().keys() <= e.queries().keys()
+    assert e.entry(spark).count() > 0
+
+
+def test_results_are_not_empty(sf_dir, con):
+    """An oracle that returns nothing would prove nothing."""
+    empty = [n for n, q in QUERIES.items() if con.execute(f"SELECT COUNT(*) FROM ({q.oracle}) q").fetchall()[0][0] == 0]
+    assert empty == []
