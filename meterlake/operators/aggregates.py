@@ -15,9 +15,12 @@ def pct_of_total(df: DataFrame, col: str, alias: str = "pct_of_total", places: i
     """Each row's share of the column total, in percent.
 
     The total is a scalar subquery: unlike a window without partitions it does
-    not move all groups into one task.
+    not move all groups into one task. It reads every column of ``df`` so that
+    its plan below the sum equals that of ``df``, and Spark runs the shuffle
+    they share once.
     """
-    total = df.agg(F.sum(col)).scalar()
+    every = F.max(F.struct(*df.columns))
+    total = df.agg(F.struct(F.sum(col).alias("total"), every)).scalar()["total"]
     return df.withColumn(alias, F.round(safe_divide(F.col(col) * 100, total), places))
 
 
@@ -65,7 +68,8 @@ def global_rank(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
     hist = hist.withColumn("_cuts", cuts)
     hist = hist.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
 
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # ≤ buckets rows
+    order = Window.orderBy("_b")  # over at most buckets + 1 rows
+    before, whole = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     offsets = (
         hist.groupBy("_b")
         .agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
@@ -73,16 +77,18 @@ def global_rank(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
             "_b",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
             F.coalesce(F.sum("_values").over(before), F.lit(0)).alias("_values_before"),
+            F.sum("_rows").over(whole).alias("_total"),
         )
     )
-    total = hist.agg(F.sum("_n")).scalar()
     within = Window.partitionBy("_b").orderBy(value)
     smaller = within.rowsBetween(Window.unboundedPreceding, -1)
-    ranks = hist.join(offsets, "_b").select(
+    # A left join, though every bucket matches: an inner one would push a NULL
+    # check on the bucket, and with it the bucket search, down to every row.
+    ranks = hist.join(offsets, "_b", "left").select(
         value,
         (F.col("_rows_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0)) + 1).alias("rank"),
         (F.col("_values_before") + F.row_number().over(within)).cast("bigint").alias("dense_rank"),
-        total.alias("_total"),
+        "_total",
     )
     ranks = ranks.withColumn(
         "percent_rank", F.when(F.col("_total") > 1, safe_divide(F.col("rank") - 1, F.col("_total") - 1)).otherwise(0.0)

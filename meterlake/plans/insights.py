@@ -37,14 +37,14 @@ def _monthly(costs: DataFrame, *keys: str) -> DataFrame:
 
 
 def _with_previous(months: DataFrame, *keys: str) -> DataFrame:
-    """Add the calendar month before, by a join on the shifted month.
+    """Add the cost of the calendar month before; NULL if that month is missing.
 
-    Months are aggregated already. The join needs no window over all months in
-    one task and, unlike lag, does not take an earlier month for the previous one
-    if a month is missing.
+    There is one row per calendar month (and key) by now, so the window is
+    small, and the costs are read once.
     """
-    prev = months.select(*keys, F.add_months("cost_month", 1).cast("date").alias("cost_month"), F.col("cost").alias("previous"))
-    return months.join(prev, [*keys, "cost_month"], "left")
+    w = Window.partitionBy(*keys).orderBy("cost_month")
+    follows = F.lag("cost_month").over(w) == F.add_months("cost_month", -1)
+    return months.withColumn("previous", F.when(follows, F.lag("cost").over(w)))
 
 
 def _mom() -> Column:
@@ -54,8 +54,8 @@ def _mom() -> Column:
 def monthly_finance(costs: DataFrame) -> DataFrame:
     """Monthly cost per provider with growth, trend band, run rate and share of the month."""
     months = _with_previous(_monthly(costs, "provider"), "provider")
-    totals = _monthly(costs).select("cost_month", F.col("cost").alias("month_cost"))
-    out = months.join(totals, "cost_month").select(
+    months = months.withColumn("month_cost", F.sum("cost").over(Window.partitionBy("cost_month")))
+    out = months.select(
         "cost_month",
         month_key("cost_month").alias("month_year_label"),
         F.col("provider").alias("platform"),
@@ -108,11 +108,11 @@ def productivity_metrics(usage: DataFrame, grain: str = "month") -> DataFrame:
     The tier is the user's quartile over all (user, period) rows by the rate
     rounded to four places.
     """
-    period = GRAINS[grain]("activity_date").alias("period_start")
-    rows = usage.groupBy(period, "user_email").agg(
-        F.sum("total_lines_added").cast("bigint").alias("lines_added"),
-        F.sum("accepted_lines_added").cast("bigint").alias("lines_accepted"),
-        F.countDistinct("activity_date").alias("active_days"),
+    days = usage.groupBy("activity_date", "user_email").agg(
+        F.sum("total_lines_added").cast("bigint").alias("added"), F.sum("accepted_lines_added").cast("bigint").alias("accepted")
+    )
+    rows = days.groupBy(GRAINS[grain]("activity_date").alias("period_start"), "user_email").agg(
+        F.sum("added").alias("lines_added"), F.sum("accepted").alias("lines_accepted"), F.count("activity_date").alias("active_days")
     )
     rows = rows.withColumn("acceptance_rate", F.round(safe_divide("lines_accepted", "lines_added"), 4))
     ranked = global_rank(rows, "acceptance_rate")
@@ -184,9 +184,8 @@ def executive_summary(costs: DataFrame, monthly_budget: float = 73000.0 / 3) ->
         F.countDistinct("user_email").alias("active_users"),
         *[sum_if(F.col("provider") == p, "amount_usd").alias(f"{p}_cost") for p in (API, IDE, EDITOR)],
     )
-    prev = rows.select(F.add_months("cost_month", 1).cast("date").alias("cost_month"), F.col("cost").alias("previous"))
     budget = F.lit(f"{monthly_budget:.6f}").cast("decimal(18,6)")
-    return rows.join(prev, "cost_month", "left").select(
+    return _with_previous(rows).select(
         "cost_month",
         usd("cost").alias("total_cost_usd"),
         "active_users",
@@ -246,22 +245,17 @@ def tool_comparison(editor_usage: DataFrame, ide_usage: DataFrame) -> DataFrame:
 def cost_anomaly(costs: DataFrame, pct: float = 120.0, days: int = 7) -> DataFrame:
     """Days that cost more than pct percent of the mean of the days before.
 
-    Days without cost count as 0. Every daily total is added to each of the
-    ``days`` days after it, which needs no window over the whole calendar; a day
-    with fewer than ``days`` days before it divides by those it has.
+    Days without cost count as 0; a day with fewer than ``days`` days before it
+    divides by those it has. The window holds one row per calendar day.
     """
     daily = costs.groupBy("cost_date").agg(F.sum("amount_usd").alias("cost"))
-    first = daily.agg(F.min("cost_date")).scalar()
-    ahead = daily.select(
-        F.explode(F.transform(F.sequence(F.lit(1), F.lit(days)), lambda k: F.date_add("cost_date", k))).alias("cost_date"),
-        F.col("cost").alias("earlier"),
-    )
-    before = ahead.groupBy("cost_date").agg(F.sum("earlier").alias("before"))
-    seen = F.least(F.datediff("cost_date", first), F.lit(days))
-    mean = safe_divide(F.coalesce("before", F.lit(0)), seen)
-    out = daily.join(before, "cost_date", "left").withColumn("mean", F.round(mean, 6))
+    daily = daily.withColumn("n", F.datediff("cost_date", F.lit("1970-01-01").cast("date")))
+    w = Window.orderBy("n")
+    before = F.coalesce(F.sum("cost").over(w.rangeBetween(-days, -1)), F.lit(0))
+    seen = F.least(F.col("n") - F.min("n").over(w), F.lit(days))
+    out = daily.select("cost_date", "cost", seen.alias("seen"), F.round(safe_divide(before, seen), 6).alias("mean"))
     over = F.col("cost").cast("double") > F.col("mean") * (pct / 100)
-    return out.filter((F.datediff("cost_date", first) > 0) & over).select(
+    return out.filter((F.col("seen") > 0) & over).select(
         "cost_date",
         usd("cost").alias("daily_cost_usd"),
         F.round("mean", 2).alias("trailing_mean_usd"),

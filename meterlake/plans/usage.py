@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.dates import Day, week_start
-from meterlake.functions.numbers import count_big, count_distinct_if, percent, safe_divide
+from meterlake.functions.numbers import arg_max, count_big, count_distinct_if, percent, safe_divide
 from meterlake.operators.aggregates import pct_of_total
 from meterlake.operators.filters import trailing
 from meterlake.operators.joins import self_join_shift
@@ -51,8 +51,8 @@ def user_productivity_profile(logs: DataFrame, as_of: Day, days: int = 30, per_u
     most events over *all* users and dates; ``per_user`` ranks by the user's
     own events in the window instead. Ties go to the smaller name.
 
-    Counts are taken per (user, platform) first, so the whole-table count is
-    joined to at most a handful of rows per user, not to every event.
+    A user's platforms are collected as a set with the other figures, so the
+    events are not read again to join them. Platforms are a handful of names.
     """
     recent = _recent(logs, as_of, days)
     keys = ["user_email", "user_name"]
@@ -66,21 +66,29 @@ def user_productivity_profile(logs: DataFrame, as_of: Day, days: int = 30, per_u
         _n(PROJECT).alias("projects_created"),
         F.countDistinct("project_uuid").alias("unique_projects"),
         score.cast("bigint").alias("engagement_score"),
+        F.collect_set("client_platform").alias("_platforms"),
     )
-    touched = recent.filter(F.col("client_platform").isNotNull()).groupBy(*keys, "client_platform").agg(count_big().alias("n"))
-    if not per_user:
-        overall = logs.filter(F.col("client_platform").isNotNull()).groupBy("client_platform").agg(count_big().alias("n"))
-        touched = touched.drop("n").join(overall, "client_platform")
-    preferred = touched.groupBy(*keys).agg(
-        F.min_by("client_platform", F.struct((-F.col("n")).alias("n"), "client_platform")).alias("preferred_platform")
-    )
-    same_user = [profile[k].eqNullSafe(preferred[k]) for k in keys]
-    out = profile.join(preferred, same_user[0] & same_user[1], "left").select(
-        *[profile[c] for c in profile.columns], "preferred_platform"
-    )
+    out = _own_platform(profile, recent, keys) if per_user else _global_platform(profile, logs)
     return out.orderBy(F.col("engagement_score").desc(), "user_email")
 
 
+def _global_platform(profile: DataFrame, logs: DataFrame) -> DataFrame:
+    counts = logs.filter(F.col("client_platform").isNotNull()).groupBy("client_platform").agg(count_big().alias("n"))
+    overall = counts.agg(F.map_from_entries(F.collect_list(F.struct("client_platform", "n")))).scalar()
+    ranked = F.transform("_platforms", lambda p: F.struct((-F.col("_overall")[p]).alias("n"), p.alias("p")))
+    return profile.withColumn("_overall", overall).withColumn("preferred_platform", F.array_min(ranked)["p"]).drop(
+        "_overall", "_platforms"
+    )
+
+
+def _own_platform(profile: DataFrame, recent: DataFrame, keys: list[str]) -> DataFrame:
+    touched = recent.filter(F.col("client_platform").isNotNull()).groupBy(*keys, "client_platform").agg(count_big().alias("n"))
+    best = touched.groupBy(*keys).agg(arg_max("client_platform", "n").alias("preferred_platform"))
+    profile = profile.drop("_platforms")
+    same_user = profile["user_email"].eqNullSafe(best["user_email"]) & profile["user_name"].eqNullSafe(best["user_name"])
+    return profile.join(best, same_user, "left").select(*[profile[c] for c in profile.columns], "preferred_platform")
+
+
 def research_power_users(logs: DataFrame, as_of: Day, days: int = 30) -> DataFrame:
     """Files per conversation; classes use the unrounded ratio."""
     users = _recent(logs, as_of, days).groupBy("user_email", "user_name").agg(

@@ -11,8 +11,9 @@ from meterlake.queries import all_queries
 QUERIES = all_queries()
 # These write files or run streams when called.
 ACTIONS = {"append_rows", "replace_date", "replace_range", "update_spend", "write_report", "export_csv", "hourly_event_counts", "ingest_stream"}
-# A window without partitions is allowed over a handful of rows: one per tool, or per rank bucket.
-SMALL_WINDOWS = {"tool_comparison", "productivity_metrics", "productivity_metrics_daily", "productivity_metrics_weekly", "cost_allocation", "team_cost_allocation"}
+# A window without partitions is allowed over a bounded number of rows: one per
+# tool, rank bucket, calendar month or calendar day.
+SMALL_WINDOWS = {"tool_comparison", "executive_summary", "monthly_increase_alert", "cost_anomaly", "productivity_metrics", "productivity_metrics_daily", "productivity_metrics_weekly", "cost_allocation", "team_cost_allocation"}
 
 
 def plan_of(df) -> str:
