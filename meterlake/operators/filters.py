@@ -58,8 +58,12 @@ def any_violation(df: DataFrame, rules: Iterable[Column]) -> DataFrame:
 
 
 def semi_filter(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is in a list that is itself a table."""
-    return df.join(keys.select(on).distinct(), on, "left_semi")
+    """Rows whose key is in a list that is itself a table.
+
+    The keys need not be distinct. Left as they are, both sides of the join are
+    plain shuffles, which AQE can split where a key is hot.
+    """
+    return df.join(keys.select(on), on, "left_semi")
 
 
 def label(df: DataFrame, name: str, value) -> DataFrame:

@@ -49,25 +49,23 @@ def join_totals(
 def three_way_left(
     base: DataFrame, first: DataFrame, second: DataFrame, on: list[str], null_safe: bool = False
 ) -> DataFrame:
-    """base ⟕ first ⟕ second on the same keys; plain equality never matches NULL."""
+    """base ⟕ first ⟕ second on the same keys, each with one row per key.
+
+    Plain equality never matches NULL.
+    """
     out = base
     for other in (first, second):
-        cond = _keys(out, other, on, null_safe)
-        out = out.join(other, cond, "left").select(
-            *[out[c] for c in out.columns], *[other[c] for c in other.columns if c not in on]
-        )
+        out = join_totals(out, other, on, spread=[c for c in base.columns if c not in on], null_safe=null_safe)
     return out
 
 
-def lookup(facts: DataFrame, dim: DataFrame, key: str, value: str, alias: str, lower: bool = False) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, key: str, value: str, alias: str) -> DataFrame:
     """One dimension attribute per fact row; a key listed twice takes the smallest value.
 
     Reducing the dimension to one row per key first keeps the fact grain.
     """
-    k = F.lower(key) if lower else F.col(key)
-    one = dim.filter(F.col(key).isNotNull()).groupBy(k.alias("_k")).agg(F.min(value).alias(alias))
-    left = F.lower(facts[key]) if lower else facts[key]
-    return facts.join(one, left == one["_k"], "left").drop("_k")
+    one = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(alias))
+    return join_totals(facts, one, [key], spread=[c for c in facts.columns if c != key])
 
 
 def anti_join(spine: DataFrame, df: DataFrame, spine_col: str, col: str) -> DataFrame:

@@ -87,10 +87,10 @@ def chunk_range(spark: SparkSession, start: Day | Column, end: Day | Column, day
 def chunk_load(rows: DataFrame, col: str = "activity_date", days: int = MAX_CHUNK_DAYS) -> DataFrame:
     """The chunks that cover a table's dates, with the rows each would load."""
     per_day = rows.groupBy(col).agg(count_big().alias("n"))
-    bounds = per_day.agg(F.min(col).alias("s"), F.max(col).alias("e"))
-    chunks = chunk_range(rows.sparkSession, bounds.select("s").scalar(), bounds.select("e").scalar(), days)
-    first = bounds.select("s").scalar()
-    index = F.floor(F.datediff(F.col(col), first) / (days + 1)).cast("bigint")
+    # Reads the count too, so that the subquery shares the shuffle of per_day.
+    bounds = per_day.agg(F.struct(F.min(col).alias("s"), F.max(col).alias("e"), F.sum("n"))).scalar()
+    chunks = chunk_range(rows.sparkSession, bounds["s"], bounds["e"], days)
+    index = F.floor(F.datediff(F.col(col), bounds["s"]) / (days + 1)).cast("bigint")
     loads = per_day.groupBy(index.alias("chunk")).agg(F.sum("n").cast("bigint").alias("rows"))
     return chunks.join(loads, "chunk", "left").select(
         "chunk", "chunk_start", "chunk_end", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")

@@ -222,22 +222,28 @@ def team_attribution(
 ) -> DataFrame:
     """Cost, users and top user per team.
 
-    The mapping has one row per API key. As coded, a user with k keys therefore
-    counts k times in the team's cost; ``dedupe_mapping`` joins each
-    (user, team) once. ``top_user_cost_usd`` is not rounded.
+    The mapping has one row per API key. As coded, a user with k keys in a team
+    therefore counts k times in its cost; ``dedupe_mapping`` counts every user
+    once. The keys are counted per (user, team) before the join instead of being
+    joined one by one, so a user with very many keys adds a single row.
+    ``top_user_cost_usd`` is not rounded.
     """
     users = _user_totals(costs, start, end)
-    mapping = dim_keys.filter(F.col("mapped_user_email").isNotNull()).select(
-        F.lower("mapped_user_email").alias("mapped_user_email"),
-        F.coalesce("mapped_team_name", F.lit("Unmapped")).alias("team"),
+    mapping = (
+        dim_keys.filter(F.col("mapped_user_email").isNotNull())
+        .groupBy(
+            F.lower("mapped_user_email").alias("mapped_user_email"),
+            F.coalesce("mapped_team_name", F.lit("Unmapped")).alias("team"),
+        )
+        .agg(count_big().cast("int").alias("keys"))
     )
-    if dedupe_mapping:
-        mapping = mapping.distinct()
     joined = users.join(mapping, F.lower(users["user_email"]) == mapping["mapped_user_email"], "left")
+    times = F.lit(1) if dedupe_mapping else F.coalesce("keys", F.lit(1))
+    cost = F.sum(F.col("total") * times)
     teams = joined.groupBy(F.coalesce("team", F.lit("Unmapped")).alias("team")).agg(
-        F.countDistinct("user_email").alias("user_count"),
-        usd(F.sum("total")).alias("team_cost_usd"),
-        F.round(safe_divide(F.sum("total"), F.countDistinct("user_email")), 2).alias("cost_per_user_usd"),
+        count_big().alias("user_count"),
+        usd(cost).alias("team_cost_usd"),
+        F.round(safe_divide(cost, count_big()), 2).alias("cost_per_user_usd"),
         arg_max("user_email", "total").alias("top_user"),
         F.max("total").cast("double").alias("top_user_cost_usd"),
     )

@@ -641,7 +641,10 @@ def usage_anomalies(fct: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
     """Rows with a negative counter, or more than twice as many lines accepted as added."""
     rules = [F.col(c) < 0 for c in _COUNTERS] + [F.col("loc_accepted") > F.col("loc_added") * 2]
     rows = any_violation(trailing(fct, "usage_date", days, as_of), rules)
-    return rows.select("usage_date", "platform", "user_email", *_COUNTERS).orderBy(F.col("usage_date").desc())
+    # Sorted by every column: a day with very many rows still spreads over tasks.
+    return rows.select("usage_date", "platform", "user_email", *_COUNTERS).orderBy(
+        F.col("usage_date").desc(), "platform", "user_email", *_COUNTERS
+    )
 
 
 def anomaly_counts(fct: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
@@ -670,9 +673,9 @@ def recent_tokens(fct: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
 def incident_recent(incidents: DataFrame, as_of: Day, days: int = 30) -> DataFrame:
     since = F.date_sub(day(as_of), days).cast("timestamp")
     rows = incidents.filter(F.col("detection_time") >= since)
-    return rows.select(
+    return rows.orderBy(F.col("detection_time").desc(), "incident_id").select(
         "incident_id", "severity_level", "mttr_minutes", "root_cause_category", "resolution_time"
-    ).orderBy(F.col("detection_time").desc())
+    )
 
 
 # --- filter widgets ----------------------------------------------------------------
