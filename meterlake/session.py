@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE picks join sides, coalesces small shuffle partitions and splits skewed
 # ones from observed sizes, so no plan below carries a hard-wired hint.
@@ -33,14 +33,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` names storage every executor sees. It is unset
-    only in tests, where a temporary folder takes its place.
+    It is unset only in tests, where a temporary folder takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="meterlake-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared checkpoint folder."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared folder, where a lost executor does not take it along."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()

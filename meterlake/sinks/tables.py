@@ -67,7 +67,8 @@ def append(df: DataFrame, table: str) -> None:
     _laid_out(df, table).write.mode("append").insertInto(table)
 
 
-def _overwrite_dates(df: DataFrame, table: str) -> None:
+def replace_dates(df: DataFrame, table: str) -> None:
+    """Replace every day df has rows for; other days stay."""
     spark = df.sparkSession
     before = spark.conf.get(DYNAMIC, "static")
     spark.conf.set(DYNAMIC, "dynamic")
@@ -91,7 +92,7 @@ def _drop_days(spark: SparkSession, table: str, days: list[str]) -> None:
 def replace_date(df: DataFrame, table: str, target: Day) -> None:
     """Replace one day; empty input leaves the stored day alone."""
     col = spec_of(table).partition
-    _overwrite_dates(df.filter(F.col(col) == day(target)), table)
+    replace_dates(df.filter(F.col(col) == day(target)), table)
 
 
 def replace_range(df: DataFrame, table: str) -> tuple[str, str] | None:
@@ -106,7 +107,7 @@ def replace_range(df: DataFrame, table: str) -> tuple[str, str] | None:
     if not new:
         return None
     lo, hi = min(new), max(new)
-    _overwrite_dates(df, table)
+    replace_dates(df, table)
     _drop_days(spark, table, [d for d in _partition_days(spark, table) if lo <= d <= hi and d not in new])
     return lo, hi
 
@@ -127,4 +128,4 @@ def update_spend(
     place until it commits.
     """
     if target is None or str(target) in _partition_days(spark, table):
-        _overwrite_dates(apply_spend(spark.table(table), deltas, target), table)
+        replace_dates(apply_spend(spark.table(table), deltas, target), table)
