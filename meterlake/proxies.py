@@ -202,7 +202,7 @@ def cursor_usage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_returnflag") != "N").alias("is_active"),
         (q * 10).alias("total_lines_added"),
         (q * 2).alias("total_lines_deleted"),
-        (q * line * 2).alias("accepted_lines_added"),
+        (q * F.when(F.col("l_linenumber") == 6, F.lit(21)).otherwise(line * 2)).alias("accepted_lines_added"),
         q.alias("accepted_lines_deleted"),
         line.alias("total_applies"),
         q.alias("total_accepts"),

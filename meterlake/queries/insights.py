@@ -104,7 +104,7 @@ v AS (SELECT event_id, user_email, event_type, client_platform, client_platform
 
 
 def _hourly_errors(s, d):
-    out = I.rate_limit_alert(P.load(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", F.col("event_type") == "error", 3)
+    out = I.rate_limit_alert(P.load(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", F.col("event_type") == "error", 1)
     return out.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -227,6 +227,6 @@ FROM f FULL JOIN k ON field = expected CROSS JOIN n""",
     "rate_limit_alert": Query(
         _hourly_errors,
         """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, COUNT(*) AS hits FROM events
-WHERE event_type = 'error' GROUP BY 1 HAVING COUNT(*) > 3""",
+WHERE event_type = 'error' GROUP BY 1 HAVING COUNT(*) > 1""",
     ),
 }

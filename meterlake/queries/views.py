@@ -120,7 +120,7 @@ FROM (SELECT user_id, snapshot_date, n,
 SELECT CAST(l_shipdate AS DATE) AS activity_date,
   CASE WHEN l_linenumber <> 7 THEN {_EMAIL.format('l_partkey')} END AS user_email,
   'u-' || CAST(l_partkey AS VARCHAR) AS user_id, l_returnflag <> 'N' AS is_active,
-  q * 10 AS total_lines_added, q * 2 AS total_lines_deleted, q * line * 2 AS accepted_lines_added, q AS accepted_lines_deleted,
+  q * 10 AS total_lines_added, q * 2 AS total_lines_deleted, q * CASE WHEN l_linenumber = 6 THEN 21 ELSE line * 2 END AS accepted_lines_added, q AS accepted_lines_deleted,
   line AS total_applies, q AS total_accepts, line - 2 AS total_rejects, q * 3 AS total_tabs_shown, q AS total_tabs_accepted,
   line AS composer_requests, q AS chat_requests, CASE WHEN l_linenumber <> 6 THEN line * 2 END AS agent_requests,
   line % 3 AS subscription_included_reqs, q % 7 AS usage_based_reqs,
