@@ -14,6 +14,8 @@ from meterlake.operators.filters import between_dates, filter_day
 from meterlake.plans import attribution as A
 from meterlake.plans import backfill as B
 from meterlake.plans import validation as V
+from meterlake.plans.costs import combined_daily_costs
+from meterlake.schemas import TABLES
 from meterlake.session import checkpointed
 from meterlake.sinks import tables
 from meterlake.sources import csv_exports, json_reports
@@ -107,3 +109,23 @@ def retry_failed(
     status = checkpointed(B.retry_dates(rows, dates))
     tables.replace_dates(B.backfill_rows(rows, status), table)
     return status
+
+
+def register_views(spark: SparkSession, database: str, ide_workspace: str | None = None) -> None:
+    """Temporary views over the stored tables, for SQL.
+
+    ``claude_usage_report`` and ``claude_cost_report`` are older names of tables
+    that are stored once; ``vw_combined_daily_costs`` is the combined fact.
+    """
+    def stored(name: str) -> DataFrame:
+        return spark.table(tables.create_table(spark, name, f"{database}.{name}"))
+
+    for view, name in (("claude_usage_report", "claude_usage_keys"), ("claude_cost_report", "claude_costs")):
+        rows = stored(name)
+        absent = [f for f in TABLES[view].schema if f.name not in rows.columns]
+        rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+        rows.select(*TABLES[view].columns).createOrReplaceTempView(view)
+    combined = combined_daily_costs(
+        stored("claude_costs"), stored("claude_code_usage_stats"), stored("cursor_daily_metrics"), ide_workspace
+    )
+    combined.createOrReplaceTempView("vw_combined_daily_costs")

@@ -39,7 +39,7 @@ def join_totals(
     repeated once per sub-key.
     """
     salt = "_salt"
-    left = rows.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    left = rows.withColumn(salt, F.pmod(F.xxhash64(*(spread or on)), F.lit(salts)).cast("int"))
     right = totals.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     cond = _keys(left, right, on, null_safe) & (left[salt] == right[salt])
     keep = [right[c] for c in totals.columns if c not in on]

@@ -48,13 +48,16 @@ def _user_totals(costs: DataFrame, start: Day | None, end: Day | None) -> DataFr
 
 
 def combined_daily_costs(
-    api_costs: DataFrame, ide_costs: DataFrame, editor_spend: DataFrame
+    api_costs: DataFrame, ide_costs: DataFrame, editor_spend: DataFrame, ide_workspace: str | None = None
 ) -> DataFrame:
     """One cost fact from API costs, IDE usage with estimated costs, and editor spend.
 
     API costs carry no user. IDE rows of API-key actors and unattributed editor
-    spend keep a NULL user.
+    spend keep a NULL user. The cost report bills IDE use under a workspace of
+    its own; naming it leaves those rows out, so that they do not count twice.
     """
+    if ide_workspace is not None:
+        api_costs = api_costs.filter(F.col("workspace_id").isNull() | (F.col("workspace_id") != ide_workspace))
     api = api_costs.select(
         F.col("activity_date").alias("cost_date"),
         F.lit(API).alias("provider"),

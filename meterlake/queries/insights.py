@@ -31,7 +31,9 @@ j AS (SELECT * FROM m LEFT JOIN p {using})"""
 
 
 def _productivity(grain: str, period: str) -> Query:
-    rate = f"ROUND({sdiv('SUM(accepted_lines_added)', 'SUM(total_lines_added)')}, 4)"
+    # Half-up rounding of the exact fraction, in integers: a DOUBLE may sit just below a tie.
+    a, t = "SUM(accepted_lines_added)", "SUM(total_lines_added)"
+    rate = f"CASE WHEN {t} <> 0 THEN CAST((20000 * {a} + {t}) // (2 * {t}) AS DOUBLE) / 10000 END"
     sql = f"""
 WITH r AS (SELECT {period} AS period_start, user_email, {big('SUM(total_lines_added)')} AS lines_added,
   {big('SUM(accepted_lines_added)')} AS lines_accepted, COUNT(DISTINCT activity_date) AS active_days, {rate} AS acceptance_rate FROM editor GROUP BY 1, 2),

@@ -98,3 +98,16 @@ def test_backfill_skips_bad_days_and_retry_fills_them(spark, tmp_path, database)
     spark.catalog.refreshTable(f"{database}.claude_costs")
     got = {r.activity_date.day: float(r.c) for r in spark.table(f"{database}.claude_costs").groupBy("activity_date").agg(F.sum("amount_usd").alias("c")).collect()}
     assert got == {1: 1.0, 2: 2.0, 3: 0.5, 4: 7.0}
+
+
+def test_views_for_sql(spark, tmp_path, database):
+    jobs.load_vendor_day(spark, "2025-10-15", "org", database=database, **vendor(tmp_path, 150, 250))
+    jobs.register_views(spark, database)
+    from meterlake.operators.filters import run_sql
+    from meterlake.plans.costs import alert_cache_efficiency, kpi_total_cost
+
+    total = run_sql(spark, "SELECT SUM(amount_usd) AS t FROM vw_combined_daily_costs WHERE cost_date <= CAST(:end AS DATE)", end="2025-10-15")
+    assert float(total.first().t) == 4.0
+    assert kpi_total_cost(spark.table("vw_combined_daily_costs")).first().claude_api_cost_usd == 4.0
+    assert alert_cache_efficiency(spark.table("claude_usage_report")).first().cache_hit_rate_pct is None
+    assert spark.table("claude_cost_report").count() == 2

@@ -334,3 +334,19 @@ def test_filter_widget(spark, n, widget):
     df = spark.range(n).select(F.col("id").cast("string").alias("model"))
     assert V.filter_widget(df, "model").first().widget == widget
     assert V.preview(df, 2).count() == 2
+
+
+def test_ide_workspace_is_not_counted_twice(spark):
+    api = dated(spark, [("2025-10-01", "w", 1.0), ("2025-10-01", None, 2.0)], "activity_date string, workspace_id string, amount_usd double", "activity_date")
+    api = api.selectExpr("*", "'m' AS model", "'d' AS description", "'tokens' AS cost_type")
+    ide = dated(spark, [("2025-10-01", "a", 4.0)], "activity_date string, user_email string, total_estimated_cost_usd double", "activity_date")
+    ed = dated(spark, [("2025-10-01", "a", "m", None)], "activity_date string, user_email string, most_used_model string, daily_spend_usd double", "activity_date")
+    total = lambda **kw: float(C.combined_daily_costs(api, ide, ed, **kw).agg(F.sum("amount_usd")).first()[0])
+    assert (total(), total(ide_workspace="w")) == (7.0, 6.0)
+
+
+def test_lookup_keeps_the_fact_grain(spark):
+    facts = spark.createDataFrame([("k1", 1), ("k1", 2), ("k2", 3), (None, 4)], "k string, n int")
+    dim = spark.createDataFrame([("k1", "b"), ("k1", "a"), (None, "z")], "k string, v string")
+    got = sorted((r.n, r.v) for r in J.lookup(facts, dim, "k", "v", "v").collect())
+    assert got == [(1, "a"), (2, "a"), (3, None), (4, None)]
