@@ -252,7 +252,7 @@ def fct_usage_daily(
     )
     api = lookup(api, dim_keys, "api_key_id", "mapped_user_email", "user_email")
     api = api.withColumn("user_email", F.lower("user_email"))
-    api = _star(api, "anthropic_api", sessions=zero, loc_added=zero, loc_accepted=zero)
+    api = _star(api, "anthropic", sessions=zero, loc_added=zero, loc_accepted=zero)
 
     accepted = sum((F.col(f"{t}_accepted") for t in ("multi_edit_tool", "write_tool", "notebook_edit_tool")), F.col("edit_tool_accepted"))
     rejected = sum((F.col(f"{t}_rejected") for t in ("multi_edit_tool", "write_tool", "notebook_edit_tool")), F.col("edit_tool_rejected"))
@@ -301,7 +301,7 @@ def fct_cost_daily(allocated: DataFrame, combined: DataFrame, dim_keys: DataFram
         F.sum(F.col("allocated_cost_usd").cast("decimal(18,6)")).alias("cost_usd")
     )
     api = lookup(api, dim_keys, "api_key_id", "mapped_user_email", "user_email").select(
-        "cost_date", F.lit("anthropic_api").alias("platform"), "workspace_id", "api_key_id",
+        "cost_date", F.lit("anthropic").alias("platform"), "workspace_id", "api_key_id",
         F.lower("user_email").alias("user_email"), F.col("cost_usd").cast("decimal(18,6)").alias("cost_usd"),
         F.lit("usage").alias("cost_type"), "model",
     )

@@ -131,7 +131,7 @@ t AS (SELECT {GRAIN}, SUM(n) AS tokens FROM k GROUP BY ALL),
 a AS (SELECT k.activity_date AS d, k.api_key_id, CAST(ROUND({sdiv('cost * n', 'tokens')}, 6) AS DECIMAL(18,6)) AS usd
   FROM k LEFT JOIN c ON k.activity_date = c.activity_date AND k.workspace_id IS NOT DISTINCT FROM c.workspace_id AND k.model = c.model
   LEFT JOIN t ON k.activity_date = t.activity_date AND k.workspace_id IS NOT DISTINCT FROM t.workspace_id AND k.model = t.model),
-u AS (SELECT d, 'anthropic_api' AS platform, 'usage' AS cost_type, usd, LOWER(x.user_email) AS user_email, a.api_key_id FROM a LEFT JOIN key_user x USING (api_key_id)
+u AS (SELECT d, 'anthropic' AS platform, 'usage' AS cost_type, usd, LOWER(x.user_email) AS user_email, a.api_key_id FROM a LEFT JOIN key_user x USING (api_key_id)
   UNION ALL SELECT cost_date, provider, cost_category, amount_usd, LOWER(user_email), NULL FROM combined WHERE provider <> 'claude_api')
 SELECT d AS cost_date, platform, cost_type, CAST(ROUND(SUM(usd), 2) AS DOUBLE) AS cost_usd, COUNT(DISTINCT user_email) AS users,
   COUNT(DISTINCT api_key_id) AS api_keys FROM u GROUP BY 1, 2, 3"""

@@ -146,7 +146,7 @@ SELECT api_key_id, LOWER(MIN(mapped_user_email)) AS user_email FROM dim_keys GRO
     "name_user": """
 SELECT api_key_name, LOWER(MIN(mapped_user_email)) AS key_user FROM dim_keys GROUP BY 1""",
     "fct": f"""
-SELECT a.usage_date, 'anthropic_api' AS platform, k.user_email, a.api_key_id, a.model, input_tokens, output_tokens,
+SELECT a.usage_date, 'anthropic' AS platform, k.user_email, a.api_key_id, a.model, input_tokens, output_tokens,
   requests, CAST(0 AS BIGINT) AS sessions, CAST(0 AS BIGINT) AS loc_added, CAST(0 AS BIGINT) AS loc_accepted
 FROM (SELECT activity_date AS usage_date, api_key_id, model,
     CAST(SUM(uncached_input_tokens + cache_read_input_tokens) AS BIGINT) AS input_tokens,
