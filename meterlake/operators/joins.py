@@ -9,17 +9,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
 
 
-def _keys(left: DataFrame, right: DataFrame, on: list[str], null_safe: bool) -> Column:
-    same = [left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in on]
-    return reduce(lambda a, b: a & b, same)
-
-
 def join_totals(
     rows: DataFrame,
     totals: DataFrame,
@@ -38,12 +33,15 @@ def join_totals(
     number, so a recomputed task gives the same rows), and each totals row is
     repeated once per sub-key.
     """
-    salt = "_salt"
+    salt, columns = "_salt", rows.columns
+    extra = [c for c in totals.columns if c not in on]
     left = rows.withColumn(salt, F.pmod(F.xxhash64(*(spread or on)), F.lit(salts)).cast("int"))
     right = totals.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    cond = _keys(left, right, on, null_safe) & (left[salt] == right[salt])
-    keep = [right[c] for c in totals.columns if c not in on]
-    return left.join(right, cond, how).select(*[left[c] for c in rows.columns], *keep)
+    if not null_safe:
+        return left.join(right, [*on, salt], how).select(*columns, *extra)
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in [*on, salt]})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on] + [F.col(salt) == F.col(f"_r_{salt}")]
+    return left.join(right, reduce(lambda a, b: a & b, same), how).select(*columns, *extra)
 
 
 def three_way_left(
