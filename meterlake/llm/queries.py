@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate as D
-from meterlake.llm import mixing, secrets
+from meterlake.llm import language, mixing, quality, secrets, urls, warc
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,5 +74,111 @@ def op7_secrets(s, d) -> DataFrame:
     )
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_mixing": op5_mixing, "op7_secrets": op7_secrets}
-ORACLES = {"op1_decontaminate": _OP1, "op5_mixing": _OP5}
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op3_urls(s, d) -> DataFrame:
+    return urls.judge(load(s, d, "pages").select("page_id", "url"), RULES)
+
+
+def _shrunk(level: str, parent: str, prior: str) -> str:
+    """Posterior means of one level: group key, counts, prior strength from the spread of the level's groups."""
+    return f"""
+{level}_m AS (SELECT CASE WHEN g IS NULL OR g < 2 OR k = 0 OR k = n THEN 1000.0::DOUBLE ELSE (
+    SELECT CASE WHEN rho > 0 THEN least(greatest(1 / rho - 1, 1.0::DOUBLE), 1000.0::DOUBLE) ELSE 1000.0::DOUBLE END FROM (
+      SELECT CASE WHEN n - n2 / n - (g - 1) > 0 THEN ((kn - k * (k / n)) / ((k / n) * (1 - k / n)) - (g - 1)) / (n - n2 / n - (g - 1)) ELSE 0.0 END AS rho)) END AS m
+  FROM (SELECT count(*) AS g, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k, sum(n::DOUBLE * n) AS n2, sum(k::DOUBLE * k / n) AS kn FROM {level} WHERE n > 0)),
+{level}_p AS (SELECT c.*, {prior} AS prior, m FROM {level} c CROSS JOIN {level}_m {parent})"""
+
+
+_SECOND = ", ".join(f"'{x}'" for x in urls.SECOND_LEVEL)
+_RULE_SQL = "CASE " + " ".join(
+    f"WHEN (host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}') THEN '{r}'"
+    for r in sorted(RULES, key=len, reverse=True)
+) + " END"
+_VERDICT_SQL = "CASE rule " + " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in RULES.items()) + " END"
+_OP3 = f"""
+WITH parts AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)://([^/?#]*)', 1), ''), '{urls.UPPER}', '{urls.LOWER}') AS host,
+  coalesce(regexp_extract(url, '(?s)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+ruled AS (SELECT *, {_VERDICT_SQL} AS verdict FROM (SELECT *, {_RULE_SQL} AS rule FROM parts)),
+labels_of AS (SELECT host, string_split(host, '.') AS l, count(verdict) AS n, count(*) FILTER (WHERE verdict = 'block') AS k FROM ruled WHERE host <> '' GROUP BY host),
+hosts AS (SELECT host, n, k, array_to_string(l[greatest(len(l) - c + 1, 1):], '.') AS suffix, array_to_string(l[greatest(len(l) - c, 1):], '.') AS domain
+  FROM (SELECT *, CASE WHEN array_to_string(l[greatest(len(l) - 1, 1):], '.') IN ({_SECOND}) THEN 2 ELSE 1 END AS c FROM labels_of)),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
+{_shrunk("suffixes", "CROSS JOIN (SELECT (coalesce(sum(k), 0) + 1)::DOUBLE / (coalesce(sum(n), 0) + 2) AS p FROM suffixes) x", "x.p")},
+suffix_means AS (SELECT suffix, (k + m * prior) / (n + m) AS p FROM suffixes_p),
+{_shrunk("domains", "JOIN suffix_means x USING (suffix)", "x.p")},
+domain_means AS (SELECT domain, (k + m * prior) / (n + m) AS p FROM domains_p),
+{_shrunk("hosts", "JOIN domain_means x USING (domain)", "x.p")},
+low AS (SELECT host, a / (a + b) - 1.645::DOUBLE * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS low FROM (SELECT host, k + m * prior AS a, n - k + m * (1 - prior) AS b FROM hosts_p))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN low >= 0.5 THEN 'block' END, 'allow') AS verdict FROM ruled LEFT JOIN low USING (host)"""
+
+
+def op8_warc(s, d) -> DataFrame:
+    return warc.derive(warc.responses(load(s, d, "pages")))
+
+
+_UUID = "'<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>'"
+
+
+def _unescaped(text: str) -> str:
+    codes = f"list_filter(list_distinct(regexp_extract_all({text}, '&#([0-9]{{1,7}});', 1)), lambda c: (c::INT > 0 AND c::INT < 55296) OR (c::INT > 57343 AND c::INT < 1114112))"
+    out = f"list_reduce(list_prepend({text}, {codes}), lambda t, c: replace(t, '&#' || c || ';', chr(c::INT)))"
+    for name, char in warc.ENTITIES.items():
+        out = f"replace({out}, '&{name};', '{char.replace(chr(39), chr(39) * 2)}')"
+    return out
+
+
+def _squeezed(text: str) -> str:
+    text = rf"regexp_replace(regexp_replace({text}, '[ \t\x0B\f\r]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g')"
+    return rf"trim(regexp_replace({text}, '^\n|\n$', '', 'g'), ' ')"
+
+
+_DROPPED = "html"
+for _p in warc.DROPPED:
+    _DROPPED = f"regexp_replace({_DROPPED}, '{_p}', ' ', 'g')"
+_TAGLESS = rf"regexp_replace(regexp_replace(regexp_replace({_DROPPED}, '\r\n?', chr(10), 'g'), '{warc.BLOCK}', chr(10), 'g'), '<[^>]*>', '', 'g')"
+_OP8 = rf"""
+WITH src AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS html FROM pages),
+block AS (SELECT *, 'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || octet_length(encode(html))
+  || chr(13) || chr(10) || chr(13) || chr(10) || html AS b, md5('response' || chr(31) || coalesce(page_id::VARCHAR, '') || chr(31) || target_uri) AS h FROM src),
+resp AS (SELECT target_uri, html, {_UUID} AS id, 'sha256:' || sha256(html) AS payload, 'sha256:' || sha256(b) AS digest FROM block),
+text AS (SELECT *, {_TAGLESS} AS bare, regexp_extract(html, '{warc.TITLE}', 1) AS t, list_distinct(regexp_extract_all(html, '{warc.HREF}', 1)) AS links,
+  regexp_extract_all(html, '{warc.HREF}', 1) AS all_links FROM resp),
+made AS (SELECT target_uri, id, payload, 'conversion' AS record_type, 'text/plain; charset=utf-8' AS type, {_squeezed(_unescaped("bare"))} AS block FROM text
+  UNION ALL SELECT target_uri, id, payload, 'metadata', 'application/warc-fields', replace(
+    'source-WARC-Payload-Digest: ' || payload || chr(10) || 'source-Content-Type: application/http; msgtype=response' || chr(10) || 'source-block-digest: ' || digest || chr(10)
+    || 'http-status: 200' || chr(10) || 'http-content-type: text/html; charset=utf-8' || chr(10) || 'title: ' || replace({_squeezed(_unescaped("t"))}, chr(10), ' ') || chr(10)
+    || coalesce(array_to_string(list_transform(list_sort(list_transform(links, lambda u: [lpad(list_position(all_links, u)::VARCHAR, 9, '0'), u])), lambda p: 'outlink: ' || p[2] || chr(10)), ''), ''), chr(10), chr(13) || chr(10)) FROM text),
+named AS (SELECT *, md5(record_type || chr(31) || id) AS h FROM made)
+SELECT {_UUID} AS record_id, record_type, id AS refers_to, target_uri, '{warc.DATE}' AS date,
+  'WARC-Source-Payload-Digest: ' || payload || chr(13) || chr(10) || 'Content-Type: ' || type AS headers, block, 'sha256:' || sha256(block) AS block_digest,
+  octet_length(encode(block))::BIGINT AS content_length FROM named"""
+
+
+def op9_language(s, d) -> DataFrame:
+    docs = load(s, d, "documents")
+    out = language.held_out("doc_id", 4, 2)
+    model = language.train(docs.where(~out))
+    return language.identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality(s, d) -> DataFrame:
+    docs = load(s, d, "documents").select("doc_id", "text")
+    out = language.held_out("doc_id", 5, 0)
+    model = quality.train(docs, load(s, d, "labels").where(~out))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_urls": op3_urls,
+    "op5_mixing": op5_mixing,
+    "op7_secrets": op7_secrets,
+    "op8_warc": op8_warc,
+    "op9_language": op9_language,
+    "op10_quality": op10_quality,
+}
+ORACLES = {"op1_decontaminate": _OP1, "op3_urls": _OP3, "op5_mixing": _OP5, "op8_warc": _OP8}
