@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate as D
-from meterlake.llm import language, mixing, quality, secrets, urls, warc
+from meterlake.llm import language, mixing, neighbours, quality, secrets, urls, warc
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,6 +74,10 @@ def op7_secrets(s, d) -> DataFrame:
     )
 
 
+def op2_neighbours(s, d) -> DataFrame:
+    return neighbours.nearest(load(s, d, "embeddings"), lambda i: i % 20 == 0)
+
+
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
@@ -174,6 +178,7 @@ def op10_quality(s, d) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_neighbours": op2_neighbours,
     "op3_urls": op3_urls,
     "op5_mixing": op5_mixing,
     "op7_secrets": op7_secrets,
