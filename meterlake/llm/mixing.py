@@ -39,7 +39,7 @@ def mix(
     weights: tuple[float, ...] = (3, 1, 2),
     share: float = 1.5,
     repeats: int = 2,
-    range_rows: int = 20_000,
+    range_rows: int = 1000,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
