@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate as D
-from meterlake.llm import language, mixing, neighbours, quality, secrets, urls, warc
+from meterlake.llm import language, mixing, neardup, neighbours, quality, secrets, urls, warc
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -43,6 +43,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hi
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
 
 
+def op4_neardup(s, d) -> DataFrame:
+    return neardup.near_duplicates(load(s, d, "documents"), width=3, percent=85)
+
+
+_SHINGLED = rf"""
+docs AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM sets x JOIN sets y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN sizes s ON s.doc_id = p.a JOIN sizes t ON t.doc_id = p.b WHERE 100 * n_both >= 85 * (s.n + t.n - n_both))"""
+_OP4 = f"""
+WITH RECURSIVE {_SHINGLED},
+reach(node, spot) AS (SELECT doc_id, doc_id FROM docs UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.spot)
+SELECT docs.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, low AS component_id, docs.doc_id = low AS kept
+FROM docs LEFT JOIN sizes ON sizes.doc_id = docs.doc_id JOIN (SELECT node, min(spot) AS low FROM reach GROUP BY node) r ON r.node = docs.doc_id"""
+
+
 def op5_mixing(s, d) -> DataFrame:
     return mixing.mix(load(s, d, "documents")).drop("source")
 
@@ -180,10 +197,11 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_neighbours": op2_neighbours,
     "op3_urls": op3_urls,
+    "op4_neardup": op4_neardup,
     "op5_mixing": op5_mixing,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
-ORACLES = {"op1_decontaminate": _OP1, "op3_urls": _OP3, "op5_mixing": _OP5, "op8_warc": _OP8}
+ORACLES = {"op1_decontaminate": _OP1, "op3_urls": _OP3, "op4_neardup": _OP4, "op5_mixing": _OP5, "op8_warc": _OP8}
