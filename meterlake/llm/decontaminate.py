@@ -105,8 +105,9 @@ def decontaminate(
     text_col: str = "text",
     bench_id: str = "item_id",
     bench_text: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: id, n_words, spans (runs of hit words, [start, end)), items (ids, sorted as strings).
+    """One row per row of ``docs``: id, the ``keep`` columns, n_words, spans (runs of hit words, [start, end)), items (ids, sorted as strings).
 
     Words are runs of 0-9, a-z and non-ASCII after lower-casing A-Z. Windows
     go to the executors as one search table when they take at most
@@ -123,12 +124,15 @@ def decontaminate(
     cut = windows(benchmark, width, bench_id, bench_text)
     size = cut.agg(F.sum(F.length("words") + F.length("item") + 80)).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    kept = [c for c in dict.fromkeys(keep) if c != id_col]
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_keep_{c}") for c in kept])
+    named = [F.col("_id").alias(id_col), *[F.col(f"_keep_{c}").alias(c) for c in kept], "n_words"]
     if blocks == 1:
-        return _searched(texts, _table(cut)).select(F.col("_id").alias(id_col), "n_words", "spans", "items")
+        return _searched(texts, _table(cut)).select(*named, "spans", "items")
     cut = staged(cut.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks))), "windows")
     keyed = texts.withColumn("_key", F.xxhash64("_id", "_text"))
-    parts = [_searched(keyed, _table(cut.where(F.col("block") == b))) for b in range(blocks)]
+    bare = keyed.select("_id", "_text", "_key")
+    parts = [_searched(bare, _table(cut.where(F.col("block") == b))) for b in range(blocks)]
     hits = None
     for part in parts:
         part = part.where(F.size("items") > 0).select("_id", "_key", "spans", "items")
@@ -138,10 +142,9 @@ def decontaminate(
         .agg(F.flatten(F.collect_set("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
         .withColumn("spans", _merged(F.array_sort("spans")))
     )
-    none = _searched(keyed, spark.sparkContext.broadcast(search_tables({}))).select("_id", "_key", "n_words")
+    none = _searched(keyed, spark.sparkContext.broadcast(search_tables({})))
     return none.join(hits, "_key", "left").select(
-        F.col("_id").alias(id_col),
-        "n_words",
+        *named,
         F.coalesce("spans", F.array().cast("array<array<bigint>>")).alias("spans"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
