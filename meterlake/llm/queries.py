@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate as D
-from meterlake.llm import language, mixing, neardup, neighbours, quality, secrets, urls, warc
+from meterlake.llm import language, mixing, neardup, neighbours, quality, secrets, suffixes, urls, warc
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -81,6 +81,23 @@ SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0
   (whole // source_size) * size + greatest(0, least(size, whole % source_size - before)) END AS BIGINT) AS taken FROM placed"""
 
 
+def op6_repeats(s, d) -> DataFrame:
+    return suffixes.remove_repeats(load(s, d, "documents")).drop("spans")
+
+
+_OP6 = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(0, len(h) // 2 - 49))) AS p FROM docs)),
+firsts AS (SELECT s, min(doc_id) AS m FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, true)::INT AS new FROM strings JOIN firsts USING (s) WHERE m < doc_id),
+spans AS (SELECT doc_id, min(p) AS b, max(p) + 50 AS e FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM hits) GROUP BY doc_id, g),
+pieces AS (SELECT doc_id, b, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS a FROM spans
+  UNION ALL SELECT doc_id, len(h) // 2, coalesce((SELECT max(e) FROM spans WHERE spans.doc_id = docs.doc_id), 0) FROM docs),
+kept AS (SELECT doc_id, sha256(unhex(string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a))) AS kept_sha256 FROM pieces JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(k, 0)::BIGINT AS n_spans, kept_sha256
+FROM docs JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, sum(e - b) AS n, count(*) AS k FROM spans GROUP BY doc_id) USING (doc_id)"""
+
+
 def op7_secrets(s, d) -> DataFrame:
     found = secrets.scan(load(s, d, "documents"))
     base = F.filter("spans", lambda x: x["kind"] != "random")
@@ -199,9 +216,10 @@ QUERIES = {
     "op3_urls": op3_urls,
     "op4_neardup": op4_neardup,
     "op5_mixing": op5_mixing,
+    "op6_repeats": op6_repeats,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
-ORACLES = {"op1_decontaminate": _OP1, "op3_urls": _OP3, "op4_neardup": _OP4, "op5_mixing": _OP5, "op8_warc": _OP8}
+ORACLES = {"op1_decontaminate": _OP1, "op3_urls": _OP3, "op4_neardup": _OP4, "op5_mixing": _OP5, "op6_repeats": _OP6, "op8_warc": _OP8}
