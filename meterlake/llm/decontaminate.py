@@ -143,7 +143,7 @@ def decontaminate(
         .withColumn("spans", _merged(F.array_sort("spans")))
     )
     none = _searched(keyed, spark.sparkContext.broadcast(search_tables({})))
-    return none.join(hits, "_key", "left").select(
+    return none.drop("spans", "items").join(hits, "_key", "left").select(
         *named,
         F.coalesce("spans", F.array().cast("array<array<bigint>>")).alias("spans"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from meterlake.llm import language as L
+from meterlake.llm import quality as Q
+from meterlake.llm import queries
+
+
+def test_language_held_out(spark, sf_dir):
+    rows = queries.op9_language(spark, sf_dir).join(queries.load(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(rows) > 20
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) / len(rows) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_language_backs_off_to_n_grams(docs):
+    model = L.train(docs([(1, "the thing there"), (2, "these things")]).unionByName(docs([(3, "der die das"), (4, "das dass")], "de")))
+    got = {r["doc_id"]: r["lang_pred"] for r in L.identify(docs([(1, "the"), (2, "thingies"), (3, "dasselbe"), (4, "THERE"), (5, "Das?")]), model).collect()}
+    assert got == {1: "en", 2: "en", 3: "de", 4: "en", 5: "de"}
+    scorer = L.Scorer(model)
+    assert "thingies" not in model["index"][0] and scorer.backoff("qqqq") is not None
+
+
+def test_language_memo_does_not_change_results(docs, prose):
+    model = L.train(docs([(1, prose(1, 300))]).unionByName(docs([(2, prose(2, 300))], "xx")))
+    texts = [prose(s, 2000) for s in range(5)] + [" ".join(f"q{'abcdefghij'[i % 10]}{'klmnop'[i % 6]}" * (1 + i % 7) for i in range(500))]
+    small, large = L.Scorer(model, memo=700), L.Scorer(model)
+    small.STEP = 600
+    for t in texts * 2:
+        a, b = small.predict(t), large.predict(t)
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-3)
+
+
+def test_language_edge_cases(docs):
+    texts = [None, "", "123 !?", "²³ _", "ñ", "A", "x" * 200000, "中文"]
+    model = L.train(docs([(1, "a b c")]))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.identify(docs(list(enumerate(texts)) + [(7, "中文")]), model).collect()}
+    assert [got[i][0] for i in range(8)] == ["und"] * 4 + ["en"] * 4
+    assert all(got[i][1] == 0 for i in range(4))
+    assert L.train(docs([(1, None)])) is None
+    assert L.identify(docs([(1, "text")]), None).first()["lang_pred"] == "und"
+    assert L.identify(docs([]), model).collect() == []
+
+
+def test_quality_held_out(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")  # a few hundred labels
+    rows = queries.op10_quality(spark, sf_dir).join(queries.load(spark, sf_dir, "labels"), "doc_id").where("held_out").collect()
+    assert len(rows) > 5
+    assert sum(r["quality"] == r["predicted"] for r in rows) / len(rows) > 0.9
+
+
+def test_quality_edge_cases(spark, docs, prose):
+    good = [(i, prose(i, 40)) for i in range(40)]
+    bad = [(100 + i, " ".join(w + "%%%" for w in prose(i, 40).split())) for i in range(40)]
+    labels = [(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad] + [(5, 0), (7, None), (9999, 1)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int").selectExpr("*", "1 AS text")
+    model = Q.train(docs(good + bad), table)
+    tests = [(1, prose(77, 50)), (2, "zu%%% ka%%% to%%%"), (3, None), (4, ""), (4, ""), (5, "ka to " * 50000)]
+    got = {r["doc_id"]: r["score"] for r in Q.score(docs(tests), model).collect()}
+    assert got[1] > 0.5 > got[2] and got[3] == got[4] and all(0 <= s <= 1 for s in got.values())
+    only = Q.train(docs(good), spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    assert Q.score(docs(tests), only).first()["score"] > 0.5
+    none = Q.train(docs(good), spark.createDataFrame([], "doc_id long, quality int"))
+    assert Q.score(docs([(1, "x")]), none).first()["score"] == 0.5
+    assert Q.score(docs([]), none).collect() == []
+
+
+def test_dual_coordinate_descent_meets_the_dual_optimum():
+    """On a small problem the primal and dual objectives meet."""
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, 30, 8)).astype(np.int32) for _ in range(60)]
+    y = np.array([1 if (r < 12).mean() > 0.4 else -1 for r in rows])
+    values = [Q.unit(np.ones(len(r))) for r in rows]
+    w, bias = Q.dual_coordinate_descent(rows, values, y, 1.0, 500)
+    n = {t: (y == t).sum() for t in (1, -1)}
+    c = np.array([len(y) / (2 * n[t]) for t in y])
+    hinge = np.array([max(0.0, 1 - t * (w[r] @ v + bias)) for r, v, t in zip(rows, values, y, strict=True)])
+    primal = 0.5 * (w @ w + bias * bias) + c @ hinge
+    for _ in range(200):
+        d = rng.standard_normal(31) * 0.02
+        v = w.copy()
+        v[:30] += d[:30]
+        b = bias + d[30]
+        h = np.array([max(0.0, 1 - t * (v[r] @ x + b)) for r, x, t in zip(rows, values, y, strict=True)])
+        assert 0.5 * (v @ v + b * b) + c @ h >= primal - 1e-3
+
+
+def test_held_out_is_the_checksum(spark):
+    import zlib
+
+    ids = [random.Random(1).randrange(10**9) for _ in range(50)]
+    got = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", L.held_out("doc_id", 4, 2).alias("h")).collect()
+    assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert spark.range(1).select(F.lit(None).cast("long").alias("i")).select(L.held_out("i", 4, 2).alias("h")).first()["h"] is False
