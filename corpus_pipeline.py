@@ -14,10 +14,10 @@ from meterlake.llm.common import staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without a letter, or of no likely language, go."""
+    """Documents whose language can be told; those without a letter go."""
     model = language.train(docs)
     told = language.identify(docs, model, keep=tuple(docs.columns))
-    return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).select(*docs.columns)
+    return told.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
