@@ -6,15 +6,17 @@ they were and can simply be run again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from meterlake.functions.dates import Day
-from meterlake.operators.filters import between_dates, filter_day
+from meterlake.functions.dates import Day, date_spine
+from meterlake.operators.filters import filter_day
 from meterlake.plans import attribution as A
 from meterlake.plans import backfill as B
 from meterlake.plans import validation as V
 from meterlake.plans.costs import combined_daily_costs
+from meterlake.plans.insights import check_rows, negative, required
 from meterlake.schemas import TABLES
 from meterlake.session import checkpointed
 from meterlake.sinks import tables
@@ -25,19 +27,53 @@ class CheckFailed(Exception):
     """A load was refused; nothing was written."""
 
 
-def check_day(costs: DataFrame, productivity: DataFrame, day_max: float = 1000.0) -> None:
-    """Refuse a day whose total is implausible, that has duplicate cost keys, or cost columns in productivity."""
-    row = V.duplicate_groups(costs).agg(F.count(F.lit(1)).alias("dups")).first()
-    total = costs.agg(F.sum("amount_usd")).first()[0] or 0
-    if total > day_max:
-        raise CheckFailed(f"total cost ${total:.2f} exceeds ${day_max:.2f}; amounts may be cents")
+# What tells one cost row from another; rows that differ in any of it are no duplicates.
+COST_KEY = [
+    "activity_date", "organization_id", "workspace_id", "model", "token_type", "cost_type", "description", "service_tier", "context_window",
+]
+
+def row_rules(name: str) -> dict[str, Column]:
+    """What a row must not break to get into a table."""
+    return {
+        "claude_costs": lambda: required("activity_date", "amount_usd") | negative("amount_usd"),
+        "claude_usage_keys": lambda: required("activity_date", "api_key_id") | negative("uncached_input_tokens", "output_tokens"),
+        "claude_code_productivity": lambda: required("activity_date") | negative("num_sessions", "lines_added", "lines_removed"),
+        "cursor_daily_metrics": lambda: required("activity_date", "user_email"),
+    }[name]()
+
+
+def check_day(costs: DataFrame, stored: StructType, day_max: float | None = None) -> None:
+    """Refuse a day that has the same cost row twice, whose total is above ``day_max``, or a productivity table with cost columns."""
+    groups = costs.groupBy(*COST_KEY).agg(F.count(F.lit(1)).alias("n"), F.sum("amount_usd").alias("usd"))
+    row = groups.agg(F.count_if(F.col("n") > 1).alias("dups"), F.sum("usd").alias("total")).first()
+    if day_max is not None and (row.total or 0) > day_max:
+        raise CheckFailed(f"total cost ${row.total:.2f} exceeds ${day_max:.2f}; amounts may be cents")
     if row.dups:
         raise CheckFailed(f"{row.dups} duplicate cost keys")
-    bad = V.matching_columns(productivity.schema, V.FORBIDDEN)
+    bad = V.matching_columns(stored, V.FORBIDDEN)
     if bad:
         raise CheckFailed(f"cost columns in productivity: {', '.join(bad)}")
 
 
+def check_pages(spark: SparkSession, paths: str | list[str], schema: str) -> None:
+    """Refuse a report whose last page did not land; a page that landed twice is read once."""
+    gaps = json_reports.page_gaps(spark, paths, schema).first()
+    if gaps.pages and not gaps.last_pages:
+        raise CheckFailed(f"the last of {gaps.pages} pages is missing")
+
+
+def _valid(rows: DataFrame, rules: dict[str, Column], table: str) -> DataFrame:
+    """The rows that break no rule, computed once; the others are appended to ``<table>_rejected`` with the errors."""
+    checked = checkpointed(check_rows(rows, rules))
+    bad = checked.filter(F.size("errors") > 0)
+    if bad.limit(1).count():
+        kept, name = bad.withColumn("rejected_at", F.current_timestamp()), f"{table}_rejected"
+        if not rows.sparkSession.catalog.tableExists(name):
+            kept.limit(0).write.saveAsTable(name)
+        kept.write.mode("append").insertInto(name)
+    return checked.filter(F.size("errors") == 0).drop("errors")
+
+
 def load_vendor_day(
     spark: SparkSession,
     target: Day,
@@ -47,14 +83,22 @@ def load_vendor_day(
     usage_pages: str | list[str],
     productivity_pages: str | list[str],
     database: str,
+    day_max: float | None = None,
 ) -> None:
-    """Costs, key usage and IDE productivity of one day."""
-    costs = filter_day(json_reports.read_cost_report(spark, cost_pages, organization_id), target)
-    usage = filter_day(json_reports.read_usage_report(spark, usage_pages, organization_id), target)
-    ide = filter_day(json_reports.read_productivity(spark, productivity_pages), target)
-    check_day(costs, ide)
+    """Costs, key usage and IDE productivity of one day.
+
+    Every report is parsed once; what was checked is what is written.
+    """
+    for paths, schema in ((cost_pages, json_reports.COST_PAGE), (usage_pages, json_reports.USAGE_PAGE), (productivity_pages, json_reports.PRODUCTIVITY_PAGE)):
+        check_pages(spark, paths, schema)
+    costs = checkpointed(filter_day(json_reports.read_cost_report(spark, cost_pages, organization_id), target))
+    usage = checkpointed(filter_day(json_reports.read_usage_report(spark, usage_pages, organization_id), target))
+    ide = checkpointed(filter_day(json_reports.read_productivity(spark, productivity_pages), target))
+    name = f"{database}.claude_code_productivity"
+    check_day(costs, spark.table(name).schema if spark.catalog.tableExists(name) else ide.schema, day_max)
     for name, rows in (("claude_costs", costs), ("claude_usage_keys", usage), ("claude_code_productivity", ide)):
-        tables.replace_date(rows, tables.create_table(spark, name, f"{database}.{name}"), target)
+        table = tables.create_table(spark, name, f"{database}.{name}")
+        tables.replace_date(_valid(rows, row_rules(name), table), table, target)
 
 
 def load_editor_day(
@@ -73,7 +117,7 @@ def load_editor_day(
     if cycle is not None:
         deltas = A.spend_deltas_for_day(spend, spark.table(table), cycle, target)
         usage = A.apply_spend(usage, deltas, target)
-    tables.replace_date(usage, table, target)
+    tables.replace_date(_valid(usage, row_rules(name), table), table, target)
 
 
 def load_activity_export(spark: SparkSession, paths: str | list[str], *, database: str) -> DataFrame:
@@ -85,30 +129,64 @@ def load_activity_export(spark: SparkSession, paths: str | list[str], *, databas
     return V.load_summary(loaded, *span) if span else V.load_summary(loaded.limit(0))
 
 
-def backfill_costs(
-    spark: SparkSession, start: Day, end: Day, organization_id: str, *, cost_pages: str | list[str], database: str
-) -> DataFrame:
-    """A whole range in one job; days that fail a check are left out and reported.
+REPORTS = {
+    "claude_costs": (json_reports.COST_PAGE, json_reports.cost_rows, "amount_usd"),
+    "claude_usage_keys": (json_reports.USAGE_PAGE, json_reports.usage_rows, None),
+    "claude_code_productivity": (json_reports.PRODUCTIVITY_PAGE, lambda pages, _: json_reports.productivity_rows(pages), None),
+}
 
-    The status is one row per calendar day. It is kept, so that the write and
-    the caller see the same one whatever lands or changes meanwhile.
+
+def _load_days(spark: SparkSession, days: DataFrame, organization_id: str, pages: dict[str, str | list[str]], database: str, day_max: float | None) -> DataFrame:
+    """Load the listed days of each report; one status row per table and day.
+
+    A day fails when a page that names it is broken, when it has the same cost
+    row twice, or when its total is above ``day_max``; the other days load. A
+    broken page that names no day fails all days of its table, since any may
+    be incomplete. Pages are parsed once for check and write.
+    """
+    out = None
+    for name, paths in pages.items():
+        schema, parse, amount = REPORTS[name]
+        table = tables.create_table(spark, name, f"{database}.{name}")
+        good, broken = json_reports.read_good_pages(spark, paths, schema)
+        rows = checkpointed(parse(good, organization_id))
+        wanted = rows.join(days.select(F.col("date").alias("activity_date")), "activity_date", "left_semi")
+        status = B.day_status(days, wanted, day_max if amount else None, None, "activity_date", amount or F.lit(None).cast("double"))
+        if name == "claude_costs":
+            twice = wanted.groupBy(*COST_KEY).count().filter("count > 1").groupBy(F.col("activity_date").alias("date")).agg(F.lit("duplicate cost rows").alias("reason"))
+            broken = broken.unionByName(twice)
+        status = checkpointed(B.with_failures(status, broken))
+        tables.replace_dates(_valid(B.backfill_rows(wanted, status), row_rules(name), table), table)
+        status = status.withColumn("table", F.lit(name))
+        out = status if out is None else out.unionByName(status)
+    return out
+
+
+def _pages(cost_pages, usage_pages, productivity_pages) -> dict[str, str | list[str]]:
+    given = {"claude_costs": cost_pages, "claude_usage_keys": usage_pages, "claude_code_productivity": productivity_pages}
+    return {name: paths for name, paths in given.items() if paths is not None}
+
+
+def backfill(
+    spark: SparkSession, start: Day, end: Day, organization_id: str, *, database: str, cost_pages: str | list[str] | None = None,
+    usage_pages: str | list[str] | None = None, productivity_pages: str | list[str] | None = None, day_max: float | None = None,
+) -> DataFrame:
+    """A whole range in one job per table; days that fail are left out and reported.
+
+    The status is one row per table and calendar day. It is kept, so that the
+    write and the caller see the same one whatever lands or changes meanwhile.
     """
-    table = tables.create_table(spark, "claude_costs", f"{database}.claude_costs")
-    rows = between_dates(json_reports.read_cost_report(spark, cost_pages, organization_id), "activity_date", start, end)
-    status = checkpointed(B.backfill_status(rows, start, end))
-    tables.replace_dates(B.backfill_rows(rows, status), table)
-    return status
+    pages = _pages(cost_pages, usage_pages, productivity_pages)
+    return _load_days(spark, date_spine(spark, start, end), organization_id, pages, database, day_max)
 
 
 def retry_failed(
-    spark: SparkSession, dates: DataFrame, organization_id: str, *, cost_pages: str | list[str], database: str
-) -> DataFrame:
+    spark: SparkSession, dates: DataFrame, organization_id: str, *, database: str, cost_pages: str | list[str] | None = None,
+    usage_pages: str | list[str] | None = None, productivity_pages: str | list[str] | None = None, day_max: float | None = None,
+) -> DataFrame:
     """The same for listed days: from a run log, a date file, or the table's own gaps."""
-    table = tables.create_table(spark, "claude_costs", f"{database}.claude_costs")
-    rows = json_reports.read_cost_report(spark, cost_pages, organization_id)
-    status = checkpointed(B.retry_dates(rows, dates))
-    tables.replace_dates(B.backfill_rows(rows, status), table)
-    return status
+    pages = _pages(cost_pages, usage_pages, productivity_pages)
+    return _load_days(spark, dates.select("date").distinct(), organization_id, pages, database, day_max)
 
 
 def register_views(spark: SparkSession, database: str, ide_workspace: str | None = None) -> None:

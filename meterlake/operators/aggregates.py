@@ -52,46 +52,52 @@ def order_by_agg(df: DataFrame, keys: list[str | Column], aggs: list[Column], or
     return df.groupBy(*keys).agg(*aggs, order.alias("_order")).orderBy("_order").drop("_order")
 
 
-def global_rank(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
-    """Add ``rank``, ``dense_rank`` and ``percent_rank`` over all rows, ascending.
+def global_rank(df: DataFrame, value: str, within: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Add ``rank``, ``dense_rank`` and ``percent_rank`` over all rows, or those of one value of ``within``, ascending.
 
-    A window without partitions would sort everything in one task. Here the
+    A window over all of them would sort everything in one task. Here the
     distinct values are counted first (so ties are one row), cut into buckets
     by approximate quantiles, and ranked within a bucket; the bucket offsets
-    come from at most ``buckets`` + 1 totals. The ranks are exact whatever the
-    cuts are, because a bucket only has to hold a contiguous range of values.
-    NULL values are not ranked.
+    come from at most ``buckets`` + 1 totals (as many as there are shuffle
+    partitions, 64 at least). The ranks are exact whatever the cuts are,
+    because a bucket only has to hold a contiguous range of values. NULL values
+    are not ranked.
     """
-    hist = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    if buckets is None:
+        buckets = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    part = [within] if within else []
+    hist = df.filter(F.col(value).isNotNull()).groupBy(*part, value).agg(F.count(F.lit(1)).alias("_n"))
     points = [i / buckets for i in range(1, buckets)]
-    cuts = hist.agg(F.percentile_approx(value, points, 1000)).scalar()
+    cuts = hist.agg(F.percentile_approx(value, points, 20 * buckets)).scalar()
     hist = hist.withColumn("_cuts", cuts)
     hist = hist.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
 
-    order = Window.orderBy("_b")  # over at most buckets + 1 rows
-    before, whole = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    order = Window.partitionBy(*part).orderBy("_b")  # over at most buckets + 1 rows
+    before, whole = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*part)
     offsets = (
-        hist.groupBy("_b")
+        hist.groupBy(*part, "_b")
         .agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
         .select(
+            *part,
             "_b",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
             F.coalesce(F.sum("_values").over(before), F.lit(0)).alias("_values_before"),
             F.sum("_rows").over(whole).alias("_total"),
         )
     )
-    within = Window.partitionBy("_b").orderBy(value)
-    smaller = within.rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*part, "_b").orderBy(value)
+    smaller = inside.rowsBetween(Window.unboundedPreceding, -1)
     # A left join, though every bucket matches: an inner one would push a NULL
     # check on the bucket, and with it the bucket search, down to every row.
-    ranks = hist.join(offsets, "_b", "left").select(
+    ranks = hist.join(offsets, [*part, "_b"], "left").select(
+        *part,
         value,
         (F.col("_rows_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0)) + 1).alias("rank"),
-        (F.col("_values_before") + F.row_number().over(within)).cast("bigint").alias("dense_rank"),
+        (F.col("_values_before") + F.row_number().over(inside)).cast("bigint").alias("dense_rank"),
         "_total",
     )
     ranks = ranks.withColumn(
         "percent_rank", F.when(F.col("_total") > 1, safe_divide(F.col("rank") - 1, F.col("_total") - 1)).otherwise(0.0)
     )
-    rest = [c for c in df.columns if c != value] or [value]
-    return join_totals(df, ranks.drop("_total"), [value], spread=rest)
+    rest = [c for c in df.columns if c not in (value, within)]
+    return join_totals(df, ranks.drop("_total"), [*part, value], spread=rest)

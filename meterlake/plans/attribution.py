@@ -231,9 +231,8 @@ def _allocated(joined: DataFrame) -> DataFrame:
 # --- daily star --------------------------------------------------------------
 
 def _acceptance(accepted: Column, added: Column) -> Column:
-    """Accepted share as NUMERIC(5,4); 0 without suggestions, at most 9.9999."""
-    r = F.coalesce(F.round(safe_divide(accepted, added), 4), F.lit(0.0))
-    return F.least(r, F.lit(9.9999)).cast("decimal(5,4)")
+    """Accepted share to four places; 0 without suggestions. More lines may be accepted than were added."""
+    return F.coalesce(F.round(safe_divide(accepted, added), 4), F.lit(0.0)).cast("decimal(18,4)")
 
 
 def fct_usage_daily(
@@ -295,8 +294,15 @@ def _star(df: DataFrame, platform: str, **fill: Column) -> DataFrame:
     )
 
 
-def fct_cost_daily(allocated: DataFrame, combined: DataFrame, dim_keys: DataFrame) -> DataFrame:
-    """Daily cost fact: allocated API cost by key, other providers by user."""
+def fct_cost_daily(allocated: DataFrame, combined: DataFrame, dim_keys: DataFrame, api_costs: DataFrame) -> DataFrame:
+    """Daily cost fact: allocated API cost by key, other providers by user.
+
+    What ``api_costs`` has beyond the allocated sum of a (date, workspace,
+    model) is a row of its own, cost type ``unallocated``, without key and
+    user: cost without usage, cost that plain equality leaves out, and the
+    rest of rounding. The fact's total thus equals that of ``combined``, given
+    that ``combined`` was made from the same ``api_costs``.
+    """
     api = allocated.groupBy(F.col("activity_date").alias("cost_date"), "workspace_id", "api_key_id", "model").agg(
         F.sum(F.col("allocated_cost_usd").cast("decimal(18,6)")).alias("cost_usd")
     )
@@ -306,10 +312,18 @@ def fct_cost_daily(allocated: DataFrame, combined: DataFrame, dim_keys: DataFram
         F.lit("usage").alias("cost_type"), "model",
     )
     none = F.lit(None).cast("string")
-    other = combined.filter(F.col("provider") != "claude_api").groupBy("cost_date", "provider", "user_email", "cost_category", "model").agg(
+    grain = ["cost_date", "workspace_id", "model"]
+    billed = api_costs.select(F.col("activity_date").alias("cost_date"), "workspace_id", "model", F.col("amount_usd").cast("decimal(18,6)").alias("cost_usd"))
+    spent = api.select(*grain, (-F.coalesce("cost_usd", F.lit(0))).cast("decimal(18,6)").alias("cost_usd"))
+    left = billed.unionByName(spent).groupBy(*grain).agg(F.sum("cost_usd").cast("decimal(18,6)").alias("cost_usd")).filter("cost_usd <> 0")
+    left = left.select(
+        "cost_date", F.lit("anthropic").alias("platform"), "workspace_id", none.alias("api_key_id"), none.alias("user_email"),
+        "cost_usd", F.lit("unallocated").alias("cost_type"), "model",
+    )
+    other = combined.filter(~F.col("provider").eqNullSafe("claude_api")).groupBy("cost_date", "provider", "user_email", "cost_category", "model").agg(
         F.sum("amount_usd").cast("decimal(18,6)").alias("cost_usd")
     ).select(
         "cost_date", F.col("provider").alias("platform"), none.alias("workspace_id"), none.alias("api_key_id"),
         F.lower("user_email").alias("user_email"), "cost_usd", F.col("cost_category").alias("cost_type"), "model",
     )
-    return union_all([api, other])
+    return union_all([api, left, other])

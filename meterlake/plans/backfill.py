@@ -14,9 +14,10 @@ from meterlake.operators.joins import anti_join
 MAX_CHUNK_DAYS = 90
 
 
-def _day_status(
-    days: DataFrame, rows: DataFrame, day_max: float | None, invalid: Column | None, col: str, amount: str
+def day_status(
+    days: DataFrame, rows: DataFrame, day_max: float | None, invalid: Column | None, col: str, amount: str | Column
 ) -> DataFrame:
+    """One row per day: rows read, total, ok/failed/empty and why."""
     bad = F.coalesce(invalid, F.lit(False)) if invalid is not None else F.lit(False)
     per_day = rows.groupBy(F.col(col).alias("date")).agg(
         count_big().alias("n"), F.sum(amount).alias("total"), count_big(bad).alias("bad")
@@ -44,7 +45,19 @@ def backfill_status(
     days are not affected.
     """
     days = date_spine(rows.sparkSession, start, end)
-    return _day_status(days, between_dates(rows, col, start, end), day_max, invalid, col, amount)
+    return day_status(days, between_dates(rows, col, start, end), day_max, invalid, col, amount)
+
+
+def with_failures(status: DataFrame, failures: DataFrame) -> DataFrame:
+    """The status with further failures (date, reason); a null date fails every day."""
+    per_day = failures.groupBy("date").agg(F.min("reason").alias("_why"))
+    every = per_day.filter("date IS NULL").agg(F.min("_why")).scalar()
+    joined = status.join(per_day.filter("date IS NOT NULL"), "date", "left").withColumn("_why", F.coalesce("_why", every))
+    return joined.select(
+        "date", "rows", "total_cost",
+        F.when(F.col("_why").isNotNull(), "failed").otherwise(F.col("status")).alias("status"),
+        F.coalesce(F.when(F.col("status") == "failed", F.col("reason")), "_why", "reason").alias("reason"),
+    )
 
 
 def backfill_rows(rows: DataFrame, status: DataFrame, col: str = "activity_date") -> DataFrame:
@@ -59,7 +72,7 @@ def retry_dates(
 ) -> DataFrame:
     """Status of the listed days only."""
     days = dates.select("date").distinct()
-    return _day_status(days, semi_filter(rows, days.withColumnRenamed("date", col), col), day_max, invalid, col, amount)
+    return day_status(days, semi_filter(rows, days.withColumnRenamed("date", col), col), day_max, invalid, col, amount)
 
 
 def auto_detect_missing(target: DataFrame, start: Day, end: Day, col: str = "activity_date") -> DataFrame:

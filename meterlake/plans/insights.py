@@ -105,8 +105,8 @@ GRAINS = {"day": lambda c: F.col(c), "week": week_start, "month": month_start}
 def productivity_metrics(usage: DataFrame, grain: str = "month") -> DataFrame:
     """Accepted share of added lines per user and period, its band and its percentile tier.
 
-    The tier is the user's quartile over all (user, period) rows by the rate
-    rounded to four places.
+    Band and tier go by the exact rate, which is rounded for output only. The
+    tier is the user's quartile among the users of the same period.
     """
     days = usage.groupBy("activity_date", "user_email").agg(
         F.sum("total_lines_added").cast("bigint").alias("added"), F.sum("accepted_lines_added").cast("bigint").alias("accepted")
@@ -114,8 +114,8 @@ def productivity_metrics(usage: DataFrame, grain: str = "month") -> DataFrame:
     rows = days.groupBy(GRAINS[grain]("activity_date").alias("period_start"), "user_email").agg(
         F.sum("added").alias("lines_added"), F.sum("accepted").alias("lines_accepted"), F.count("activity_date").alias("active_days")
     )
-    rows = rows.withColumn("acceptance_rate", F.round(safe_divide("lines_accepted", "lines_added"), 4))
-    ranked = global_rank(rows, "acceptance_rate")
+    rows = rows.withColumn("rate", safe_divide("lines_accepted", "lines_added"))
+    ranked = global_rank(rows, "rate", within="period_start")
     p = F.col("percent_rank")
     return ranked.select(
         "period_start",
@@ -123,8 +123,8 @@ def productivity_metrics(usage: DataFrame, grain: str = "month") -> DataFrame:
         "lines_added",
         "lines_accepted",
         "active_days",
-        "acceptance_rate",
-        _best_first(F.col("acceptance_rate") * 100, ACCEPTANCE_BANDS, ACCEPTANCE_LOW, False).alias("performance_band"),
+        F.round("rate", 4).alias("acceptance_rate"),
+        _best_first(F.col("rate") * 100, ACCEPTANCE_BANDS, ACCEPTANCE_LOW, False).alias("performance_band"),
         F.round(p, 6).alias("percentile"),
         F.when(p.isNull(), None).when(p >= 0.75, "Top 25%").when(p >= 0.5, "Upper half")
         .when(p >= 0.25, "Lower half").otherwise("Bottom 25%").alias("tier"),
@@ -141,15 +141,13 @@ def _cost_and_lines(costs: DataFrame, usage: DataFrame) -> DataFrame:
 
 def cost_allocation(costs: DataFrame, usage: DataFrame) -> DataFrame:
     """Cost per accepted line by user, its band and rank (1 is the cheapest)."""
-    users = _cost_and_lines(costs, usage).withColumn(
-        "cost_per_line", F.round(safe_divide("cost", "lines_accepted"), 4)
-    )
+    users = _cost_and_lines(costs, usage).withColumn("cost_per_line", safe_divide("cost", "lines_accepted"))
     ranked = global_rank(users, "cost_per_line")
     return ranked.select(
         "user_email",
         usd("cost").alias("total_cost_usd"),
         "lines_accepted",
-        F.col("cost_per_line").alias("cost_per_line_usd"),
+        F.round("cost_per_line", 4).alias("cost_per_line_usd"),
         _best_first(F.col("cost_per_line"), ROI_BANDS, ROI_POOR, True).alias("efficiency_band"),
         F.col("dense_rank").alias("user_rank"),
     )
@@ -164,14 +162,14 @@ def team_cost_allocation(costs: DataFrame, usage: DataFrame, dim_keys: DataFrame
     joined = users.join(mapping, F.lower(users["user_email"]) == mapping["_mapped"], "left")
     teams = joined.groupBy(F.coalesce("team", F.lit("Unmapped")).alias("team")).agg(
         count_big().alias("user_count"), F.sum("cost").alias("cost"), F.sum("lines_accepted").cast("bigint").alias("lines_accepted")
-    ).withColumn("cost_per_line", F.round(safe_divide("cost", "lines_accepted"), 4))
+    ).withColumn("cost_per_line", safe_divide("cost", "lines_accepted"))
     ranked = global_rank(teams, "cost_per_line")
     return ranked.select(
         "team",
         "user_count",
         usd("cost").alias("team_cost_usd"),
         "lines_accepted",
-        F.col("cost_per_line").alias("cost_per_line_usd"),
+        F.round("cost_per_line", 4).alias("cost_per_line_usd"),
         _best_first(F.col("cost_per_line"), ROI_BANDS, ROI_POOR, True).alias("efficiency_band"),
         F.col("dense_rank").alias("team_rank"),
     )

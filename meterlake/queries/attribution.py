@@ -115,8 +115,9 @@ def _star(s, d):
 
 
 def _cost_star(s, d):
-    allocated = A.allocate_cost_to_keys(P.claude_costs(s, d), P.usage_keys(s, d), null_safe=True)
-    out = A.fct_cost_daily(allocated, P.combined_daily_costs(s, d), P.dim_api_keys(s, d))
+    """Plain equality leaves the default workspace's cost to no key: it comes as unallocated."""
+    allocated = A.allocate_cost_to_keys(P.claude_costs(s, d), P.usage_keys(s, d))
+    out = A.fct_cost_daily(allocated, P.combined_daily_costs(s, d), P.dim_api_keys(s, d), P.claude_costs(s, d))
     return out.groupBy("cost_date", "platform", "cost_type").agg(
         F.round(F.sum("cost_usd"), 2).cast("double").alias("cost_usd"),
         F.countDistinct("user_email").alias("users"),
@@ -128,11 +129,14 @@ _COST_STAR = f"""
 WITH c AS (SELECT {GRAIN}, SUM(amount_usd) AS cost FROM costs GROUP BY ALL),
 k AS (SELECT activity_date, api_key_id, workspace_id, model, {TOKENS5} AS n FROM usage_keys),
 t AS (SELECT {GRAIN}, SUM(n) AS tokens FROM k GROUP BY ALL),
-a AS (SELECT k.activity_date AS d, k.api_key_id, CAST(ROUND({sdiv('cost * n', 'tokens')}, 6) AS DECIMAL(18,6)) AS usd
-  FROM k LEFT JOIN c ON k.activity_date = c.activity_date AND k.workspace_id IS NOT DISTINCT FROM c.workspace_id AND k.model = c.model
-  LEFT JOIN t ON k.activity_date = t.activity_date AND k.workspace_id IS NOT DISTINCT FROM t.workspace_id AND k.model = t.model),
+a AS (SELECT k.activity_date AS d, k.workspace_id, k.model, k.api_key_id, CAST(ROUND({sdiv('cost * n', 'tokens')}, 6) AS DECIMAL(18,6)) AS usd
+  FROM k LEFT JOIN c ON k.activity_date = c.activity_date AND k.workspace_id = c.workspace_id AND k.model = c.model
+  LEFT JOIN t ON k.activity_date = t.activity_date AND k.workspace_id = t.workspace_id AND k.model = t.model),
+r AS (SELECT activity_date, workspace_id, model, SUM(usd) AS usd FROM (SELECT {GRAIN}, CAST(amount_usd AS DECIMAL(18,6)) AS usd FROM costs
+  UNION ALL SELECT d, workspace_id, model, -COALESCE(usd, 0) FROM a) GROUP BY ALL),
 u AS (SELECT d, 'anthropic' AS platform, 'usage' AS cost_type, usd, LOWER(x.user_email) AS user_email, a.api_key_id FROM a LEFT JOIN key_user x USING (api_key_id)
-  UNION ALL SELECT cost_date, provider, cost_category, amount_usd, LOWER(user_email), NULL FROM combined WHERE provider <> 'claude_api')
+  UNION ALL SELECT activity_date, 'anthropic', 'unallocated', usd, NULL, NULL FROM r WHERE usd <> 0
+  UNION ALL SELECT cost_date, provider, cost_category, amount_usd, LOWER(user_email), NULL FROM combined WHERE provider IS DISTINCT FROM 'claude_api')
 SELECT d AS cost_date, platform, cost_type, CAST(ROUND(SUM(usd), 2) AS DOUBLE) AS cost_usd, COUNT(DISTINCT user_email) AS users,
   COUNT(DISTINCT api_key_id) AS api_keys FROM u GROUP BY 1, 2, 3"""
 
@@ -220,7 +224,7 @@ FROM k JOIN c USING (workspace_id, model, activity_date)""",
     ),
     "fct_usage_daily": Query(
         lambda s, d: _money(_star(s, d), "acceptance_rate"),
-        f"""SELECT *, {dbl(f"CAST(LEAST(COALESCE(ROUND({sdiv('loc_accepted', 'loc_added')}, 4), 0), 9.9999) AS DECIMAL(5,4))")} AS acceptance_rate FROM fct""",
+        f"""SELECT *, {dbl(f"CAST(COALESCE(ROUND({sdiv('loc_accepted', 'loc_added')}, 4), 0) AS DECIMAL(18,4))")} AS acceptance_rate FROM fct""",
     ),
     "fct_cost_daily": Query(_cost_star, _COST_STAR),
     "three_way_left_join": Query(

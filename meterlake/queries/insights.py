@@ -36,11 +36,11 @@ def _productivity(grain: str, period: str) -> Query:
     rate = f"CASE WHEN {t} <> 0 THEN CAST((20000 * {a} + {t}) // (2 * {t}) AS DOUBLE) / 10000 END"
     sql = f"""
 WITH r AS (SELECT {period} AS period_start, user_email, {big('SUM(total_lines_added)')} AS lines_added,
-  {big('SUM(accepted_lines_added)')} AS lines_accepted, COUNT(DISTINCT activity_date) AS active_days, {rate} AS acceptance_rate FROM editor GROUP BY 1, 2),
-k AS (SELECT *, PERCENT_RANK() OVER (ORDER BY acceptance_rate) AS p FROM r)
+  {big('SUM(accepted_lines_added)')} AS lines_accepted, COUNT(DISTINCT activity_date) AS active_days, {rate} AS acceptance_rate, {sdiv(a, t)} AS exact FROM editor GROUP BY 1, 2),
+k AS (SELECT *, PERCENT_RANK() OVER (PARTITION BY period_start ORDER BY exact) AS p FROM r)
 SELECT period_start, user_email, lines_added, lines_accepted, active_days, acceptance_rate,
-  CASE WHEN acceptance_rate * 100 > 80 THEN 'Excellent' WHEN acceptance_rate * 100 > 60 THEN 'Good'
-    WHEN acceptance_rate * 100 > 40 THEN 'Average' ELSE 'Needs attention' END AS performance_band,
+  CASE WHEN exact * 100 > 80 THEN 'Excellent' WHEN exact * 100 > 60 THEN 'Good'
+    WHEN exact * 100 > 40 THEN 'Average' ELSE 'Needs attention' END AS performance_band,
   ROUND(p, 6) AS percentile, CASE WHEN p >= 0.75 THEN 'Top 25%' WHEN p >= 0.5 THEN 'Upper half'
     WHEN p >= 0.25 THEN 'Lower half' ELSE 'Bottom 25%' END AS tier FROM k"""
     return Query(lambda s, d: I.productivity_metrics(P.cursor_usage_stats(s, d), grain), sql)
@@ -135,8 +135,8 @@ SELECT cost_month, user_email, {usd('cost')} AS monthly_cost_usd,
     "productivity_metrics": _productivity("month", month("activity_date")),
     "cost_allocation": Query(
         lambda s, d: I.cost_allocation(P.combined_daily_costs(s, d), P.cursor_usage_stats(s, d)),
-        f"""WITH {_USERS}, y AS (SELECT *, ROUND({sdiv('cost', 'lines_accepted')}, 4) AS cpl FROM x)
-SELECT user_email, {usd('cost')} AS total_cost_usd, lines_accepted, cpl AS cost_per_line_usd, {_ROI}, {_RANK} AS user_rank FROM y""",
+        f"""WITH {_USERS}, y AS (SELECT *, {sdiv('cost', 'lines_accepted')} AS cpl FROM x)
+SELECT user_email, {usd('cost')} AS total_cost_usd, lines_accepted, ROUND(cpl, 4) AS cost_per_line_usd, {_ROI}, {_RANK} AS user_rank FROM y""",
     ),
     "team_cost_allocation": Query(
         lambda s, d: I.team_cost_allocation(P.combined_daily_costs(s, d), P.cursor_usage_stats(s, d), P.dim_api_keys(s, d)),
@@ -144,8 +144,8 @@ SELECT user_email, {usd('cost')} AS total_cost_usd, lines_accepted, cpl AS cost_
   WHERE mapped_user_email IS NOT NULL GROUP BY 1),
 t AS (SELECT COALESCE(team, 'Unmapped') AS team, COUNT(*) AS user_count, SUM(cost) AS cost, {big('SUM(lines_accepted)')} AS lines_accepted
   FROM x LEFT JOIN k ON user_email = mu GROUP BY 1),
-y AS (SELECT *, ROUND({sdiv('cost', 'lines_accepted')}, 4) AS cpl FROM t)
-SELECT team, user_count, {usd('cost')} AS team_cost_usd, lines_accepted, cpl AS cost_per_line_usd, {_ROI}, {_RANK} AS team_rank FROM y""",
+y AS (SELECT *, {sdiv('cost', 'lines_accepted')} AS cpl FROM t)
+SELECT team, user_count, {usd('cost')} AS team_cost_usd, lines_accepted, ROUND(cpl, 4) AS cost_per_line_usd, {_ROI}, {_RANK} AS team_rank FROM y""",
     ),
     "executive_summary": Query(
         _combined(I.executive_summary),

@@ -36,10 +36,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 
-    It is unset only in tests, where a temporary folder takes its place.
+    Where it is unset, a local master gets a temporary folder; on a cluster
+    every machine would see another one, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="meterlake-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

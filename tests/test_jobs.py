@@ -49,7 +49,7 @@ def test_vendor_day_twice(spark, tmp_path, database):
 
 def test_refused_day_writes_nothing(spark, tmp_path, database):
     with pytest.raises(jobs.CheckFailed, match="exceeds"):
-        jobs.load_vendor_day(spark, "2025-10-15", "org", database=database, **vendor(tmp_path, 99999999))
+        jobs.load_vendor_day(spark, "2025-10-15", "org", database=database, day_max=1000.0, **vendor(tmp_path, 99999999))
     assert spark.catalog.listTables(database) == []
     args = vendor(tmp_path, 1)
     args["cost_pages"] = put(tmp_path / "d", "1.json", {"data": [bucket("2025-10-15", {"amount": "1"}, {"amount": "2"})]})
@@ -87,7 +87,7 @@ def test_activity_export_replaces_its_span(spark, tmp_path, database):
 
 def test_backfill_skips_bad_days_and_retry_fills_them(spark, tmp_path, database):
     pages = cost_page(tmp_path / "c", "1.json", ("2025-10-01", 100), ("2025-10-02", 99999999), ("2025-10-04", 300, 400))
-    status = jobs.backfill_costs(spark, "2025-10-01", "2025-10-04", "org", cost_pages=pages, database=database)
+    status = jobs.backfill(spark, "2025-10-01", "2025-10-04", "org", cost_pages=pages, database=database, day_max=1000.0)
     assert [r.status for r in status.orderBy("date").collect()] == ["ok", "failed", "empty", "ok"]
     costs = spark.table(f"{database}.claude_costs")
     assert costs.count() == 3
@@ -111,3 +111,43 @@ def test_views_for_sql(spark, tmp_path, database):
     assert kpi_total_cost(spark.table("vw_combined_daily_costs")).first().claude_api_cost_usd == 4.0
     assert alert_cache_efficiency(spark.table("claude_usage_report")).first().cache_hit_rate_pct is None
     assert spark.table("claude_cost_report").count() == 2
+
+
+def test_no_ceiling_unless_given_and_descriptions_differ(spark, tmp_path, database):
+    args = vendor(tmp_path, 1)
+    args["cost_pages"] = put(tmp_path / "d", "1.json", {"data": [bucket("2025-10-15", {"amount": "200000", "description": "a"}, {"amount": "2", "description": "b"})]})
+    jobs.load_vendor_day(spark, "2025-10-15", "org", database=database, **args)
+    assert float(spark.table(f"{database}.claude_costs").agg(F.sum("amount_usd")).first()[0]) == 2000.02
+
+
+def test_repeated_and_missing_pages(spark, tmp_path, database):
+    args = vendor(tmp_path, 100, 200)
+    cost_page(tmp_path / "c", "2.json", ("2025-10-15", 100, 200), ("2025-10-16", 7))
+    jobs.load_vendor_day(spark, "2025-10-15", "org", database=database, **args)
+    assert float(spark.table(f"{database}.claude_costs").agg(F.sum("amount_usd")).first()[0]) == 3.0
+    args["usage_pages"] = put(tmp_path / "more", "1.json", {"data": [], "has_more": True, "next_page": "x"})
+    with pytest.raises(jobs.CheckFailed, match="missing"):
+        jobs.load_vendor_day(spark, "2025-10-15", "org", database=database, **args)
+
+
+def test_rejected_rows_land_beside_the_table(spark, tmp_path, database):
+    args = vendor(tmp_path, 100, -5)
+    jobs.load_vendor_day(spark, "2025-10-15", "org", database=database, **args)
+    assert spark.table(f"{database}.claude_costs").count() == 1
+    bad = spark.table(f"{database}.claude_costs_rejected").collect()
+    assert [(float(r.amount_usd), r.errors) for r in bad] == [(-0.05, ["amount_usd is negative"])]
+
+
+def test_backfill_of_three_tables_with_a_broken_page(spark, tmp_path, database):
+    day = lambda n: f"2025-10-0{n}"
+    pages = cost_page(tmp_path / "c", "1.json", (day(1), 100))
+    cost_page(tmp_path / "c", "3.json", (day(3), 300))
+    (tmp_path / "c" / "2.json").write_text('{"data": [{"starting_at": "2025-10-02T00:00:00Z", "results": [{"amount": "5"')
+    usage = put(tmp_path / "u", "1.json", {"data": [bucket(day(n), {"api_key_id": "k", "output_tokens": n}) for n in (1, 2, 3)]})
+    ide = put(tmp_path / "p", "1.json", {"data": [{"date": f"{day(2)}T00:00:00Z", "actor": {"type": "user_actor"}}]})
+    status = jobs.backfill(spark, day(1), day(3), "org", database=database, cost_pages=pages, usage_pages=usage, productivity_pages=ide)
+    got = {(r["table"], r["date"].day): (r["status"], r["reason"]) for r in status.collect()}
+    assert [got["claude_costs", n] for n in (1, 2, 3)] == [("ok", None), ("failed", "malformed page 2.json"), ("ok", None)]
+    assert [got["claude_usage_keys", n][0] for n in (1, 2, 3)] == ["ok"] * 3
+    assert [got["claude_code_productivity", n][0] for n in (1, 2, 3)] == ["empty", "ok", "empty"]
+    assert {t: spark.table(f"{database}.{t}").count() for t in ("claude_costs", "claude_usage_keys", "claude_code_productivity")} == {"claude_costs": 2, "claude_usage_keys": 3, "claude_code_productivity": 1}

@@ -350,3 +350,40 @@ def test_lookup_keeps_the_fact_grain(spark):
     dim = spark.createDataFrame([("k1", "b"), ("k1", "a"), (None, "z")], "k string, v string")
     got = sorted((r.n, r.v) for r in J.lookup(facts, dim, "k", "v", "v").collect())
     assert got == [(1, "a"), (2, "a"), (3, None), (4, None)]
+
+
+def test_acceptance_above_ten_is_kept(spark):
+    from meterlake.plans.attribution import _acceptance
+
+    df = spark.createDataFrame([(500, 1), (1, 3), (5, 0)], "a long, b long")
+    assert [str(r[0]) for r in df.select(_acceptance(F.col("a"), F.col("b"))).collect()] == ["500.0000", "0.3333", "0.0000"]
+
+
+def test_cost_star_total_is_the_combined_total(spark):
+    """Cost without usage, a default workspace, a NULL model and a NULL provider all stay."""
+    from meterlake.plans import attribution as A
+
+    costs = spark.createDataFrame([("2025-10-01", "w", "m", "5.00"), ("2025-10-01", None, "m", "7.00"), ("2025-10-01", "w", None, "10.00"), ("2025-10-02", "w", "m", "0.01")], "d string, workspace_id string, model string, usd string")
+    costs = costs.selectExpr("CAST(d AS DATE) AS activity_date", "workspace_id", "model", "CAST(usd AS DECIMAL(18,6)) AS amount_usd")
+    usage = spark.createDataFrame([("2025-10-01", "k1", "w", "m", 1), ("2025-10-01", "k2", "w", "m", 2), ("2025-10-01", "k3", None, "m", 1)], "d string, api_key_id string, workspace_id string, model string, n long")
+    usage = usage.select(F.col("d").cast("date").alias("activity_date"), "api_key_id", "workspace_id", "model", *[F.col("n").alias(k) for k in A.TOKEN_KINDS])
+    combined = costs.selectExpr("activity_date AS cost_date", "'claude_api' AS provider", "CAST(NULL AS STRING) AS user_email", "model", "'x' AS cost_category", "amount_usd")
+    more = combined.selectExpr("cost_date", "CAST(NULL AS STRING) AS provider", "user_email", "model", "cost_category", "CAST(2 AS DECIMAL(18,6)) AS amount_usd").limit(1)
+    combined = combined.unionByName(more)
+    keys = spark.createDataFrame([("k1", "u@x")], "api_key_id string, mapped_user_email string")
+    for null_safe in (False, True):
+        star = A.fct_cost_daily(A.allocate_cost_to_keys(costs, usage, null_safe), combined, keys, costs)
+        assert star.agg(F.sum("cost_usd")).first()[0] == combined.agg(F.sum("amount_usd")).first()[0]
+
+
+def test_bands_and_ranks_go_by_exact_values(spark):
+    from meterlake.plans import insights as I
+
+    costs = spark.createDataFrame([("a", "14.996"), ("b", "14.999")], "user_email string, usd string").selectExpr("DATE'2025-01-01' AS cost_date", "user_email", "CAST(usd AS DECIMAL(18,6)) AS amount_usd")
+    usage = spark.createDataFrame([("a", 100), ("b", 100)], "user_email string, accepted_lines_added long")
+    got = {r.user_email: (r.efficiency_band, r.user_rank) for r in I.cost_allocation(costs, usage).collect()}
+    assert got == {"a": ("Excellent", 1), "b": ("Excellent", 2)}
+    days = [("2025-01-05", "u", 100, 10), ("2025-01-05", "v", 100, 20), ("2025-02-05", "u", 100, 90), ("2025-02-05", "v", 100, 80)]
+    rows = spark.createDataFrame(days, "d string, user_email string, total_lines_added long, accepted_lines_added long").selectExpr("CAST(d AS DATE) AS activity_date", "*")
+    tiers = {(r.period_start.month, r.user_email): r.tier for r in I.productivity_metrics(rows).collect()}
+    assert tiers == {(1, "u"): "Bottom 25%", (1, "v"): "Top 25%", (2, "u"): "Top 25%", (2, "v"): "Bottom 25%"}
