@@ -89,7 +89,10 @@ def global_rank(df: DataFrame, value: str, within: str | None = None, buckets: i
     smaller = inside.rowsBetween(Window.unboundedPreceding, -1)
     # A left join, though every bucket matches: an inner one would push a NULL
     # check on the bucket, and with it the bucket search, down to every row.
-    ranks = hist.join(offsets, [*part, "_b"], "left").select(
+    # Null-safe for the same reason: a NULL check on ``within`` would reach the rows of one branch only.
+    offsets = offsets.withColumnsRenamed({c: f"_o_{c}" for c in [*part, "_b"]})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in [*part, "_b"]])
+    ranks = hist.join(offsets, same, "left").select(
         *part,
         value,
         (F.col("_rows_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0)) + 1).alias("rank"),
@@ -100,4 +103,4 @@ def global_rank(df: DataFrame, value: str, within: str | None = None, buckets: i
         "percent_rank", F.when(F.col("_total") > 1, safe_divide(F.col("rank") - 1, F.col("_total") - 1)).otherwise(0.0)
     )
     rest = [c for c in df.columns if c not in (value, within)]
-    return join_totals(df, ranks.drop("_total"), [*part, value], spread=rest)
+    return join_totals(df, ranks.drop("_total"), [*part, value], spread=rest, null_safe=bool(part))

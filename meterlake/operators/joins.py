@@ -1,8 +1,9 @@
 """Joins.
 
-No side is hinted: Catalyst broadcasts one whose size it knows to be below
+Catalyst broadcasts a side whose size it knows to be below
 ``spark.sql.autoBroadcastJoinThreshold``, AQE does so from measured sizes, and
-anything larger is shuffled with skewed partitions split.
+anything larger is shuffled with skewed partitions split. Only a dimension that
+was measured first is broadcast by hint.
 """
 
 from __future__ import annotations
@@ -12,7 +13,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.session import checkpointed
+
 SALTS = 16
+SMALL = 8 << 20  # bytes of a measured dimension that every executor may hold
 
 
 def join_totals(
@@ -57,12 +61,17 @@ def three_way_left(
     return out
 
 
-def lookup(facts: DataFrame, dim: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """One dimension attribute per fact row; a key listed twice takes the smallest value.
+def lookup(facts: DataFrame, dim: DataFrame, key: str, values: dict[str, str], small: int = SMALL) -> DataFrame:
+    """Dimension attributes (new name: dimension column) per fact row in one join; a key listed twice takes the smallest value.
 
-    Reducing the dimension to one row per key first keeps the fact grain.
+    Reducing the dimension to one row per key first keeps the fact grain. The
+    reduced one is kept and measured: up to ``small`` bytes it is broadcast and
+    the facts are not shuffled, a larger one is joined over salted keys.
     """
-    one = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(alias))
+    one = checkpointed(dim.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(c).alias(a) for a, c in values.items()]))
+    wide = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in one.columns), F.lit(0))
+    if (one.agg(F.sum(wide)).first()[0] or 0) <= small:
+        return facts.join(F.broadcast(one), key, "left").select(*facts.columns, *values)
     return join_totals(facts, one, [key], spread=[c for c in facts.columns if c != key])
 
 

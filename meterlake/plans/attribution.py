@@ -249,7 +249,7 @@ def fct_usage_daily(
         F.sum("output_tokens").alias("output_tokens"),
         F.count(F.lit(1)).alias("requests"),
     )
-    api = lookup(api, dim_keys, "api_key_id", "mapped_user_email", "user_email")
+    api = lookup(api, dim_keys, "api_key_id", {"user_email": "mapped_user_email"})
     api = api.withColumn("user_email", F.lower("user_email"))
     api = _star(api, "anthropic", sessions=zero, loc_added=zero, loc_accepted=zero)
 
@@ -263,7 +263,7 @@ def fct_usage_daily(
         F.sum("lines_added").alias("loc_added"),
         F.sum("lines_added").alias("loc_accepted"),
     )
-    by_name = lookup(ide, dim_keys, "api_key_name", "mapped_user_email", "key_user")
+    by_name = lookup(ide, dim_keys, "api_key_name", {"key_user": "mapped_user_email"})
     ide = by_name.withColumn("user_email", F.lower(F.coalesce("user_email", "key_user")))
     ide = _star(ide, "claude_code")
 
@@ -306,7 +306,7 @@ def fct_cost_daily(allocated: DataFrame, combined: DataFrame, dim_keys: DataFram
     api = allocated.groupBy(F.col("activity_date").alias("cost_date"), "workspace_id", "api_key_id", "model").agg(
         F.sum(F.col("allocated_cost_usd").cast("decimal(18,6)")).alias("cost_usd")
     )
-    api = lookup(api, dim_keys, "api_key_id", "mapped_user_email", "user_email").select(
+    api = lookup(api, dim_keys, "api_key_id", {"user_email": "mapped_user_email"}).select(
         "cost_date", F.lit("anthropic").alias("platform"), "workspace_id", "api_key_id",
         F.lower("user_email").alias("user_email"), F.col("cost_usd").cast("decimal(18,6)").alias("cost_usd"),
         F.lit("usage").alias("cost_type"), "model",

@@ -9,6 +9,7 @@ from meterlake.functions.dates import Day, date_spine, day
 from meterlake.functions.numbers import count_big
 from meterlake.operators.filters import between_dates, semi_filter
 from meterlake.operators.joins import anti_join
+from meterlake.session import checkpointed
 
 # Fixed value: the longest range one request may ask for.
 MAX_CHUNK_DAYS = 90
@@ -99,9 +100,8 @@ def chunk_range(spark: SparkSession, start: Day | Column, end: Day | Column, day
 
 def chunk_load(rows: DataFrame, col: str = "activity_date", days: int = MAX_CHUNK_DAYS) -> DataFrame:
     """The chunks that cover a table's dates, with the rows each would load."""
-    per_day = rows.groupBy(col).agg(count_big().alias("n"))
-    # Reads the count too, so that the subquery shares the shuffle of per_day.
-    bounds = per_day.agg(F.struct(F.min(col).alias("s"), F.max(col).alias("e"), F.sum("n"))).scalar()
+    per_day = checkpointed(rows.groupBy(col).agg(count_big().alias("n")))  # one row per calendar day, the table is read once
+    bounds = per_day.agg(F.struct(F.min(col).alias("s"), F.max(col).alias("e"))).scalar()
     chunks = chunk_range(rows.sparkSession, bounds["s"], bounds["e"], days)
     index = F.floor(F.datediff(F.col(col), bounds["s"]) / (days + 1)).cast("bigint")
     loads = per_day.groupBy(index.alias("chunk")).agg(F.sum("n").cast("bigint").alias("rows"))

@@ -12,6 +12,7 @@ from meterlake.operators.aggregates import global_rank, union_all
 from meterlake.operators.joins import join_totals
 from meterlake.plans.validation import tolerance_compare
 from meterlake.schemas import API, EDITOR, IDE
+from meterlake.session import checkpointed
 
 # Month-over-month bands in percent.
 TREND_OK, TREND_HIGH = 20, 50
@@ -403,8 +404,12 @@ def schema_drift(current: StructType, previous: StructType) -> list[tuple[str, s
 
 def field_drift(df: DataFrame, json_col: str, expected: list[str]) -> DataFrame:
     """Drift inside landed JSON records: how many carry each field, against the expected list."""
-    total = df.filter(F.col(json_col).isNotNull()).agg(count_big()).scalar()
-    seen = df.select(F.explode(F.json_object_keys(json_col)).alias("field")).groupBy("field").agg(count_big().alias("n"))
+    # Every record also counts once under a NULL field, so that one pass gives fields and records.
+    fields = F.concat(F.coalesce(F.json_object_keys(json_col), F.array().cast("array<string>")), F.array(F.lit(None).cast("string")))
+    named = df.filter(F.col(json_col).isNotNull()).select(F.explode(fields).alias("field"))
+    seen = checkpointed(named.groupBy("field").agg(count_big().alias("n")))  # one row per field name
+    total = seen.filter("field IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    seen = seen.filter("field IS NOT NULL")
     known = df.sparkSession.createDataFrame([(f,) for f in expected], "field string").withColumn("_known", F.lit(True))
     joined = seen.join(known, "field", "full")
     return joined.select(

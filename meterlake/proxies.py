@@ -118,6 +118,15 @@ def dim_api_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dim_workspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A workspace per return flag; the facts name one of them."""
+    flags = load(spark, sf_dir, "lineitem").select("l_returnflag").distinct()
+    return flags.select(
+        F.concat(F.lit("wrkspc_"), F.lower("l_returnflag")).alias("workspace_id"),
+        F.concat(F.lit("Workspace "), "l_returnflag").alias("workspace_name"),
+    )
+
+
 def _quantity() -> Column:
     return F.col("l_quantity").cast("bigint")
 

@@ -150,11 +150,12 @@ def _three_way(s, d):
 
 
 def _lookups(s, d):
-    """Key to user, key name to user, and key to team for every fact row."""
-    dim = P.dim_api_keys(s, d)
-    rows = J.lookup(P.usage_keys(s, d).select("activity_date", "api_key_id", "output_tokens"), dim, "api_key_id", "mapped_user_email", "user_email")
-    rows = J.lookup(rows, dim, "api_key_id", "mapped_team_name", "team")
-    return rows.groupBy("activity_date", "team").agg(
+    """Key to name, user and team in one join, and workspace to its name, for every fact row."""
+    rows = P.usage_keys(s, d).select("activity_date", "api_key_id", "workspace_id", "output_tokens")
+    rows = J.lookup(rows, P.dim_api_keys(s, d), "api_key_id", {"key_name": "api_key_name", "user_email": "mapped_user_email", "team": "mapped_team_name"})
+    rows = J.lookup(rows, P.dim_workspaces(s, d), "workspace_id", {"workspace": "workspace_name"})
+    return rows.groupBy("activity_date", "team", "workspace").agg(
+        F.countDistinct("key_name").alias("key_names"),
         F.countDistinct("user_email").alias("users"), F.sum("output_tokens").alias("output_tokens")
     )
 
@@ -238,9 +239,12 @@ LEFT JOIN t ON u.activity_date = t.activity_date AND u.workspace_id = t.workspac
     ),
     "dimension_lookups": Query(
         _lookups,
-        f"""WITH k AS (SELECT api_key_id, MIN(mapped_user_email) AS user_email, MIN(mapped_team_name) AS team FROM dim_keys GROUP BY 1)
-SELECT activity_date, team, COUNT(DISTINCT user_email) AS users, {big('SUM(output_tokens)')} AS output_tokens
-FROM usage_keys LEFT JOIN k USING (api_key_id) GROUP BY 1, 2""",
+        f"""WITH k AS (SELECT api_key_id, MIN(api_key_name) AS key_name, MIN(mapped_user_email) AS user_email, MIN(mapped_team_name) AS team FROM dim_keys GROUP BY 1)
+SELECT activity_date, team, w.workspace, COUNT(DISTINCT key_name) AS key_names, COUNT(DISTINCT user_email) AS users,
+  {big('SUM(output_tokens)')} AS output_tokens
+FROM usage_keys LEFT JOIN k USING (api_key_id)
+LEFT JOIN (SELECT 'wrkspc_' || lower(l_returnflag) AS workspace_id, 'Workspace ' || l_returnflag AS workspace FROM lineitem GROUP BY ALL) w USING (workspace_id)
+GROUP BY 1, 2, 3""",
     ),
     "backfill_range": Query(_status, f"WITH {_STATUS} SELECT * FROM st"),
     "backfill_rows": Query(

@@ -12,7 +12,7 @@ from meterlake.plans.attribution import spend_deltas
 from meterlake.queries import Query
 from meterlake.queries.attribution import _APPLY, _metrics
 from meterlake.queries.views import dbl
-from meterlake.session import shared_dir
+from meterlake.session import checkpointed, shared_dir
 from meterlake.sinks import reports, tables
 from meterlake.plans.validation import quality_long, quality_profile
 
@@ -23,11 +23,14 @@ TARGET = "2024-01-15"
 
 @contextmanager
 def _table(s, name: str):
-    """A declared, managed table in a database of its own at a fresh place."""
+    """A declared, managed table in a database of its own at a fresh place, both gone afterwards."""
     at = shared_dir(s, name)
     db = "run_" + at.rsplit("-", 1)[-1]
     s.sql(f"CREATE DATABASE {db} LOCATION '{at}'")
-    yield tables.create_table(s, name, f"{db}.{name}"), f"{at}/{name}"
+    try:
+        yield tables.create_table(s, name, f"{db}.{name}"), f"{at}/{name}"
+    finally:
+        s.sql(f"DROP DATABASE {db} CASCADE")
 
 
 def _back(s, path: str, name: str) -> DataFrame:
@@ -54,7 +57,7 @@ def append_rows(s, d):
     with _table(s, "claude_ai_usage_stats") as (t, path):
         for _ in range(2):
             tables.append(_events(s, d), t)
-        return _daily(_back(s, path, t).filter("ingestion_timestamp IS NOT NULL"))
+        return checkpointed(_daily(_back(s, path, t).filter("ingestion_timestamp IS NOT NULL")))
 
 
 def replace_date(s, d):
@@ -64,7 +67,7 @@ def replace_date(s, d):
         tables.append(_events(s, d), t)
         for _ in range(2):
             tables.replace_date(new, t, TARGET)
-        return _daily(_back(s, path, t))
+        return checkpointed(_daily(_back(s, path, t)))
 
 
 def _new_export(s, d) -> DataFrame:
@@ -77,7 +80,7 @@ def replace_range(s, d):
         tables.append(_events(s, d), t)
         for _ in range(2):
             tables.replace_range(_new_export(s, d), t)
-        return _daily(_back(s, path, t))
+        return checkpointed(_daily(_back(s, path, t)))
 
 
 def range_replaced(s, d):
@@ -96,7 +99,7 @@ def update_spend(s, d):
         tables.append(_metrics(s, d), t)
         tables.update_spend(s, deltas, None, t)
         out = _back(s, path, t)
-        return out.select("activity_date", "user_email", "total_applies", F.col("daily_spend_usd").cast("double").alias("daily_spend_usd"))
+        return checkpointed(out.select("activity_date", "user_email", "total_applies", F.col("daily_spend_usd").cast("double").alias("daily_spend_usd")))
 
 
 def validation_report(s, d):

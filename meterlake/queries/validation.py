@@ -392,11 +392,9 @@ FROM combined WHERE {COST_RANGE} GROUP BY 1, 2""",
         lambda s, d: V.date_coverage(_tables(s, d), COVER_START, COVER_END, as_boolean=True), f"{_COVER} SELECT * FROM x"
     ),
     "date_coverage_gaps": Query(
-        lambda s, d: V.date_coverage(_tables(s, d)[:2], COVER_START, END, only_gaps=True),
+        lambda s, d: V.date_coverage(_tables(s, d), COVER_START, END, only_gaps=True),
         _COVER.replace(COVER_END, END)
-        + " SELECT date, CASE WHEN claude_costs THEN 'Present' ELSE 'MISSING' END AS claude_costs,"
-        " CASE WHEN claude_code_usage THEN 'Present' ELSE 'MISSING' END AS claude_code_usage"
-        " FROM x WHERE NOT claude_costs OR NOT claude_code_usage",
+        + f" {_COVER_TEXT} WHERE NOT (claude_costs AND claude_code_usage AND app_usage)",
     ),
     "coverage_summary": Query(
         lambda s, d: V.coverage_summary(_tables(s, d), COVER_START, COVER_END),

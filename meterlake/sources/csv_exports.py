@@ -23,8 +23,12 @@ def _read_csv(spark: SparkSession, paths: str | list[str], schema: str | None) -
 
 
 def read_activity_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Audit export; quoted cells may span lines and double their quotes."""
-    return _read_csv(spark, paths, ACTIVITY_CSV)
+    """Audit export; quoted cells may span lines and double their quotes.
+
+    Such a file is read by one task, so a large export should land as many
+    files. The rows are dealt out again before their literals are parsed.
+    """
+    return _read_csv(spark, paths, ACTIVITY_CSV).hint("rebalance")
 
 
 def activity_rows(raw: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def _plain_number(text: str | Column, to: str) -> Column:
 
 
 def team_rows(raw: DataFrame) -> DataFrame:
-    """Rows of ``user, spend, lines`` text: ``$52.38``, ``15,344``, ``name [API key]``."""
+    """Rows of ``user, spend, lines`` text: ``$1.25``, ``12,345``, ``name [API key]``."""
     suffix = r"\s*\[API key\]$"
     is_key = F.col("user").rlike(suffix)
     name = F.regexp_replace("user", suffix, "")

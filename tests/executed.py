@@ -31,3 +31,9 @@ def scans(df) -> list[str]:
 
     walk(df._jdf.queryExecution().executedPlan())
     return sorted(out)
+
+
+def final_plan(df) -> str:
+    """The adaptive plan after it has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

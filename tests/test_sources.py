@@ -152,12 +152,12 @@ def test_key_mapping(spark, tmp_path):
 
 def test_team_csv_with_and_without_spend(spark, tmp_path):
     full, short = tmp_path / "full.csv", tmp_path / "short.csv"
-    full.write_text('User,Spend this Month (USD),Lines this Month\nuser1@example.com,"$1,052.38","15,344"\ndev-key [API key],$8.02,13\n')
-    short.write_text('User,Lines this Month\nuser1@example.com,"27,643"\n')
+    full.write_text('User,Spend this Month (USD),Lines this Month\nuser1@example.com,"$9,876.50","12,345"\nsome-key [API key],$1.25,7\n')
+    short.write_text('User,Lines this Month\nuser1@example.com,"3,210"\n')
     a, b = X.read_team_csv(spark, str(full)).orderBy("lines").collect()
-    assert tuple(a) == ("api_key", None, "dev-key", Decimal("8.02"), 13)
-    assert tuple(b) == ("user", "user1@example.com", None, Decimal("1052.38"), 15344)
-    assert tuple(X.read_team_csv(spark, str(short)).first()) == ("user", "user1@example.com", None, None, 27643)
+    assert tuple(a) == ("api_key", None, "some-key", Decimal("1.25"), 7)
+    assert tuple(b) == ("user", "user1@example.com", None, Decimal("9876.50"), 12345)
+    assert tuple(X.read_team_csv(spark, str(short)).first()) == ("user", "user1@example.com", None, None, 3210)
 
 
 def test_logs_and_lists(spark, tmp_path):
