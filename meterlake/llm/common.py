@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,19 +11,22 @@ from pyspark.sql import DataFrame
 from meterlake.session import shared_dir
 
 U64 = np.uint64
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage is cut, and any executor can read it again."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def dropped(df: DataFrame) -> None:
-    """Let Spark remove the shuffle files of what the caller no longer holds."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
+    """df as a Parquet table in the shared folder: lineage is cut, and any executor can read it again.
+
+    The shuffle files of the write go with its end, as nothing reads them again.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:

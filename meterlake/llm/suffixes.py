@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import U64, as_bytes, dropped, mixed, staged
+from meterlake.llm.common import U64, as_bytes, mixed, staged
 
 SEGMENT = 1 << 22  # bytes of a text handled at once
 FLUSH = 1_000_000  # positions a task gathers before it sends them on
@@ -342,11 +342,8 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, id_col: str = "doc_id",
     # About two sampled positions for as many bytes as half the threshold.
     buckets = max(1, -(-total * 4 // threshold // BUCKET))
     first = staged(_by_rank(_sample(texts, threshold, buckets), buckets), "ranked")
-    dropped(docs)
     opened = texts.join(_by_document(first.where(F.col("kind") == OPEN)), "row")
     second = staged(_by_string(_strings(opened, threshold, buckets), buckets), "strings")
-    del opened
-    dropped(docs)
     found = first.where(F.col("kind") == DONE).unionByName(second)
     cut = _cut(texts.join(_by_document(found), "row"), threshold).dropDuplicates(["row"])
     out = base.join(cut, "row", "left")
