@@ -54,6 +54,11 @@ def shift_weeks(d: str | Column, n: int) -> Column:
     return F.date_add(d, 7 * n)
 
 
+def elapsed(start: Column, end: Column) -> Column:
+    """The time from start to end as an interval."""
+    return end - start
+
+
 def hours_between(start: Column, end: Column) -> Column:
     """Whole hours from start to end."""
     return F.timestamp_diff("HOUR", start, end)

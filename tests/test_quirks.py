@@ -387,3 +387,10 @@ def test_bands_and_ranks_go_by_exact_values(spark):
     rows = spark.createDataFrame(days, "d string, user_email string, total_lines_added long, accepted_lines_added long").selectExpr("CAST(d AS DATE) AS activity_date", "*")
     tiers = {(r.period_start.month, r.user_email): r.tier for r in I.productivity_metrics(rows).collect()}
     assert tiers == {(1, "u"): "Bottom 25%", (1, "v"): "Top 25%", (2, "u"): "Top 25%", (2, "v"): "Bottom 25%"}
+
+
+def test_elapsed_is_an_interval(spark):
+    from meterlake.functions.dates import elapsed
+
+    row = spark.sql("SELECT TIMESTAMP'2025-01-01 10:00:00' AS a, TIMESTAMP'2025-01-02 11:30:00' AS b").select(elapsed(F.col("a"), F.col("b")).alias("e")).first()
+    assert row.e == dt.timedelta(days=1, hours=1, minutes=30)
