@@ -40,6 +40,7 @@ def mix(
     share: float = 1.5,
     repeats: int = 2,
     range_rows: int = 1000,
+    most_ranges: int = 65_536,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
@@ -48,7 +49,8 @@ def mix(
 
     Each document's key is a hash of its id, uniform as a random number yet
     the same in every run and in a recomputed task. A source's key space is
-    cut into equal ranges of about ``range_rows`` rows, each sorted by key;
+    cut into equal ranges of about ``range_rows`` rows (longer ones beyond
+    ``most_ranges``, as their totals meet in one window), each sorted by key;
     prefix sums of the ranges' sizes plus those within a range give the words
     before a document. The target, rounded down, holds whole epochs of the
     source plus a rest; the rest takes documents in key order and ends inside
@@ -67,7 +69,7 @@ def mix(
         )
     )
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")), weights, share, repeats)
-    per = sources.select(F.col("source").alias("_source"), "source_size", "target", F.ceil(F.col("_rows") / range_rows).alias("_ranges"))
+    per = sources.select(F.col("source").alias("_source"), "source_size", "target", F.least(F.ceil(F.col("_rows") / range_rows), F.lit(most_ranges)).alias("_ranges"))
     # Few rows a source and its ranges; the documents are the long side of every join.
     placed = sized.join(per, sized["source"].eqNullSafe(per["_source"])).drop("_source")
     part = F.conv(F.substring("_key", 1, 7), 16, 10).cast("long")

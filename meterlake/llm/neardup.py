@@ -161,7 +161,7 @@ def near_duplicates(
 
     classes = kinds.join(found.select(F.col("node").alias("_rep"), "component"), "_rep", "left").select("_set", F.coalesce("component", "_rep").alias("_component"))
     out = made.select("_id", "_n", "_set").join(classes, "_set", "left")
-    component = F.coalesce("_component", "_id")
+    component = F.when(F.col("_id").isNotNull(), F.coalesce("_component", "_id"))
     return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
 
 
