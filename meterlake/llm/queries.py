@@ -87,7 +87,8 @@ def op6_repeats(s, d) -> DataFrame:
 
 _OP6 = """
 WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-strings AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(0, len(h) // 2 - 49))) AS p FROM docs)),
+parts AS (SELECT doc_id, c, substr(h, 2 * c + 1, 598) AS part FROM (SELECT doc_id, h, unnest(range(0, greatest(0, len(h) // 2 - 49), 250)) AS c FROM docs)),
+strings AS (SELECT doc_id, c + i AS p, substr(part, 2 * i + 1, 100) AS s FROM (SELECT doc_id, c, part, unnest(range(0, len(part) // 2 - 49)) AS i FROM parts)),
 firsts AS (SELECT s, min(doc_id) AS m FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
 hits AS (SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, true)::INT AS new FROM strings JOIN firsts USING (s) WHERE m < doc_id),
 spans AS (SELECT doc_id, min(p) AS b, max(p) + 50 AS e FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM hits) GROUP BY doc_id, g),
