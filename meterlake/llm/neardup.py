@@ -114,7 +114,8 @@ def near_duplicates(
     pairs. Longer ones give the pairs with their smallest and largest
     document; what these links leave in several components is compared within
     groups of overlapping lists, in pairs of hashed blocks of about ``block``
-    documents, only across components, without writing the pairs. Estimates
+    documents, only across components, without writing the pairs; a group's
+    largest component is not compared with itself. Estimates
     from union sketches drop pairs five deviations below the threshold; the
     rest is verified on the full sets.
 
@@ -199,11 +200,18 @@ def _across(many: DataFrame, found: DataFrame, sets: DataFrame, percent: int, bl
     groups = components(rest.select(F.col("first").alias("a"), F.col("_id").alias("b")), "groups")
     docs = rest.select("_id", "component").distinct().join(groups.select(F.col("node").alias("_id"), F.col("component").alias("_group")), "_id")
     docs = staged(docs, "grouped")
-    blocks = docs.groupBy("_group").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
-    placed = docs.join(blocks, "_group").withColumn("_at", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int"))
-    # A block meets itself and every other block of its group once.
-    meets = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    placed = placed.select("*", meets.alias("_other"))
+    # The group's largest component need not meet itself: its documents get blocks of their own, after those of the rest.
+    shares = docs.groupBy("_group", "component").count().groupBy("_group").agg(
+        F.max_by("component", F.struct("count", "component")).alias("_main"), F.max("count").alias("_most"), F.sum("count").alias("_all")
+    )
+    count = lambda n: F.ceil(n / block).cast("int")
+    shares = shares.select("_group", "_main", count(F.col("_all") - F.col("_most")).alias("_rest"), count(F.col("_most")).alias("_mains"))
+    inside = F.col("component") == F.col("_main")
+    at = F.pmod(F.xxhash64("_id"), F.when(inside, F.col("_mains")).otherwise(F.col("_rest"))).cast("int")
+    placed = docs.join(shares, "_group").withColumn("_at", at + F.when(inside, F.col("_rest")).otherwise(0))
+    # A block of the rest meets itself and every other block once.
+    last = F.when(inside, F.col("_rest")).otherwise(F.col("_rest") + F.col("_mains")) - 1
+    placed = placed.select("*", F.explode(F.sequence(F.lit(0), last)).alias("_other"))
     placed = placed.select("_group", "_id", "component", "_at", F.least("_at", "_other").alias("_i"), F.greatest("_at", "_other").alias("_j"))
     placed = placed.join(sets, "_id")
 
