@@ -181,16 +181,17 @@ def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     columns = [*dict.fromkeys([id_col, *keep])]
+    rows = docs.select(*columns, *([] if text_col in columns else [text_col]))  # the text travels once
+    at = rows.columns.index(text_col)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value) if sent.value else None
         for batch in slices(batches):
-            found = [scorer.predict(t) if scorer else (UNKNOWN, 0.0) for t in batch.column("_text").to_pylist()]
+            found = [scorer.predict(t) if scorer else (UNKNOWN, 0.0) for t in batch.column(at).to_pylist()]
             out = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *out], [*columns, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *out], schema.names)
 
-    rows = docs.select(*columns, F.col(text_col).alias("_text"))
-    schema = T.StructType([*(rows.schema[c] for c in columns), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*rows.schema.fields[: len(columns)], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(predict, schema)
 
 
