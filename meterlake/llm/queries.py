@@ -170,14 +170,11 @@ def _unescaped(text: str) -> str:
 
 
 def _squeezed(text: str) -> str:
-    text = rf"regexp_replace(regexp_replace({text}, '[ \t\x0B\f\r]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g')"
-    return rf"trim(regexp_replace({text}, '^\n|\n$', '', 'g'), ' ')"
+    text = rf"regexp_replace(regexp_replace({text}, '[ \t\x0B\f\r]{{2,}}|[\t\x0B\f\r]', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g')"
+    return f"trim({text}, ' ' || chr(10))"
 
 
-_DROPPED = "html"
-for _p in warc.DROPPED:
-    _DROPPED = f"regexp_replace({_DROPPED}, '{_p}', ' ', 'g')"
-_TAGLESS = rf"regexp_replace(regexp_replace(regexp_replace({_DROPPED}, '\r\n?', chr(10), 'g'), '{warc.BLOCK}', chr(10), 'g'), '<[^>]*>', '', 'g')"
+_TAGLESS = f"regexp_replace(regexp_replace(regexp_replace(html, '{warc.DROPPED}', ' ', 'g'), '{warc.BREAK}', chr(10), 'g'), '<[^>]*>', '', 'g')"
 _OP8 = rf"""
 WITH src AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS html FROM pages),
 block AS (SELECT *, 'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || octet_length(encode(html))

@@ -14,8 +14,8 @@ ENTITIES = {
     "mdash": "—", "hellip": "…", "laquo": "«", "raquo": "»", "euro": "€", "amp": "&",
 }
 
-DROPPED = (r"(?s)<!--.*?-->", r"(?is)<head\b.*?</head\s*>", r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>")
-BLOCK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>"
+DROPPED = r"(?is)<!--.*?-->|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+BREAK = r"(?i)\r\n?|</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>"
 HREF = r"""(?i)<a\b[^>]*?\bhref="([^"]*)\""""
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 
@@ -45,14 +45,12 @@ def unescaped(text: Column) -> Column:
 
 def squeezed(text: Column) -> Column:
     """Blanks in a row become one, lines are trimmed, empty lines go."""
-    text = F.regexp_replace(text, r"[ \t\x0B\f\r]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), r"^\n|\n$", ""))
+    text = F.regexp_replace(text, r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]", " ")
+    return F.trim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def plain_text(html: Column) -> Column:
-    for pattern in DROPPED:
-        html = F.regexp_replace(html, pattern, " ")
-    html = F.regexp_replace(F.regexp_replace(html, r"\r\n?", "\n"), BLOCK, "\n")
+    html = F.regexp_replace(F.regexp_replace(html, DROPPED, " "), BREAK, "\n")
     return squeezed(unescaped(F.regexp_replace(html, r"<[^>]*>", "")))
 
 
