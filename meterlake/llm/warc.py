@@ -37,7 +37,8 @@ def unescaped(text: Column) -> Column:
     code = lambda c: F.decode(F.unhex(F.lpad(F.hex(c.cast("long")), 8, "0")), "UTF-32")
     valid = lambda c: ((c.cast("long") > 0) & (c.cast("long") < 0xD800)) | ((c.cast("long") > 0xDFFF) & (c.cast("long") < 0x110000))
     codes = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7});"), F.lit(1))), valid)
-    text = F.aggregate(codes, text, lambda t, c: F.replace(t, F.concat(F.lit("&#"), c, F.lit(";")), code(c)))
+    decoded = F.aggregate(codes, text, lambda t, c: F.replace(t, F.concat(F.lit("&#"), c, F.lit(";")), code(c)))
+    text = F.when(F.contains(text, F.lit("&#")), decoded).otherwise(text)
     for name, char in ENTITIES.items():
         text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
     return text
@@ -49,9 +50,10 @@ def squeezed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
-def plain_text(html: Column) -> Column:
+def tagless(html: Column) -> Column:
+    """Text and line breaks of a page, references unresolved."""
     html = F.regexp_replace(F.regexp_replace(html, DROPPED, " "), BREAK, "\n")
-    return squeezed(unescaped(F.regexp_replace(html, r"<[^>]*>", "")))
+    return F.regexp_replace(html, r"<[^>]*>", "")
 
 
 def responses(pages: DataFrame, date: str = DATE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -89,6 +91,8 @@ def derive(records: DataFrame) -> DataFrame:
         text("record_id").alias("source"), text("target_uri").alias("target_uri"), text("date").alias("date"), text("headers").alias("headers"),
         text("block_digest").alias("digest"), http.alias("http"), body.alias("body"),
     )
+    # A column of its own, as resolving references reads it twice.
+    parts = parts.withColumn("bare", tagless(F.col("body")))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     links = F.array_distinct(F.regexp_extract_all("body", F.lit(HREF), F.lit(1)))
     source_lines = F.filter(F.split("headers", CRLF), lambda h: h != "")
@@ -103,7 +107,7 @@ def derive(records: DataFrame) -> DataFrame:
     payload = F.regexp_extract("headers", r"(?i)(?:^|\r\n)warc-payload-digest: *([^\r\n]*)", 1)
     made = F.array(
         F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("type"), fields.alias("block")),
-        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("type"), plain_text(F.col("body")).alias("block")),
+        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("type"), squeezed(unescaped(F.col("bare"))).alias("block")),
     )
     out = parts.select("source", "target_uri", "date", payload.alias("payload"), F.explode(made).alias("r")).select("*", "r.*").drop("r")
     headers = F.concat(F.lit("WARC-Source-Payload-Digest: "), F.col("payload"), F.lit(f"{CRLF}Content-Type: "), F.col("type"))
