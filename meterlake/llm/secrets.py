@@ -23,15 +23,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-# Known formats that look random: digests by length, UUIDs, dates and counters, and names joined from words.
+# Known formats that look random: digests by length, UUIDs, dates and counters, and names joined from words of the vocabulary.
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.IGNORECASE)
-IDENTIFIER = re.compile(
-    r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
-    r"|[0-9+/_=-]+"
-    r"|[A-Za-z+/_=-]+"
-    r"|(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]+)(?:[+/_=-]+(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]+))+[+/_=-]*",
-    re.IGNORECASE,
-)
+IDENTIFIER = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9+/_=-]+", re.IGNORECASE)
+NAME = re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[+/_=-]+(?:[A-Za-z]+|[0-9]+))+[+/_=-]*")
+WORD = re.compile(r"[A-Za-z]+")
 
 SPANS = T.ArrayType(
     T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
@@ -62,14 +58,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def known_format(run: str, encode) -> bool:
+    """Whether a run is a digest, a UUID, a number, or a name whose words are all single tokens."""
+    if DIGEST.fullmatch(run) or IDENTIFIER.fullmatch(run):
+        return True
+    return NAME.fullmatch(run) is not None and all(len(encode(w)) == 1 for w in WORD.findall(run))
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], encode, ratio: float) -> list[tuple[int, int, int]]:
     """Strings of few characters per token that no fixed pattern touches and no known format explains."""
     found = []
     for m in CANDIDATE.finditer(text):
         word = m.group()
-        if DIGEST.fullmatch(word) or IDENTIFIER.fullmatch(word) or any(s < m.end() and m.start() < e for s, _, e in base):
+        if any(s < m.end() and m.start() < e for s, _, e in base):
             continue
-        if len(word) < ratio * len(encode(word)):
+        if len(word) < ratio * len(encode(word)) and not known_format(word, encode):
             found.append((m.start(), 3, m.end()))
     return found
 
@@ -81,7 +84,8 @@ def scan(docs: DataFrame, vocabulary: str = VOCABULARY, ratio: float = 2.0, id_c
     is the token-efficiency test: runs of 20 and more base64 characters whose
     length is below ``ratio`` characters per token under the vocabulary at the
     path ``vocabulary`` (read by the driver, a bounded file). Digests by their
-    lengths, UUIDs, numbers and names made of words are left out first.
+    lengths, UUIDs, numbers and names joined from words of the vocabulary are
+    left out; other runs of letters are judged by the ratio like any run.
 
     Null and empty texts have no spans; whole texts are scanned; repeated rows
     each get their row; further columns are not read.
