@@ -22,7 +22,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20  # characters of a candidate
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 # Known formats that look random: digests by length, UUIDs, dates and counters, and names joined from words of the vocabulary.
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.IGNORECASE)
 IDENTIFIER = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9+/_=-]+", re.IGNORECASE)
@@ -66,23 +67,38 @@ def known_format(run: str, encode) -> bool:
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], encode, ratio: float) -> list[tuple[int, int, int]]:
-    """Strings of few characters per token that no fixed pattern touches and no known format explains."""
+    """Strings of few characters per token that no known format explains, outside the spans of the fixed patterns."""
     found = []
     for m in CANDIDATE.finditer(text):
-        word = m.group()
-        if any(s < m.end() and m.start() < e for s, _, e in base):
+        if not any(s < m.end() and m.start() < e for s, _, e in base):
+            pieces = [m.span()]
+        elif known_format(m.group(), encode):
             continue
-        if len(word) < ratio * len(encode(word)) and not known_format(word, encode):
-            found.append((m.start(), 3, m.end()))
+        else:
+            pieces = _outside(base, *m.span())
+        for start, end in pieces:
+            word = text[start:end]
+            if len(word) < ratio * len(encode(word)) and not known_format(word, encode):
+                found.append((start, 3, end))
     return found
 
 
+def _outside(base: list[tuple[int, int, int]], start: int, end: int) -> list[tuple[int, int]]:
+    """The pieces of a run between the base spans (by start) that are long enough for candidates."""
+    pieces, done = [], start
+    for s, _, e in base:
+        if s < end and done < e:
+            pieces.append((done, s))
+            done = e
+    return [(s, e) for s, e in [*pieces, (done, end)] if e - s >= LEAST]
+
+
 def scan(docs: DataFrame, vocabulary: str = VOCABULARY, ratio: float = 2.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, spans of secrets by start, then kind.
 
     Kinds: ``assign``, ``access`` and ``hex`` are fixed patterns. ``random``
-    is the token-efficiency test: runs of 20 and more base64 characters whose
-    length is below ``ratio`` characters per token under the vocabulary at the
+    is the token-efficiency test: runs of 20 and more base64 characters, less
+    what fixed patterns take of them, whose length is below ``ratio`` characters per token under the vocabulary at the
     path ``vocabulary`` (read by the driver, a bounded file). Digests by their
     lengths, UUIDs, numbers and names joined from words of the vocabulary are
     left out; other runs of letters are judged by the ratio like any run.
