@@ -59,11 +59,34 @@ def enough_values(similarity: float, chance: float) -> int:
     return next((v for v in range(RUN, 1000) if missed(similarity, v) < chance), 1000)
 
 
+def small_sizes(percent: int, values: int) -> range:
+    """Sizes of sets in pairs at the threshold whose union is retained whole and yet may hold no run that they share."""
+    lost = {u: u * (100 - percent) // 100 for u in range(1, values + 1)}  # values of the union that one of them lacks
+    lost = {u: d for u, d in lost.items() if d and u <= RUN * d + RUN - 1}
+    return range(min(u - d for u, d in lost.items()), max(lost) + 1) if lost else range(0)
+
+
+def keys_of(s: np.ndarray, percent: int, values: int, small: range) -> np.ndarray:
+    """Keys of the runs among the ``values`` smallest hashes; of a set of a ``small`` size also its first hashes.
+
+    Two sets that share 100 * n >= percent * size values have the smallest of
+    them among the first size - n + 1 of each: no pair of small sets is missed.
+    """
+    low = s[:values]
+    run = np.zeros(max(0, len(low) - RUN + 1), np.uint64)
+    for i in range(RUN):
+        run = mixed(run * U64(0xC2B2AE3D27D4EB4F) + low[i : i + len(run)])
+    if len(s) in small:
+        run = np.concatenate([run, mixed(s[: len(s) * (100 - percent) // 100 + 1] * U64(0x165667B19E3779F9))])
+    return run
+
+
 SKETCHED = "_id long, _n long, _set binary, _sketch array<long>, _keys array<long>"
 
 
-def sketches(docs: DataFrame, width: int, k: int, values: int) -> DataFrame:
-    """Per row: set size, digest of the set, the k smallest hashes (as signed numbers), keys of the runs among the ``values`` smallest."""
+def sketches(docs: DataFrame, width: int, percent: int, k: int, values: int) -> DataFrame:
+    """Per row: set size, digest of the set, the k smallest hashes (as signed numbers), keys."""
+    small = small_sizes(percent, values)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Shingles(width)
@@ -74,14 +97,7 @@ def sketches(docs: DataFrame, width: int, k: int, values: int) -> DataFrame:
                 n.append(len(s))
                 sets.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
                 lists.append(s[:k].view(SIGNED))
-                low = s[:values]
-                if len(low) < RUN:  # so small sets are linked only when equal
-                    keys.append(np.zeros(0, SIGNED))
-                    continue
-                run = np.zeros(len(low) - RUN + 1, np.uint64)
-                for i in range(RUN):
-                    run = mixed(run * U64(0xC2B2AE3D27D4EB4F) + low[i : i + len(run)])
-                keys.append(run.view(SIGNED))
+                keys.append(keys_of(s, percent, values, small).view(SIGNED))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
                 ["_id", "_n", "_set", "_sketch", "_keys"],
@@ -110,7 +126,9 @@ def near_duplicates(
     are one candidate. Inverted lists over runs of consecutive retained values
     yield the others: two sets at the threshold share no run less often than
     ``chance`` (from which the number of values in runs follows), more similar
-    ones less often still. Lists of up to ``small`` documents give their
+    ones less often still; where the whole union is too small for that (sets
+    of 4 and 5 at 80 percent), single values are keys, too, and no pair is
+    missed. Lists of up to ``small`` documents give their
     pairs. Longer ones give the pairs with their smallest and largest
     document; what these links leave in several components is compared within
     groups of overlapping lists, in pairs of hashed blocks of about ``block``
@@ -126,7 +144,7 @@ def near_duplicates(
     similarity = percent / 100
     values = min(k, enough_values(similarity, chance))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    made = staged(sketches(texts, width, k, values), "sketches")
+    made = staged(sketches(texts, width, percent, k, values), "sketches")
     linked = made.where("_id IS NOT NULL AND _set IS NOT NULL")
     narrow = linked.select("_id", "_set")
     kinds = narrow.groupBy("_set").agg(F.min("_id").alias("_rep"))

@@ -1,6 +1,8 @@
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from meterlake.llm import components as C
@@ -49,6 +51,38 @@ def test_equals_brute_force(docs, prose, width, percent, small):
     assert found == brute(rows, width, percent)
 
 
+@pytest.mark.parametrize("percent,largest", [(80, 13), (85, 13), (70, 11), (50, 9)])
+def test_linked_small_sets_share_a_key(percent, largest):
+    """Every way to deal a small union out to two sets."""
+    small = N.small_sizes(percent, 40)
+    hashes = np.sort(np.random.default_rng(1).integers(0, 2**64, largest, np.uint64))
+    for u in range(1, largest + 1):
+        for d in range(1, u * (100 - percent) // 100 + 1):
+            for lone in itertools.combinations(range(u), d):
+                for owners in itertools.product("ab", repeat=d):
+                    lacks = dict(zip(lone, owners))
+                    sets = [hashes[[i for i in range(u) if lacks.get(i, own) == own]] for own in "ab"]
+                    a, b = (set(N.keys_of(s, percent, 40, small).tolist()) for s in sets)
+                    assert a & b, (u, lacks)
+
+
+def test_small_sizes():
+    assert list(N.small_sizes(80, 40)) == [4, 5]
+    assert not N.small_sizes(85, 32)
+
+
+def test_short_texts_equal_brute_force(docs):
+    """Texts of 9 words, and the 8 first or last of them; all short texts in one long list, too."""
+    rows = []
+    for i in range(0, 60, 3):
+        words = [f"w{i}x{j}" for j in range(9)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(words[:8])), (i + 2, " ".join(words[1:]))]
+    rows += [(100 + i, "one two three four five six seven eight " + (f"nine{i}" if i else "")) for i in range(30)]
+    for small in (64, 4):
+        got = N.near_duplicates(docs(rows), width=5, percent=80, small=small, block=7)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute(rows, 5, 80)
+
+
 def test_nulls_repeats_and_empty(docs):
     assert N.near_duplicates(docs([])).collect() == []
     got = sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in N.near_duplicates(docs([(None, "a b"), (3, "a b"), (3, "a b"), (5, "A b")])).collect())
