@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +60,16 @@ def enough_values(similarity: float, chance: float) -> int:
     return next((v for v in range(RUN, 1000) if missed(similarity, v) < chance), 1000)
 
 
+def least_shared(similarity: float, k: int, chance: float) -> int:
+    """Most values that a union sketch of ``k`` must share while a pair at the threshold has fewer less often than ``chance``."""
+    below = 0.0
+    for n in range(k + 1):
+        below += math.comb(k, n) * similarity**n * (1 - similarity) ** (k - n)
+        if below >= chance:
+            return n
+    return k
+
+
 def small_sizes(percent: int, values: int) -> range:
     """Sizes of sets in pairs at the threshold whose union is retained whole and yet may hold no run that they share."""
     lost = {u: u * (100 - percent) // 100 for u in range(1, values + 1)}  # values of the union that one of them lacks
@@ -134,8 +145,9 @@ def near_duplicates(
     groups of overlapping lists, in pairs of hashed blocks of about ``block``
     documents, only across components, without writing the pairs; a group's
     largest component is not compared with itself. Estimates
-    from union sketches drop pairs five deviations below the threshold; the
-    rest is verified on the full sets.
+    from union sketches drop pairs that share too few values for the
+    threshold, which with the lack of a key stays below ``chance`` (if ``k``
+    values suffice for it); the rest is verified on the full sets.
 
     Null and empty texts have no shingles: they are linked with nothing and
     kept. Rows with the same id are one document for links and each get their
@@ -143,6 +155,7 @@ def near_duplicates(
     """
     similarity = percent / 100
     values = min(k, enough_values(similarity, chance))
+    least = least_shared(similarity, k, max(chance - missed(similarity, values), chance / 10))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     made = staged(sketches(texts, width, percent, k, values), "sketches")
     linked = made.where("_id IS NOT NULL AND _set IS NOT NULL")
@@ -164,7 +177,7 @@ def near_duplicates(
     sketch = made.select("_id", "_n", "_sketch").dropDuplicates(["_id"])
     for end in ("a", "b"):
         pairs = pairs.join(sketch.select(F.col("_id").alias(end), F.col("_n").alias(f"n_{end}"), F.col("_sketch").alias(f"s_{end}")), end)
-    pairs = staged(pairs.where(_likely(similarity, k)).select("a", "b"), "pairs")
+    pairs = staged(pairs.where(_likely(similarity, k, least)).select("a", "b"), "pairs")
 
     needed = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).unionByName(many.select("_id")).distinct()
     sets = staged(_sets(texts.join(needed, "_id", "left_semi"), width).dropDuplicates(["_id"]), "sets")
@@ -184,14 +197,13 @@ def near_duplicates(
     return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
 
 
-def _likely(similarity: float, k: int):
+def _likely(similarity: float, k: int, least: int):
     """Whether the union sketch of a pair allows the threshold: exact if both sketches hold whole sets."""
     union = F.slice(F.sort_array(F.array_union("s_a", "s_b")), 1, k)
     shared = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
     whole = (F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.size(F.array_union("s_a", "s_b")) <= k)
-    slack = 5 * (similarity * (1 - similarity) / k) ** 0.5
     sizes = F.least("n_a", "n_b") >= F.lit(similarity - 1e-9) * F.greatest("n_a", "n_b")
-    return sizes & (shared >= F.size(union) * F.when(whole, F.lit(similarity - 1e-9)).otherwise(F.lit(similarity - slack)))
+    return sizes & (shared >= F.when(whole, F.size(union) * F.lit(similarity - 1e-9)).otherwise(F.lit(least)))
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 
@@ -98,3 +99,12 @@ def test_components_of_paths_stars_and_rings(spark):
 def test_values_in_keys_follow_the_threshold():
     assert N.missed(0.85, N.enough_values(0.85, 1e-6)) < 1e-6
     assert N.enough_values(0.8, 1e-6) > N.enough_values(0.85, 1e-6)
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
+def test_both_filters_together_stay_below_the_chance(similarity):
+    values = N.enough_values(similarity, 1e-6)
+    least = N.least_shared(similarity, 64, 1e-6 - N.missed(similarity, values))
+    fewer = lambda n: sum(math.comb(64, i) * similarity**i * (1 - similarity) ** (64 - i) for i in range(n))
+    assert N.missed(similarity, values) + fewer(least) < 1e-6 <= N.missed(similarity, values) + fewer(least + 1)
+    assert fewer(math.ceil(64 * similarity - 5 * (64 * similarity * (1 - similarity)) ** 0.5)) > 1e-6  # five deviations are too few
