@@ -14,9 +14,14 @@ from meterlake.llm.common import staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents whose language can be told: those without a letter go, and those in a script of which the model knows no letter.
+
+    Without any labelled row there is no model; then only the former go.
+    """
     model = language.train(docs)
-    told = language.identify(docs, model, keep=tuple(docs.columns))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    told = language.identify(docs, model, keep=tuple(docs.columns), strict=True)
     return told.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 

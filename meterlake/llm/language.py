@@ -37,8 +37,8 @@ def words_of(text: str | None) -> list[str]:
 
 
 def grams(word: str, n: int) -> list[str]:
-    """n-grams of the word between two boundary marks."""
-    marked = f"_{word}_"
+    """n-grams of the word between two boundary marks, which are no 1-grams of their own."""
+    marked = f"_{word}_" if n > 1 else word
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
@@ -152,8 +152,8 @@ class Scorer:
                 return self.logs[found].mean(axis=0)
         return 0.0
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its posterior under equal priors; ``und`` and 0 without letters."""
+    def predict(self, text: str | None, strict: bool = False) -> tuple[str, float]:
+        """The likeliest language and its posterior under equal priors; ``und`` and 0 without letters, if ``strict`` also without a known n-gram."""
         words = words_of(text)
         if not words:
             return UNKNOWN, 0.0
@@ -166,18 +166,23 @@ class Scorer:
                 i = get(w)
                 ids.append(row(w) if i is None else i)
             total += self.logs[ids].sum(axis=0, dtype=np.float64)
+        if strict and not total.any():  # log frequencies are below 0
+            return UNKNOWN, 0.0
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def identify(
+    docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), strict: bool = False
+) -> DataFrame:
     """One row per row of ``docs``: the id and the ``keep`` columns, lang_pred, score.
 
     Every word of the whole text adds its log frequencies; a word the model
     does not know adds the mean of its longest known n-grams. ``score`` is the
     posterior of the chosen language. Null texts, texts without a letter, and
     all texts when there was nothing to learn from: ``und``, 0. Ties go to the
-    first language by code point.
+    first language by code point; so does a text of whose words the model knows
+    no n-gram (another script), which with ``strict`` is ``und``, 0.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     columns = [*dict.fromkeys([id_col, *keep])]
@@ -187,7 +192,7 @@ def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value) if sent.value else None
         for batch in slices(batches):
-            found = [scorer.predict(t) if scorer else (UNKNOWN, 0.0) for t in batch.column(at).to_pylist()]
+            found = [scorer.predict(t, strict) if scorer else (UNKNOWN, 0.0) for t in batch.column(at).to_pylist()]
             out = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *out], schema.names)
 

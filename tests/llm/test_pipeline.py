@@ -45,6 +45,15 @@ def test_windows_helper_agrees_with_the_operator_test():
     assert hit_words([text], [(1, text)])[0][1] == 11 and len(_windows(text)) == 2
 
 
+def test_language_stage_rejects_what_the_model_knows_nothing_of(spark, docs, sf_dir):
+    rows = [(1, "the thing is there"), (2, "здесь другой язык " * 20), (3, "über the thing"), (4, "12 34"), (5, None), (6, "日本語の文")]
+    table = docs(rows[:1] + rows[3:5]).unionByName(docs(rows[1:3] + rows[5:], lang=None)).select("doc_id", "text", "lang", "source", "n_chars")
+    assert sorted(rows_of(P.language_id(spark, table, sf_dir))) == [1, 3]
+    # Nothing to learn from: every text with a letter stays.
+    table = docs(rows, lang=None).select("doc_id", "text", "lang", "source", "n_chars")
+    assert sorted(rows_of(P.language_id(spark, table, sf_dir))) == [1, 2, 3, 6]
+
+
 def test_odd_rows(spark, docs, sf_dir):
     """Nulls, copies and repeated rows through every stage."""
     rows = [(1, "the thing is there and here"), (1, "the thing is there and here"), (2, None), (3, ""), (4, "123"), (None, "of the and that"), (5, "password=hunter22 and the other thing")]
