@@ -348,7 +348,7 @@ def test_ide_workspace_is_not_counted_twice(spark):
 def test_lookup_keeps_the_fact_grain(spark):
     facts = spark.createDataFrame([("k1", 1), ("k1", 2), ("k2", 3), (None, 4)], "k string, n int")
     dim = spark.createDataFrame([("k1", "b"), ("k1", "a"), (None, "z")], "k string, v string")
-    got = sorted((r.n, r.v) for r in J.lookup(facts, dim, "k", "v", "v").collect())
+    got = sorted((r.n, r.v) for r in J.lookup(facts, dim, "k", {"v": "v"}).collect())
     assert got == [(1, "a"), (2, "a"), (3, None), (4, None)]
 
 
