@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate as D
-from meterlake.llm import language, mixing, neardup, neighbours, quality, secrets, suffixes, urls, warc
+from meterlake.llm import language, mixing, neardup, negatives, neighbours, prefixes, quality, secrets, suffixes, tokens, urls, warc
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -208,6 +208,63 @@ def op10_quality(s, d) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_negatives(s, d) -> DataFrame:
+    relabel = lambda i, label: F.when(i % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(load(s, d, "embeddings"), lambda i: i % 50 == 0, relabel=relabel)
+
+
+_OP11 = """
+WITH used AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM used a JOIN used b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positive AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER w <= 3"""
+
+
+def op12_prefixes(s, d) -> DataFrame:
+    turns = prefixes.staged(prefixes.ordered_turns(load(s, d, "conversations")), "ordered")
+    heads = turns.select("conv").distinct().selectExpr("conv", "conv - conv % 5 AS donor", "crc32(CAST(conv AS STRING)) % 9 AS h")
+    rebuilt, lengths = prefixes.spliced(turns, heads, longest=8)
+    return prefixes.trie(rebuilt, lengths)
+
+
+# CRC-32 as its bits go: a byte is mixed in, then eight times the lowest bit decides.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda c: list_concat([ascii(c)::BIGINT], list_transform(range(8), lambda i: -1::BIGINT))))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))"""
+_OP12 = f"""
+WITH rows_of AS (SELECT conv_id, turn, role_text, n_bytes, sha256(role_text) AS d FROM (SELECT conv_id, turn,
+    length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS role_text, octet_length(encode(coalesce(text, ''))) AS n_bytes FROM conversations WHERE conv_id IS NOT NULL)),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS pos FROM rows_of),
+heads AS (SELECT conv_id, conv_id - conv_id % 5 AS donor, ({_CRC}) % 9 AS h, n FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id)),
+plans AS (SELECT heads.*, least(h, coalesce(o.n, 0)) AS taken FROM heads LEFT JOIN (SELECT conv_id AS donor, n FROM heads) o USING (donor)),
+rebuilt AS (SELECT p.conv_id, t.pos, t.d, t.n_bytes FROM plans p JOIN turns t ON t.conv_id = p.donor AND t.pos <= p.taken
+  UNION ALL SELECT p.conv_id, t.pos - p.h + p.taken, t.d, t.n_bytes FROM plans p JOIN turns t ON t.conv_id = p.conv_id AND t.pos > p.h),
+keyed AS (SELECT *, sha256(string_agg(d, ',') OVER (PARTITION BY conv_id ORDER BY pos)) AS key FROM rebuilt),
+chained AS (SELECT *, coalesce(lag(key) OVER (PARTITION BY conv_id ORDER BY pos), '') AS up FROM keyed
+  UNION ALL SELECT conv_id, 0, NULL, 0, '', NULL FROM heads),
+nodes AS (SELECT key, min(conv_id) AS conv_id, max(pos) AS depth, max(up) AS up, count(*) AS n_convs, (count(*) - 1) * max(n_bytes) AS worth FROM chained GROUP BY key),
+children AS (SELECT up AS key, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up),
+over AS (SELECT DISTINCT b.key AS key, a.key AS top FROM chained b JOIN chained a USING (conv_id) WHERE a.pos <= b.pos),
+sums AS (SELECT top AS key, sum(worth) AS saved, count(*) FILTER (WHERE children.n IS NULL) AS leaves FROM over JOIN nodes USING (key) LEFT JOIN children USING (key) GROUP BY top),
+last AS (SELECT conv_id, arg_max(key, pos) AS key FROM chained GROUP BY conv_id),
+ends AS (SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM last GROUP BY key)
+SELECT nodes.conv_id, CAST(nodes.depth AS BIGINT) AS depth, parents.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children, leaves AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes LEFT JOIN nodes parents ON nodes.up = parents.key LEFT JOIN children ON children.key = nodes.key JOIN sums ON sums.key = nodes.key LEFT JOIN ends ON ends.key = nodes.key"""
+
+
+TOKEN_LIMIT = 1024
+
+
+def op13_tokens(s, d) -> DataFrame:
+    counted = tokens.count_tokens(load(s, d, "documents"), TOKEN_LIMIT)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), F.col("fit_chars").alias("chars_within_limit"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_neighbours": op2_neighbours,
@@ -219,5 +276,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_negatives": op11_negatives,
+    "op12_prefixes": op12_prefixes,
+    "op13_tokens": op13_tokens,
 }
-ORACLES = {"op1_decontaminate": _OP1, "op3_urls": _OP3, "op4_neardup": _OP4, "op5_mixing": _OP5, "op6_repeats": _OP6, "op8_warc": _OP8}
+ORACLES = {"op1_decontaminate": _OP1, "op3_urls": _OP3, "op4_neardup": _OP4, "op5_mixing": _OP5, "op6_repeats": _OP6, "op8_warc": _OP8, "op11_negatives": _OP11, "op12_prefixes": _OP12}
