@@ -129,7 +129,7 @@ class Tree:
                             del mine[k:]
                             floor[w] = max(floor[w], -mine[-1][0])
                             needed = min(floor)
-        return [sorted((-s, f, r) for s, f, r in mine) for mine in best]
+        return [[(-s, f, r) for s, f, r in sorted(mine)] for mine in best]
 
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tree, dict]]:
@@ -333,7 +333,9 @@ def mine(
     pairs = own.select("vec_id", "anchor", F.explode(F.slice(others, 1, positives)).alias("p"))
     pairs = staged(pairs.select("vec_id", "anchor", F.col("p.id").alias("positive_id"), F.col("p.score").alias("positive_score")), "pairs")
     asked = pairs.where("positive_score >= 0").groupBy("anchor").agg(F.sort_array(F.collect_set("positive_score")).alias("scores"))
-    windows = F.expr(f"transform(scores, s -> named_struct('low', (s * {window[0]} + 99) div 100, 'high', (s * {window[1]}) div 100))")
+    # In two steps, so that no product leaves 64 bits.
+    low, high = (f"s div 100 * {w} + (s % 100 * {w} + {up}) div 100" for w, up in zip(window, (99, 0), strict=True))
+    windows = F.expr(f"transform(scores, s -> named_struct('low', {low}, 'high', {high}))")
     asked = anchors.join(asked, F.col("kid") == F.col("anchor")).select("kid", "label", "data", F.lit(LEAST).alias("floor"), windows.alias("windows"), "scores")
     asked = staged(asked, "asked")
     hits = _search(cells, asked, negatives, False, block_rows)

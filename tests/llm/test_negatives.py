@@ -1,0 +1,102 @@
+"""Mined negatives against a plain search over all rows."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from meterlake.llm import negatives as N
+
+SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType())])
+NAMES = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+def plain(rows, every=5):
+    used = {(i, label, tuple(math.floor(256 * float(x)) for x in v)) for i, v, label in rows if i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    out = []
+    for i, label, q in (r for r in used if r[0] % every == 0):
+        scores = [(sum(a * b for a, b in zip(q, v)), j, other) for j, other, v in used if (j, other, v) != (i, label, q)]  # noqa: B905
+        scores.sort(key=lambda s: (-s[0], s[1]))
+        for p, j, _ in [s for s in scores if s[2] == label][:5]:
+            hits = [s for s in scores if s[2] != label and 50 * p <= 100 * s[0] <= 95 * p][:3]
+            out += [(i, j, rank, n, p, score) for rank, (score, n, _) in enumerate(hits, 1)]
+    return sorted(out)
+
+
+def mined(spark, rows, **how):
+    table = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "0 AS kid", "1 AS vec", "2 AS score")
+    out = N.mine(table, lambda i: i % 5 == 0, **how)
+    assert out.columns == NAMES
+    return sorted(tuple(r) for r in out.collect())
+
+
+def vectors(seed, n, dim=6, labels=3, copies=0):
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(dim)], rng.randrange(labels)) for i in range(n)]
+    hot = [rng.gauss(0, 1) for _ in range(dim)]
+    return rows + [(n + i, hot, i % 2) for i in range(copies)]
+
+
+@pytest.mark.parametrize("how", [{}, {"cell_rows": 16, "block_rows": 7}, {"cell_rows": 40, "sample_rows": 60}])
+def test_equals_plain_search(spark, how):
+    rows = vectors(1, 300)
+    assert mined(spark, rows, **how) == plain(rows)
+
+
+def test_hot_vector_over_many_cells(spark):
+    rows = vectors(2, 90, copies=120)
+    assert mined(spark, rows, cell_rows=8, sample_rows=40) == plain(rows)
+
+
+def test_odd_rows(spark):
+    rows = vectors(3, 60)
+    rows += [(None, [1.0] * 6, 1), (200, None, 1), (201, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1), (205, [float("nan")] * 6, 1), (210, [float("inf")] * 6, 0), (215, [1.0] * 6, None)]
+    rows += [(220, [], 1), (225, [0.0] * 6, 2), (230, [2.0, 1.0], 0), rows[5], rows[5], (5, [0.5] * 6, 1), (10, rows[10][1], (rows[10][2] + 1) % 3)]
+    rows += [(235, [1000.0, 900.0] + [0.0] * 4, 1), (236, [990.0, 900.0] + [0.0] * 4, 1), (237, [700.0, 600.0] + [0.0] * 4, 2)]
+    assert mined(spark, rows) == plain(rows)
+    assert mined(spark, rows, cell_rows=8) == plain(rows)
+
+
+def test_scores_beyond_doubles_are_exact(spark):
+    rows = [(i, [float(2**22 + 3 * i), float(2**21 - i)], i % 2) for i in range(40)]
+    assert mined(spark, rows, cell_rows=10) == plain(rows)
+
+
+def test_nothing_to_mine(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(1, [1.0], 0), (2, [0.5], 1)]) == []
+    assert mined(spark, [(5, [1.0], 0), (7, [0.9], 1)]) == []
+    with pytest.raises(ValueError):
+        N.mine(spark.createDataFrame([], SCHEMA), lambda i: i % 5 == 0, window=(95, 50))
+
+
+def test_relabelled(spark):
+    rows = vectors(4, 100, labels=4)
+    want = plain([(i, v, (label + 1) % 4 if i % 7 == 0 else label) for i, v, label in rows])
+    assert mined(spark, rows, relabel=lambda i, label: F.when(i % 7 == 0, (label + 1) % 4).otherwise(label)) == want
+
+
+def test_boxes_bound_and_prune():
+    rng = np.random.default_rng(0)
+    centres = rng.integers(-500, 500, (40, 8))
+    x = (np.repeat(centres, 200, axis=0) + rng.integers(-5, 5, (8000, 8))).astype(np.int64)
+    order, starts = N.packed_order(x, N.LEAF)
+    assert sorted(order.tolist()) == list(range(8000)) and max(np.diff([*starts, 8000])) <= N.LEAF
+    tree = N.Tree(x[order], starts)
+    for level, (low, _) in enumerate(tree.levels):
+        least, most = tree.bounds(tree.x[0], level, slice(0, len(low)))
+        assert (least <= most).all()
+    scores = tree.x @ tree.x[0]
+    least, most = tree.bounds(tree.x[0], 0, slice(0, len(tree.spans)))
+    for (a, b), lo, hi in zip(tree.spans, least, most, strict=True):
+        assert lo <= scores[a:b].min() and scores[a:b].max() <= hi
+    opened = []
+    spans = tree.spans
+    tree.spans = type("Spans", (list,), {"__getitem__": lambda self, i: opened.append(i) or spans[i]})(spans)
+    everything = [(N.LEAST, -N.LEAST)]
+    hits = tree.search(tree.x[0], everything, 5, np.ones(8000, bool), np.arange(8000), [N.LEAST])[0]
+    assert [h[0] for h in hits] == sorted(scores.astype(int).tolist(), reverse=True)[:5]
+    assert len(opened) < len(spans) / 3  # clustered rows: most leaves are never opened
