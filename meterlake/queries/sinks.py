@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake import proxies as P
-from meterlake.plans.attribution import spend_deltas
+from meterlake.plans.attribution import apply_spend, spend_deltas
 from meterlake.queries import Query
 from meterlake.queries.attribution import _APPLY, _metrics
 from meterlake.queries.views import dbl
 from meterlake.session import checkpointed, shared_dir
 from meterlake.sinks import reports, tables
+from meterlake.sinks.loads import Change, Loads
 from meterlake.plans.validation import quality_long, quality_profile
 
 # The new export of replace_range holds these two days only.
@@ -75,12 +76,12 @@ def _new_export(s, d) -> DataFrame:
 
 
 def replace_range(s, d):
-    """An export of two days replaces, twice, everything from the first to the last."""
-    with _table(s, "claude_ai_usage_stats") as (t, path):
-        tables.append(_events(s, d), t)
-        for _ in range(2):
-            tables.replace_range(_new_export(s, d), t)
-        return checkpointed(_daily(_back(s, path, t)))
+    """An export of two days replaces, twice, everything from the first to the last, at once."""
+    store = Loads(s, shared_dir(s, "lake"))
+    store.commit({"claude_ai_usage_stats": Change(_events(s, d))})
+    for _ in range(2):
+        store.replace_range("claude_ai_usage_stats", _new_export(s, d))
+    return _daily(store.read("claude_ai_usage_stats"))
 
 
 def range_replaced(s, d):
@@ -93,13 +94,13 @@ _REPLACED = f"""{_DAILY} FROM logs WHERE activity_date < DATE '{FIRST}' OR activ
 
 
 def update_spend(s, d):
-    """Every stored day gets its spend deltas; the table is read and overwritten in place."""
-    deltas = spend_deltas(P.spend_snapshots(s, d).filter("user_role = 'member'"))
-    with _table(s, "cursor_daily_metrics") as (t, path):
-        tables.append(_metrics(s, d), t)
-        tables.update_spend(s, deltas, None, t)
-        out = _back(s, path, t)
-        return checkpointed(out.select("activity_date", "user_email", "total_applies", F.col("daily_spend_usd").cast("double").alias("daily_spend_usd")))
+    """Stored rows get their spend deltas; only the files that hold one of them are rewritten."""
+    deltas = checkpointed(spend_deltas(P.spend_snapshots(s, d).filter("user_role = 'member'")))
+    store = Loads(s, shared_dir(s, "lake"))
+    store.commit({"cursor_daily_metrics": Change(_metrics(s, d))})
+    store.update("cursor_daily_metrics", deltas, ["activity_date", "user_email"], lambda rows: apply_spend(rows, deltas))
+    out = store.read("cursor_daily_metrics")
+    return out.select("activity_date", "user_email", "total_applies", F.col("daily_spend_usd").cast("double").alias("daily_spend_usd"))
 
 
 def validation_report(s, d):

@@ -1,4 +1,4 @@
-"""Date-partitioned tables.
+"""Date-partitioned tables of the catalog. What must replace several days at once goes through ``loads``.
 
 Rows are rebalanced by date before a write: AQE merges small dates and splits a
 date that is too large for one task, so files come out of even size and no
@@ -10,15 +10,11 @@ the same table.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.dates import Day, day
-from meterlake.plans.attribution import apply_spend
 from meterlake.schemas import TABLES, Table
-from meterlake.session import checkpointed
 
 DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
 
@@ -81,69 +77,14 @@ def replace_dates(df: DataFrame, table: str) -> None:
         spark.conf.set(DYNAMIC, before)
 
 
-def _partition_days(spark: SparkSession, table: str) -> list[dt.date]:
-    """The table's days from the catalog: one short text per day, no data is read. Rows without a date are no day."""
-    names = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return [dt.date.fromisoformat(n) for n in names if n[:1].isdigit()]
-
-
-def _drop_days(spark: SparkSession, table: str, days: list[dt.date]) -> None:
-    """Drop days in one statement."""
-    col = spec_of(table).partition
-    if days:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({col} = DATE'{d}')" for d in days))
-
-
 def replace_date(df: DataFrame, table: str, target: Day) -> None:
     """Replace one day; empty input leaves the stored day alone."""
     col = spec_of(table).partition
     replace_dates(df.filter(F.col(col) == day(target)), table)
 
 
-def replace_range(df: DataFrame, table: str) -> tuple[str, str] | None:
-    """Replace every day from the first to the last day of df.
-
-    Days in between that df has no rows for are removed as well; of an external
-    table only the catalog entry goes, its files are the owner's. Empty input
-    changes nothing. A row without a date refuses the whole write: it has no
-    place in a range. df is computed once, so that what is checked is what is
-    written. New days are committed first, then the others go in one statement;
-    a run that stops in between is completed by running it again. Returns the
-    range.
-    """
-    col, spark = spec_of(table).partition, df.sparkSession
-    df = checkpointed(df)
-    new = {r[0] for r in df.select(F.col(col).cast("date")).distinct().collect()}  # at most one per calendar day
-    if None in new:
-        raise ValueError(f"{table}: rows without {col}; nothing was replaced")
-    if not new:
-        return None
-    lo, hi = min(new), max(new)
-    replace_dates(df, table)
-    _drop_days(spark, table, [d for d in _partition_days(spark, table) if lo <= d <= hi and d not in new])
-    return str(lo), str(hi)
-
-
 def range_replaced(existing: DataFrame, new: DataFrame, col: str = "activity_date") -> DataFrame:
-    """What replace_range leaves in a table, as a DataFrame."""
+    """What ``Loads.replace_range`` leaves in a table, as a DataFrame."""
     lo, hi = new.agg(F.min(col)).scalar(), new.agg(F.max(col)).scalar()
     kept = existing.filter(lo.isNull() | (F.col(col) < lo) | (F.col(col) > hi))
     return kept.unionByName(new, allowMissingColumns=True)
-
-
-def update_spend(
-    spark: SparkSession, deltas: DataFrame, target: Day | None = None, table: str = "cursor_daily_metrics"
-) -> None:
-    """Write spend deltas into the rows stored for one day, or for every day.
-
-    Only days that have deltas are read and overwritten, in one job; the old
-    files stay in place until it commits.
-    """
-    col = spec_of(table).partition
-    days = {r[0] for r in deltas.select(F.col(col).cast("date")).distinct().collect()}  # at most one per calendar day
-    days &= set(_partition_days(spark, table))
-    if target is not None:
-        days &= {dt.date.fromisoformat(str(target))}
-    if days:
-        stored = spark.table(table).filter(F.col(col).isin(sorted(days)))
-        replace_dates(apply_spend(stored, deltas, target), table)

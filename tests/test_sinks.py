@@ -43,28 +43,6 @@ def test_replace_date_twice(spark, metrics):
     assert len(stored(spark, metrics)) == 2
 
 
-def test_replace_range_removes_days_absent_from_export(spark, metrics):
-    tables.append(frame(spark, *[(f"2025-10-0{i}", "a", i) for i in range(1, 6)]), metrics)
-    new = frame(spark, ("2025-10-02", "n", 1), ("2025-10-04", "n", 2))
-    for _ in range(2):
-        assert tables.replace_range(new, metrics) == ("2025-10-02", "2025-10-04")
-    want = [("2025-10-01", "a", 1), ("2025-10-02", "n", 1), ("2025-10-04", "n", 2), ("2025-10-05", "a", 5)]
-    assert stored(spark, metrics) == want
-    assert tables.replace_range(new.limit(0), metrics) is None
-    assert stored(spark, metrics) == want
-    assert tables.range_replaced(spark.table(metrics), new.limit(0)).count() == 4
-
-
-def test_update_spend_one_day(spark, metrics):
-    tables.append(frame(spark, ("2025-10-01", "a", 1), ("2025-10-01", "b", 1), ("2025-10-02", "a", 1)), metrics)
-    deltas = frame(spark, ("2025-10-01", "a", 0), ("2025-10-02", "a", 0), ("2025-10-01", "z", 0)).withColumn("daily_spend_usd", F.lit("1.25").cast("decimal(18,2)"))
-    for _ in range(2):
-        tables.update_spend(spark, deltas, "2025-10-01", metrics)
-    got = {(str(r.activity_date), r.user_email): r.daily_spend_usd for r in spark.table(metrics).collect()}
-    assert {k: v and float(v) for k, v in got.items()} == {("2025-10-01", "a"): 1.25, ("2025-10-01", "b"): None, ("2025-10-02", "a"): None}
-    tables.update_spend(spark, deltas, "2025-12-24", metrics)
-    assert spark.table(metrics).count() == 3
-
 
 def test_new_column_needs_evolution(spark, metrics):
     wide = frame(spark, ("2025-10-01", "a", 1)).withColumn("new_metric", F.lit(7))
@@ -108,36 +86,3 @@ def test_reports_and_exports(spark, tmp_path):
         assert back.count() == 4 and set(back.columns) == {"test", "status"}
     with pytest.raises(ValueError):
         reports.export(res, str(tmp_path / "x"), "xlsx")
-
-
-def test_replace_range_with_a_blank_date_changes_nothing(spark, metrics):
-    tables.append(frame(spark, *[(f"2025-10-{i:02d}", "a", i) for i in range(1, 11)]), metrics)
-    before = stored(spark, metrics)
-    with pytest.raises(ValueError, match="without activity_date"):
-        tables.replace_range(frame(spark, ("2025-10-03", "n", 1), (None, "x", 1)), metrics)
-    assert stored(spark, metrics) == before
-
-
-def test_replace_range_is_completed_after_a_stop(spark, metrics, monkeypatch):
-    tables.append(frame(spark, *[(f"2025-10-0{i}", "a", i) for i in range(1, 6)], (None, "undated", 1)), metrics)
-    new = frame(spark, ("2025-10-02", "n", 1), ("2025-10-04", "n", 2))
-
-    def stop(*_):
-        raise RuntimeError("stopped")
-
-    with monkeypatch.context() as m:
-        m.setattr(tables, "_drop_days", stop)
-        with pytest.raises(RuntimeError):
-            tables.replace_range(new, metrics)
-    assert ("2025-10-03", "a", 3) in stored(spark, metrics)
-    tables.replace_range(new, metrics)
-    assert stored(spark, metrics) == [("2025-10-01", "a", 1), ("2025-10-02", "n", 1), ("2025-10-04", "n", 2), ("2025-10-05", "a", 5), ("None", "undated", 1)]
-
-
-def test_update_spend_leaves_other_days_files(spark, metrics):
-    tables.append(frame(spark, ("2025-10-01", "a", 1), ("2025-10-02", "a", 1)), metrics)
-    files = lambda day: {r[0] for r in spark.table(metrics).filter(F.col("activity_date") == day).select(F.input_file_name()).distinct().collect()}
-    kept, changed = files("2025-10-01"), files("2025-10-02")
-    deltas = frame(spark, ("2025-10-02", "a", 0), ("2025-10-09", "a", 0)).withColumn("daily_spend_usd", F.lit("1.25").cast("decimal(18,2)"))
-    tables.update_spend(spark, deltas, None, metrics)
-    assert files("2025-10-01") == kept and not files("2025-10-02") & changed
