@@ -17,6 +17,14 @@ def _run(out: DataFrame, path: str, checkpoint: str, partition: str | None = Non
     writer.trigger(availableNow=True).start(path).awaitTermination()
 
 
+def landed_pages(spark: SparkSession, in_dir: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """A stream of (file, raw, page): each landed page with its text; ``page._broken`` is set where it does not parse."""
+    raw = spark.readStream.format("text").option("wholetext", multi_line).load(in_dir)
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw")).where(F.length(F.trim("raw")) > 0)
+    page = F.from_json("raw", f"{schema}, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    return raw.withColumn("page", page)
+
+
 def ingest_stream(
     spark: SparkSession,
     in_dir: str,
@@ -26,16 +34,26 @@ def ingest_stream(
     to_rows: Callable[[DataFrame], DataFrame],
     partition: str | None = "activity_date",
     multi_line: bool = True,
+    broken_dir: str | None = None,
 ) -> None:
-    """Load pages that landed since the last run, each file exactly once.
+    """Load pages that landed since the last run, each page exactly once.
 
-    ``multi_line`` files hold one page each; otherwise a file has a page per line.
+    ``multi_line`` files hold one page each; otherwise a file has a page per
+    line. A page with the contents of an earlier one, in whatever run it
+    landed, is left out: the state keeps 32 bytes for each page ever loaded. A
+    page that does not parse does not stop the others; its file, text and the
+    SHA-256 of the text go to ``broken_dir`` (``<out_dir>_broken``), by a
+    second query with its own checkpoint.
 
     The file sink appends and commits per batch. Overwriting dates instead would
     lose rows of a date that arrived in an earlier batch.
     """
-    pages = spark.readStream.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(in_dir)
+    landed = landed_pages(spark, in_dir, schema, multi_line)
+    good = landed.where("page._broken IS NULL").withColumn("digest", F.unhex(F.sha2(F.to_json("page"), 256)))
+    pages = good.dropDuplicates(["digest"]).select("page.*").drop("_broken")
     _run(to_rows(pages), out_dir, checkpoint, partition)
+    broken = landed.where("page._broken IS NOT NULL").select("file", "raw", F.sha2("raw", 256).alias("digest"))
+    _run(broken, broken_dir or f"{out_dir.rstrip('/')}_broken", f"{checkpoint.rstrip('/')}_broken")
 
 
 def hourly_event_counts(
@@ -52,22 +70,30 @@ def hourly_event_counts(
     return counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "events")
 
 
-def with_open_windows(
-    emitted: DataFrame, events: DataFrame, width: str = "1 hour", ts: str = "ts", key: str = "event_id"
-) -> DataFrame:
-    """What a finished run emitted, and the windows after it counted from the landed events.
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows of ``hourly_event_counts`` that a finished run still holds back, with their counts so far.
+
+    They are read from the stream's own state, so an id that the stream has
+    counted or dropped is counted or dropped here too.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint).where("operatorName = 'stateStoreSave'")
+    number = operators.agg(F.max("operatorId")).first()[0]
+    if number is None:
+        return spark.createDataFrame([], "window_start timestamp, window_end timestamp, event_type string, events bigint")
+    state = spark.read.format("statestore").option("operatorId", number).load(checkpoint)
+    return state.select(
+        F.col("key.window.start").alias("window_start"), F.col("key.window.end").alias("window_end"), F.col("key.event_type").alias("event_type"), F.col("value.count").alias("events")
+    )
+
+
+def with_open_windows(emitted: DataFrame, checkpoint: str) -> DataFrame:
+    """What a finished run emitted, and the windows it still holds back.
 
     Append mode keeps a window back until the watermark has passed it, so a run
-    that stops when it has caught up leaves the last ones out. They are a short
-    tail: events from the end of the last emitted window on. The stream's own
+    that stops when it has caught up leaves the last ones out. The stream's own
     result does not change; when more lands, its next run emits them.
     """
-    end = emitted.agg(F.max("window_end")).scalar()
-    at = F.col(ts).cast("timestamp")
-    tail = events.withColumn(ts, at).filter(end.isNull() | (F.col(ts) >= end)).dropDuplicates([key])
-    counts = tail.groupBy(F.window(ts, width).alias("w"), "event_type").agg(count_big().alias("events"))
-    counts = counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "events")
-    return emitted.unionByName(counts)
+    return emitted.unionByName(open_windows(emitted.sparkSession, checkpoint))
 
 
 def run_to_parquet(out: DataFrame, path: str, checkpoint: str) -> DataFrame:

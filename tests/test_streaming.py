@@ -45,3 +45,43 @@ def test_hourly_counts_dedup_and_late(spark, tmp_path):
     assert run() == [(1, 2)]
     add((4, "2025-10-01 01:40:00", "x"), (5, "2025-10-01 07:00:00", "x"))  # id 4 is behind the watermark
     assert run() == [(1, 2), (4, 1)]
+
+
+def test_closing_form_and_next_run_equal_one_count(spark, tmp_path):
+    """An id that comes again in the next window is counted in its first one, open or emitted."""
+    src, state = tmp_path / "ev", str(tmp_path / "c")
+    ddl = "event_id string, ts timestamp_ntz, event_type string"
+
+    def run(*rows):
+        df = spark.createDataFrame(list(rows), "event_id string, ts string, event_type string")
+        df.selectExpr("event_id", "CAST(ts AS timestamp_ntz) AS ts", "event_type").coalesce(1).write.mode("append").parquet(str(src))
+        out = ST.run_to_parquet(ST.hourly_event_counts(spark.readStream.schema(ddl).parquet(str(src))), str(tmp_path / "o"), state)
+        count = lambda df: sorted((r.window_start.hour, r.event_type, r.events) for r in df.collect())
+        return count(out), count(ST.with_open_windows(out, state))
+
+    assert run(("a", "2025-10-01 10:59:00", "x"), ("b", "2025-10-01 10:10:00", "x"), ("c", "2025-10-01 11:05:00", None)) == ([], [(10, "x", 2), (11, None, 1)])
+    assert run(("a", "2025-10-01 11:01:00", "x"), ("d", "2025-10-01 12:30:00", "x")) == ([(10, "x", 2)], [(10, "x", 2), (11, None, 1), (12, "x", 1)])
+    emitted, closed = run(("d", "2025-10-01 13:10:00", "x"), ("e", "2025-10-01 20:00:00", "x"))
+    assert emitted == [(10, "x", 2), (11, None, 1), (12, "x", 1)] and closed == [*emitted, (20, "x", 1)]
+
+
+def test_repeated_and_broken_pages(spark, tmp_path):
+    src, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src.mkdir()
+
+    def run():
+        ST.ingest_stream(spark, str(src), out, ckpt, R.COST_PAGE, lambda pages: R.cost_rows(pages, "org"))
+        broken = spark.read.schema("file string, raw string, digest string").parquet(f"{out}_broken")
+        return sorted(float(r.amount_usd) for r in spark.read.parquet(out).collect()), sorted(r.file.rsplit("/", 1)[1] for r in broken.collect())
+
+    land(src, "a.json", "2025-10-01", 100)
+    land(src, "b.json", "2025-10-01", 100)
+    assert run() == ([1.0], [])
+    land(src, "c.json", "2025-10-01", 100)
+    land(src, "d.json", "2025-10-01", 200)
+    (src / "e.json").write_text('{"data": [{"starting_at": "2025-10-02T00:0')
+    (src / "f.json").write_text('{"data": "no list"}')
+    assert run() == ([1.0, 2.0], ["e.json", "f.json"])
+    land(src, "g.json", "2025-10-02", 300)
+    (src / "h.json").write_text((src / "g.json").read_text().replace("\n", ""))  # the same page, written otherwise
+    assert run() == ([1.0, 2.0, 3.0], ["e.json", "f.json"])
