@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.dates import iso_date, iso_timestamp
@@ -22,13 +22,53 @@ def _read_csv(spark: SparkSession, paths: str | list[str], schema: str | None) -
     return (reader.schema(schema) if schema else reader).csv(paths, mode="FAILFAST")
 
 
-def read_activity_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Audit export; quoted cells may span lines and double their quotes.
+def csv_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, record) of CSV files whose quoted cells may span lines; a file may be cut into any number of splits.
 
-    Such a file is read by one task, so a large export should land as many
-    files. The rows are dealt out again before their literals are parsed.
+    Spark reads lines, split by split. A line begins a record where the number
+    of quotes before it is even, so a split needs one bit from those before it:
+    the parity of their quotes, a running sum over one row per split. Records
+    of one line, nearly all, stay where they are; only lines of longer ones are
+    brought together, also across splits. Each file's first record is its
+    header and left out, as are empty lines. Lines end in LF or CRLF; a quote
+    stands in quoted cells only, where it is doubled.
     """
-    return _read_csv(spark, paths, ACTIVITY_CSV).hint("rebalance")
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line"),
+    )
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    in_split = Window.partitionBy("file", "split").orderBy("_at")
+    lines = lines.withColumn("quotes", quotes).select(
+        "file", "split", "line", "quotes", F.row_number().over(in_split).alias("n"),
+        ((F.sum("quotes").over(in_split) - F.col("quotes")) % 2).alias("odd"),
+    )
+    # Where the last record of a split begins, if it is entered between two records or inside of one.
+    splits = lines.groupBy("file", "split").agg(
+        F.sum("quotes").alias("quotes"), *[F.max(F.when(F.col("odd") == p, F.col("n"))).alias(f"last{p}") for p in (0, 1)]
+    )
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    splits = splits.withColumn("entered", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    last = F.when(F.col("entered") == 0, F.col("last0")).otherwise(F.col("last1"))
+    splits = splits.withColumn("last", F.when(last.isNotNull(), F.struct("split", last.alias("n"))))
+    splits = splits.select("file", "split", "entered", F.last("last", ignorenulls=True).over(before).alias("open"))
+    placed = lines.join(splits, ["file", "split"]).withColumn("begins", F.col("odd") == F.col("entered"))
+    alone = F.col("begins") & (F.col("quotes") % 2 == 0)
+    header = lambda at: (at["split"] == 0) & (at["n"] == 1)
+    short = placed.where(alone & ~((F.col("split") == 0) & (F.col("n") == 1))).select("file", F.col("line").alias("record"))
+    to_here = Window.partitionBy("file", "split").orderBy("n")
+    begun = F.last(F.when(F.col("begins"), F.struct("split", "n")), ignorenulls=True).over(to_here)
+    longer = placed.where(~alone).withColumn("record", F.coalesce(begun, "open"))
+    longer = longer.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("split", "n", "line"))).alias("lines"))
+    longer = longer.where(~header(F.col("record"))).select("file", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("record"))
+    records = short.unionByName(longer).withColumn("record", F.regexp_replace("record", "\r$", ""))
+    return records.where("record <> ''")
+
+
+def read_activity_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Audit export; quoted cells may span lines and double their quotes. One large file is read by many tasks."""
+    parsed = F.from_csv("record", ACTIVITY_CSV.strip().replace("\n", " "), {"escape": '"', "mode": "FAILFAST"})
+    return csv_records(spark, paths).select(parsed.alias("r")).select("r.*")
 
 
 def activity_rows(raw: DataFrame) -> DataFrame:
