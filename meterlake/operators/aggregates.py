@@ -98,9 +98,10 @@ def global_rank(df: DataFrame, value: str, within: str | None = None, buckets: i
         (F.col("_rows_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0)) + 1).alias("rank"),
         (F.col("_values_before") + F.row_number().over(inside)).cast("bigint").alias("dense_rank"),
         "_total",
+        "_n",
     )
     ranks = ranks.withColumn(
         "percent_rank", F.when(F.col("_total") > 1, safe_divide(F.col("rank") - 1, F.col("_total") - 1)).otherwise(0.0)
     )
     rest = [c for c in df.columns if c not in (value, within)]
-    return join_totals(df, ranks.drop("_total"), [*part, value], spread=rest, null_safe=bool(part))
+    return join_totals(df, ranks.drop("_total"), [*part, value], spread=rest, null_safe=bool(part), n="_n")

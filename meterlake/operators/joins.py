@@ -2,50 +2,82 @@
 
 Catalyst broadcasts a side whose size it knows to be below
 ``spark.sql.autoBroadcastJoinThreshold``, AQE does so from measured sizes, and
-anything larger is shuffled with skewed partitions split. Only a dimension that
-was measured first is broadcast by hint.
+anything larger is shuffled with skewed partitions split. The one hint is on a
+list of hot keys, whose length is bounded by their definition.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.session import checkpointed
+SALT, SALTS = "_salt", "_salts"
+REPEATS = 65_536  # equal rows written by one task at a time
 
-SALTS = 16
-SMALL = 8 << 20  # bytes of a measured dimension that every executor may hold
+
+def _same(on: list[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in on])
+
+
+def hot_keys(counts: DataFrame, on: list[str], n: str) -> DataFrame:
+    """Keys with more rows than half a partition's share, and the number of sub-keys that bring them below it.
+
+    With p shuffle partitions a key is hot from 1/(2p) of all rows on, so there
+    are fewer than 2p of them, whatever the table's size. Nothing is computed
+    until the join that uses them runs.
+    """
+    parts = 2 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum(n)).scalar()
+    salts = F.ceil(F.col(n) * parts / total).cast("int")
+    return counts.select(*[F.col(k).alias(f"_h_{k}") for k in on], salts.alias(SALTS)).filter(F.col(SALTS) > 1)
+
+
+def _with_salts(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
+    joined = df.join(F.broadcast(hot), _same(on, "_h_"), "left")
+    return joined.select(*df.columns, F.coalesce(SALTS, F.lit(1)).alias(SALTS))
+
+
+def salted(rows: DataFrame, hot: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
+    """Rows with a sub-key: 0, or for a hot key a hash of the ``spread`` columns.
+
+    Not a random number, so a recomputed task gives the same rows. Rows that
+    are equal in all of ``spread`` share a sub-key. NULL keys are spread too:
+    a left join keeps them all, though they match nothing.
+    """
+    salt = F.pmod(F.xxhash64(*(spread or on)), F.col(SALTS)).cast("int")
+    return _with_salts(rows, hot, on).withColumn(SALT, salt).drop(SALTS)
+
+
+def repeated(totals: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
+    """Totals with one row per sub-key; those of other keys stay single."""
+    return _with_salts(totals, hot, on).withColumn(SALT, F.explode(F.sequence(F.lit(0), F.col(SALTS) - 1))).drop(SALTS)
+
+
+def _join_salted(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
+    extra = [c for c in right.columns if c not in (*on, SALT)]
+    if not null_safe:
+        return left.join(right, [*on, SALT], how).select(*left.columns, *extra)
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in [*on, SALT]})
+    return left.join(right, _same([*on, SALT], "_r_"), how).select(*left.columns, *extra)
 
 
 def join_totals(
-    rows: DataFrame,
-    totals: DataFrame,
-    on: list[str],
-    *,
-    spread: list[str],
-    how: str = "left",
-    null_safe: bool = False,
-    salts: int = SALTS,
-) -> DataFrame:
+    rows: DataFrame, totals: DataFrame, on: list[str], *, spread: list[str], how: str = "left", null_safe: bool = False, n: str | None = None
+) -> DataFrame:
     """Bring one row of totals per key back to the detail rows.
 
     A single key may hold a large share of the rows, and AQE cannot split a
-    shuffle that also feeds an aggregate. Rows are therefore spread over
-    ``salts`` sub-keys by a hash of the ``spread`` columns (not a random
-    number, so a recomputed task gives the same rows), and each totals row is
-    repeated once per sub-key.
+    shuffle that also feeds an aggregate. Hot keys are therefore spread over
+    sub-keys, as many as their counts ask for. ``n`` names the rows per key
+    among the totals and is left out of the result; without it keys are
+    counted in a pass over the key columns.
     """
-    salt, columns = "_salt", rows.columns
-    extra = [c for c in totals.columns if c not in on]
-    left = rows.withColumn(salt, F.pmod(F.xxhash64(*(spread or on)), F.lit(salts)).cast("int"))
-    right = totals.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    if not null_safe:
-        return left.join(right, [*on, salt], how).select(*columns, *extra)
-    right = right.withColumnsRenamed({c: f"_r_{c}" for c in [*on, salt]})
-    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on] + [F.col(salt) == F.col(f"_r_{salt}")]
-    return left.join(right, reduce(lambda a, b: a & b, same), how).select(*columns, *extra)
+    counts = totals.select(*on, F.col(n).alias("_n")) if n else rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(counts, on, "_n")
+    right = repeated(totals.drop(n) if n else totals, hot, on)
+    return _join_salted(salted(rows, hot, on, spread), right, on, how, null_safe).drop(SALT)
 
 
 def three_way_left(
@@ -53,26 +85,25 @@ def three_way_left(
 ) -> DataFrame:
     """base ⟕ first ⟕ second on the same keys, each with one row per key.
 
-    Plain equality never matches NULL.
+    Plain equality never matches NULL. Both joins use the same sub-keys, so the
+    second finds its rows where the first has put them.
     """
-    out = base
+    hot = hot_keys(base.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), on, "_n")
+    out = salted(base, hot, on, [c for c in base.columns if c not in on])
     for other in (first, second):
-        out = join_totals(out, other, on, spread=[c for c in base.columns if c not in on], null_safe=null_safe)
-    return out
+        out = _join_salted(out, repeated(other, hot, on), on, "left", null_safe)
+    return out.drop(SALT)
 
 
-def lookup(facts: DataFrame, dim: DataFrame, key: str, values: dict[str, str], small: int = SMALL) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, key: str, values: dict[str, str]) -> DataFrame:
     """Dimension attributes (new name: dimension column) per fact row in one join; a key listed twice takes the smallest value.
 
-    Reducing the dimension to one row per key first keeps the fact grain. The
-    reduced one is kept and measured: up to ``small`` bytes it is broadcast and
-    the facts are not shuffled, a larger one is joined over salted keys.
+    Reducing the dimension to one row per key first keeps the fact grain. A
+    dimension that Catalyst knows to be small is broadcast, so that the facts
+    are not shuffled; for a larger one AQE splits the partitions of hot keys.
     """
-    one = checkpointed(dim.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(c).alias(a) for a, c in values.items()]))
-    wide = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in one.columns), F.lit(0))
-    if (one.agg(F.sum(wide)).first()[0] or 0) <= small:
-        return facts.join(F.broadcast(one), key, "left").select(*facts.columns, *values)
-    return join_totals(facts, one, [key], spread=[c for c in facts.columns if c != key])
+    one = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(c).alias(a) for a, c in values.items()])
+    return facts.join(one, key, "left").select(*facts.columns, *values)
 
 
 def anti_join(spine: DataFrame, df: DataFrame, spine_col: str, col: str) -> DataFrame:
@@ -127,5 +158,12 @@ def self_join_shift(weekly: DataFrame, week: str, user: str, weeks: list[int]) -
 def join_global_counts(df: DataFrame, col: str, counts_from: DataFrame | None = None, name: str = "cnt") -> DataFrame:
     """Attach the whole-table row count of each value of col."""
     counts = (counts_from or df).groupBy(col).agg(F.count(F.lit(1)).alias(name))
-    spread = [c for c in df.columns if c != col] or [col]
-    return join_totals(df, counts, [col], spread=spread)
+    rest = [c for c in df.columns if c != col]
+    if rest:
+        known = counts.withColumn("_rows", F.col(name)) if counts_from is None else counts
+        return join_totals(df, known, [col], spread=rest, n=None if counts_from is not None else "_rows")
+    # Rows of nothing but the key are their count, written as often; a NULL key matches no count.
+    own = df.groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
+    per = own.join(counts, col, "left").withColumn("_first", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_rows"), F.lit(REPEATS).cast("long"))))
+    per = per.hint("rebalance").withColumn("_each", F.explode(F.sequence(F.col("_first"), F.least("_rows", F.col("_first") + (REPEATS - 1)))))
+    return per.select(col, name)

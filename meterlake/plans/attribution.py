@@ -181,13 +181,13 @@ def _tokens(kinds: list[str]) -> Column:
 def _allocation_totals(costs: DataFrame, usage: DataFrame, how: str, null_safe: bool) -> DataFrame:
     """Cost and tokens per (date, workspace, model), both already aggregated."""
     cost = costs.groupBy(*_GRAIN).agg(F.sum("amount_usd").alias("workspace_model_cost"))
-    tokens = usage.groupBy(*_GRAIN).agg(F.sum("total_tokens").alias("workspace_model_tokens"))
+    tokens = usage.groupBy(*_GRAIN).agg(F.sum("total_tokens").alias("workspace_model_tokens"), F.count(F.lit(1)).alias("usage_rows"))
     cond = None
     for k in _GRAIN:
         same = tokens[k].eqNullSafe(cost[k]) if null_safe else tokens[k] == cost[k]
         cond = same if cond is None else cond & same
     return tokens.join(cost, cond, how).select(
-        *[tokens[k] for k in _GRAIN], "workspace_model_tokens", "workspace_model_cost"
+        *[tokens[k] for k in _GRAIN], "workspace_model_tokens", "workspace_model_cost", "usage_rows"
     )
 
 
@@ -200,7 +200,7 @@ def allocate_cost_to_keys(costs: DataFrame, usage_keys: DataFrame, null_safe: bo
     """
     usage = usage_keys.select("activity_date", "api_key_id", "workspace_id", "model", _tokens(TOKEN_KINDS).alias("total_tokens"))
     totals = _allocation_totals(costs, usage, "left", null_safe)
-    joined = join_totals(usage, totals, _GRAIN, spread=["api_key_id", "total_tokens"], null_safe=null_safe)
+    joined = join_totals(usage, totals, _GRAIN, spread=["api_key_id", "total_tokens"], null_safe=null_safe, n="usage_rows")
     return _allocated(joined)
 
 
@@ -209,7 +209,7 @@ def allocate_cost_window(costs: DataFrame, usage_keys: DataFrame) -> DataFrame:
     kinds = [k for k in TOKEN_KINDS if k != "cache_creation_1h_tokens"]
     usage = usage_keys.select("activity_date", "api_key_id", "workspace_id", "model", _tokens(kinds).alias("total_tokens"))
     totals = _allocation_totals(costs, usage, "inner", False)
-    joined = join_totals(usage, totals, _GRAIN, spread=["api_key_id", "total_tokens"], how="inner")
+    joined = join_totals(usage, totals, _GRAIN, spread=["api_key_id", "total_tokens"], how="inner", n="usage_rows")
     return _allocated(joined).select("activity_date", "api_key_id", "workspace_id", "model", "allocated_cost_usd")
 
 

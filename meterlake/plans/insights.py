@@ -9,7 +9,6 @@ from pyspark.sql.types import StructType
 from meterlake.functions.dates import month_key, month_start, week_start
 from meterlake.functions.numbers import count_big, percent, safe_divide, sum_if, usd
 from meterlake.operators.aggregates import global_rank, union_all
-from meterlake.operators.joins import join_totals
 from meterlake.plans.validation import tolerance_compare
 from meterlake.schemas import API, EDITOR, IDE
 from meterlake.session import checkpointed
@@ -357,7 +356,7 @@ def check_rows(df: DataFrame, rules: dict[str, Column], references: dict[str, tu
     for i, (col, (dim, key)) in enumerate((references or {}).items()):
         flag = f"_ref{i}"
         keys = dim.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(col)).agg(F.lit(True).alias(flag))
-        df = join_totals(df, keys, [col], spread=[c for c in df.columns if c != col])
+        df = df.join(keys, col, "left")
         rules = {**rules, f"{col} has no match": F.col(col).isNotNull() & F.col(flag).isNull()}
     named = F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()])
     out = df.withColumn("errors", F.filter(named, lambda e: e.isNotNull()))

@@ -43,24 +43,76 @@ def test_no_cross_joins(plans):
     files = [p for p in pathlib.Path(C.__file__).parents[1].rglob("*.py") if p.parent.name != "llm"]
     src = "".join(p.read_text() for p in files)
     assert "localCheckpoint" not in src and ".toPandas(" not in src
-    # The one hint is on a dimension that was measured first.
-    assert src.count("broadcast(") == 1 and "F.broadcast(one)" in src
+    # The one hint is on a list of hot keys, fewer than two for each partition.
+    assert src.count("broadcast(") == 1 and "F.broadcast(hot)" in src
 
 
-def test_small_dimension_does_not_shuffle_the_facts(spark):
+def test_small_dimension_does_not_shuffle_the_facts(spark, tmp_path):
     from executed import final_plan
 
     from meterlake.operators.joins import lookup
 
     facts = spark.range(1000).selectExpr("IF(id % 2 = 0, 'hot', CAST(id AS STRING)) AS k", "id AS v")
-    dim = spark.createDataFrame([("hot", "b", "x"), ("hot", "a", "y"), ("1", "c", None)], "k string, u string, t string")
+    spark.createDataFrame([("hot", "b", "x"), ("hot", "a", "y"), ("1", "c", None)], "k string, u string, t string").coalesce(1).write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
     small = lookup(facts, dim, "k", {"user": "u", "team": "t"})
-    assert "Exchange hashpartitioning" not in final_plan(small)
-    large = lookup(facts, dim, "k", {"user": "u", "team": "t"}, small=0)
-    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    shuffled = re.findall(r"Exchange hashpartitioning.*", final_plan(small).split("Initial Plan")[0])
+    assert len(shuffled) <= 1  # the dimension's own aggregate
     assert small.filter("k = 'hot'").distinct().count() == 500 and {r.user for r in small.filter("k = 'hot'").collect()} == {"a"}
 
 
+def test_building_plans_starts_no_job(spark):
+    from meterlake.operators import joins as J
+    from meterlake.operators.aggregates import global_rank
+
+    rows = spark.range(100).selectExpr("CONCAT('k', id % 3) AS k", "id AS v")
+    spark.sparkContext.setJobGroup("plans", "built only")
+    J.lookup(rows, rows.select("k", "v"), "k", {"u": "v"})
+    J.three_way_left(rows, rows.select("k"), rows.select("k"), ["k"])
+    J.join_global_counts(rows, "k")
+    global_rank(rows, "v")
+    started = spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(started) == []
+
+
+@pytest.fixture()
+def plain(spark):
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("hot", ["'hot'", "CAST(NULL AS STRING)"])
+def test_a_key_on_half_the_rows_is_spread(spark, plain, hot):
+    """The largest task has at most three times the median, and only hot keys are repeated."""
+    from pyspark.sql import functions as F
+
+    from meterlake.operators import joins as J
+
+    rows = spark.range(40_000).selectExpr(f"IF(id % 2 = 0, {hot}, CONCAT('k', id % 500)) AS k", "id AS v")
+    totals = rows.groupBy("k").agg(F.sum("v").alias("t"), F.count("*").alias("n"))
+    for how in ({"n": "n"}, {}):
+        out = J.join_totals(rows, totals if how else totals.drop("n"), ["k"], spread=["v"], null_safe=True, **how)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 3 * sizes[4] and sum(sizes) == 40_000
+        assert out.where("t IS NULL").count() == 0
+    three = J.three_way_left(rows, totals.select("k", "t"), totals.select("k", "n"), ["k"])
+    sizes = sorted(r["count"] for r in three.groupBy(F.spark_partition_id()).count().collect())
+    assert sizes[-1] <= 3 * sizes[len(sizes) // 2] and sum(sizes) == 40_000
+    keys = J.hot_keys(totals, ["k"], "n")
+    assert [r[1] for r in keys.collect()] == [8]
+    assert J.repeated(totals, keys, ["k"]).count() == totals.count() + 7
+    even = totals.where("k LIKE 'k%'")
+    assert J.repeated(even, J.hot_keys(even, ["k"], "n"), ["k"]).count() == even.count()
+    alone = J.join_global_counts(rows.select("k"), "k")
+    assert alone.count() == 40_000 and alone.distinct().count() == 251
+
+
 def test_date_range_reaches_the_scan(spark, sf_dir):
     df = C.kpi_total_cost(P.combined_daily_costs(spark, sf_dir), "1996-10-01", "1996-12-31")
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", physical(df))
