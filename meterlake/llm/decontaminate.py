@@ -80,6 +80,9 @@ def find(search: tuple[list, list[list[str]]], words: list[bytes]) -> tuple[list
             runs.append([start, end])
     return runs, items
 
+# Bytes that Python holds for a window of the search table and for each of its words, beside the text.
+WINDOW_BYTES, WORD_BYTES = 500, 48
+
 
 def windows(benchmark: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """Each item's windows of ``width`` words (a shorter item is one window): words joined by spaces, item id."""
@@ -107,7 +110,9 @@ def decontaminate(
     bench_text: str = "text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: id, the ``keep`` columns, n_words, spans (runs of hit words, [start, end)), items (ids, sorted as strings).
+    """One row per row of ``docs``: id, n_words, spans (runs of hit words, [start, end)), items (ids, sorted as strings).
+
+    With ``keep`` there is also a struct ``kept`` of those columns.
 
     Words are runs of 0-9, a-z and non-ASCII after lower-casing A-Z. Windows
     go to the executors as one search table when they take at most
@@ -122,15 +127,17 @@ def decontaminate(
     """
     spark = docs.sparkSession
     cut = windows(benchmark, width, bench_id, bench_text)
-    size = cut.agg(F.sum(F.length("words") + F.length("item") + 80)).first()[0] or 0
+    size = cut.agg(F.sum(F.length("words") + F.length("item") + WINDOW_BYTES + WORD_BYTES * width)).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    kept = [c for c in dict.fromkeys(keep) if c != id_col]
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_keep_{c}") for c in kept])
-    named = [F.col("_id").alias(id_col), *[F.col(f"_keep_{c}").alias(c) for c in kept], "n_words"]
+    kept = [*dict.fromkeys(keep)]
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(kept)])
+    apart = [F.struct(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(kept)]).alias("kept")] if kept else []
+    named = [F.col("_id").alias(id_col), *apart, "n_words"]
     if blocks == 1:
         return _searched(texts, _table(cut)).select(*named, "spans", "items")
     cut = staged(cut.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks))), "windows")
-    keyed = texts.withColumn("_key", F.xxhash64("_id", "_text"))
+    key = F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("")), F.lit("\x1f"), F.coalesce("_text", F.lit("")))
+    keyed = texts.withColumn("_key", F.unhex(F.md5(key)))  # rows with one key have the same hits
     bare = keyed.select("_id", "_text", "_key")
     parts = [_searched(bare, _table(cut.where(F.col("block") == b))) for b in range(blocks)]
     hits = None

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import slices
+from meterlake.llm.common import slices, staged
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -76,8 +76,9 @@ def train(
 
     ``sample_rows`` bounds the rows that are learned from: with more, those
     whose hashed id falls under the fitting share are used, whole texts.
-    ``entries`` bounds the model: the most frequent words and n-grams stay, by
-    a count threshold found from a histogram.
+    ``entries`` bounds the model whatever the counts are: so many of the most
+    frequent words and n-grams stay, of equally frequent ones the first by
+    order and code point, each with a number for every language.
     """
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = known.count()
@@ -86,17 +87,11 @@ def train(
     share = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
     if rows > sample_rows:
         known = known.where(share < (1 << 20) * sample_rows // rows)
-    table = counts(known.select(F.col(text_col), F.col(lang_col).cast("string"))).persist()
+    table = staged(counts(known.select(F.col(text_col), F.col(lang_col).cast("string"))), "grams")
     by_gram = table.groupBy("order", "gram").agg(F.sum("n").alias("total"))
-    room, least = entries, 1000
-    for total, k in by_gram.groupBy(F.least("total", F.lit(1000)).alias("t")).count().orderBy(F.desc("t")).collect():
-        room -= k
-        if room < 0:
-            break
-        least = total
-    kept = table.join(by_gram.where(F.col("total") >= least), ["order", "gram"]).select("lang", "order", "gram", "n").collect()
+    most = by_gram.orderBy(F.desc("total"), "order", "gram").limit(entries).select("order", "gram")
+    kept = table.join(most, ["order", "gram"]).select("lang", "order", "gram", "n").collect()
     sums = {(r["lang"], r["order"]): r["s"] for r in table.groupBy("lang", "order").agg(F.sum("n").alias("s")).collect()}
-    table.unpersist()
     return fitted(kept, sums)
 
 
@@ -175,7 +170,7 @@ class Scorer:
 def identify(
     docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), strict: bool = False
 ) -> DataFrame:
-    """One row per row of ``docs``: the id and the ``keep`` columns, lang_pred, score.
+    """One row per row of ``docs``: the id, lang_pred, score, and with ``keep`` a struct ``kept`` of those columns.
 
     Every word of the whole text adds its log frequencies; a word the model
     does not know adds the mean of its longest known n-grams. ``score`` is the
@@ -185,19 +180,23 @@ def identify(
     no n-gram (another script), which with ``strict`` is ``und``, 0.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [*dict.fromkeys([id_col, *keep])]
-    rows = docs.select(*columns, *([] if text_col in columns else [text_col]))  # the text travels once
-    at = rows.columns.index(text_col)
+    # What is kept stays apart from the results, whatever its names are; the text travels once.
+    beside = [c for c in dict.fromkeys(keep) if c not in (id_col, text_col)]
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(beside)])
+    passed = [c for c in rows.columns if c != "_text" or text_col in keep]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value) if sent.value else None
         for batch in slices(batches):
-            found = [scorer.predict(t, strict) if scorer else (UNKNOWN, 0.0) for t in batch.column(at).to_pylist()]
+            found = [scorer.predict(t, strict) if scorer else (UNKNOWN, 0.0) for t in batch.column(1).to_pylist()]
             out = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *out], schema.names)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in passed], *out], schema.names)
 
-    schema = T.StructType([*rows.schema.fields[: len(columns)], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(predict, schema)
+    schema = T.StructType([*[rows.schema[c] for c in passed], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    told = rows.mapInArrow(predict, schema)
+    place = {text_col: "_text", id_col: "_id", **{c: f"_keep{i}" for i, c in enumerate(beside)}}
+    kept = [F.struct(*[F.col(place[c]).alias(c) for c in dict.fromkeys(keep)]).alias("kept")] if keep else []
+    return told.select(F.col("_id").alias(id_col), *kept, "lang_pred", "score")
 
 
 def held_out(id_col: str, folds: int, fold: int):

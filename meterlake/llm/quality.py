@@ -8,11 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import U64, mixed, slices
+from meterlake.llm.common import U64, mixed, slices, staged
 
 BITS = 18
 TOKENS = re.compile(r"\w+|[^\w\s]+")
@@ -133,11 +133,12 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, c: float = 1.0, epochs: int
     return {"weights": w.astype(np.float32), "ratios": ratios.astype(np.float32), "bias": bias, "slope": slope, "offset": offset}
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000, sample_bytes: int = 256 << 20, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict:
     """A model from the labelled documents.
 
     ``sample_rows`` bounds the rows the fit sees (it runs on the driver): with
-    more labels, those whose hashed id falls under the fitting share are used.
+    more labels, those whose hashed id falls under the fitting share are used;
+    of these, in hash order, as many as have ``sample_bytes`` of indicators.
     Null labels teach nothing; of repeated labels of a document the larger counts.
     """
     known = labels.where(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("_label"))
@@ -153,7 +154,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000, id_col: s
 
     rows = docs.select(id_col, F.col(text_col).alias("_text")).join(known, id_col)
     schema = T.StructType([rows.schema[id_col], T.StructField("_label", T.IntegerType()), T.StructField("_features", T.BinaryType())])
-    got = rows.mapInArrow(features, schema).collect()  # at most about sample_rows rows
+    made = staged(rows.mapInArrow(features, schema), "features")
+    order = Window.orderBy(F.xxhash64(F.col(id_col).cast("string")), F.xxhash64("_features"))  # over at most about sample_rows sizes
+    sizes = made.select(id_col, "_label", F.xxhash64("_features").alias("_h"), F.sum(F.length("_features")).over(order).alias("_upto"))
+    within = sizes.where(F.col("_upto") <= sample_bytes).select(F.col(id_col).alias("_kid"), F.col("_h").alias("_kh")).distinct()
+    fits = made[id_col].eqNullSafe(within["_kid"]) & (F.xxhash64(made["_features"]) == within["_kh"])
+    got = made.join(within, fits, "left_semi").collect()  # at most sample_bytes, but for rows that are repeated
     got = sorted(got, key=lambda r: (str(r[id_col]), bytes(r["_features"])))
     return fit([np.frombuffer(r["_features"], np.int32) for r in got], np.array([r["_label"] for r in got], np.int32))
 

@@ -38,4 +38,4 @@ def test_empty_tables_and_repeated_rows(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.decontaminate(docs([]), none).collect() == []
     got = D.decontaminate(docs([(1, "a b"), (1, "a b"), (None, "a b")]), none, keep=("source", "score")).collect()
-    assert sorted((str(r["doc_id"]), r["n_words"], r["items"], r["score"]) for r in got) == [("1", 2, [], 4), ("1", 2, [], 4), ("None", 2, [], 4)]
+    assert sorted((str(r["doc_id"]), r["n_words"], r["items"], r["kept"]["score"]) for r in got) == [("1", 2, [], 4), ("1", 2, [], 4), ("None", 2, [], 4)]

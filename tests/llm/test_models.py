@@ -95,3 +95,95 @@ def test_held_out_is_the_checksum(spark):
     got = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", L.held_out("doc_id", 4, 2).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
     assert spark.range(1).select(F.lit(None).cast("long").alias("i")).select(L.held_out("i", 4, 2).alias("h")).first()["h"] is False
+
+
+def test_language_model_is_bounded_whatever_the_counts(docs):
+    heavy = " ".join(f"w{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz") + " "
+    model = L.train(docs([(1, heavy * 1500)]).unionByName(docs([(2, heavy.upper() * 1200)], "xx")), entries=300)
+    assert sum(map(len, model["index"])) == len(model["logs"]) == 300
+    assert L.identify(docs([(1, "wak")]), model).count() == 1
+
+
+def plain_language(examples, texts):
+    """Word-first backoff from the definition, with plain dictionaries."""
+    import math
+    import re
+    from collections import Counter
+
+    words = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    grams = lambda w, n: [w] if n == 0 else [(f"_{w}_" if n > 1 else w)[i : i + n] for i in range(len(w) + (2 if n > 1 else 0) - n + 1)]
+    seen = {}
+    for text, lang in examples:
+        for n in range(5):
+            seen.setdefault((lang, n), Counter()).update(g for w in words(text) for g in grams(w, n))
+    langs = sorted({lang for lang, _ in seen})
+    kinds = [len(set().union(*(seen[lang, n] for lang in langs))) + 1 for n in range(5)]
+    log = lambda lang, n, g: math.log((seen[lang, n][g] + 0.5) / (sum(seen[lang, n].values()) + 0.5 * kinds[n]))
+    out = []
+    for text in texts:
+        totals = [0.0] * len(langs)
+        for w in words(text):
+            for n in (0, 4, 3, 2, 1):
+                found = [g for g in grams(w, n) if any(seen[lang, n][g] for lang in langs)]
+                if found:
+                    for j, lang in enumerate(langs):
+                        totals[j] += sum(log(lang, n, g) for g in found) / len(found)
+                    break
+        best = max(range(len(langs)), key=lambda j: (totals[j], -j))
+        out.append((langs[best], 1 / sum(math.exp(t - totals[best]) for t in totals)) if words(text) else ("und", 0.0))
+    return out
+
+
+def test_language_equals_a_plain_second_version(spark, sf_dir, docs, prose):
+    rows = [r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(60).collect() if r.text and len(r.text) < 5000]
+    examples, texts = [(r.text, r.lang) for r in rows[:30] if r.lang], [r.text for r in rows[30:]] + [None, "12", "the und les", "qqq zzz", prose(3, 30)]
+    table = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(examples)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.identify(docs(list(enumerate(texts))), L.train(table)).collect()}
+    for i, (lang, score) in enumerate(plain_language(examples, texts)):
+        assert got[i][0] == lang and got[i][1] == pytest.approx(score, rel=1e-3, abs=1e-6)
+
+
+def test_quality_scores_are_recomputed_from_the_weights(docs, prose):
+    """Indicators of words, word pairs and shape pairs one by one, and the margin as a plain sum."""
+    import math
+
+    import xxhash
+
+    rng = np.random.default_rng(3)
+    rows, labels = [prose(i, 30) if i % 2 else prose(i, 30).replace("a", "!") for i in range(40)], np.array([i % 2 for i in range(40)])
+    made = Q.Features()
+    model = Q.fit([made.of(t) for t in rows], labels)
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    texts = [prose(100 + i, int(rng.integers(1, 60))) for i in range(15)] + [None, "", "the the THE end.", "x"]
+    got = {r["doc_id"]: r["score"] for r in Q.score(docs(list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        tokens = Q.TOKENS.findall(text or "")
+        word = [xxhash.xxh64_intdigest(t.lower()) for t in tokens]
+        form = [7 if k and word[k] == word[k - 1] else xxhash.xxh64_intdigest(Q.shape(t), 1) for k, t in enumerate(tokens)]
+        keys = word + [mixed((a * 3 + b) & mask) for a, b in zip(word, word[1:], strict=False)] + [mixed((a * 5 + b) & mask) for a, b in zip(form, form[1:], strict=False)]
+        found = sorted({mixed(k) >> (64 - Q.BITS) for k in keys})
+        ratios = [float(model["ratios"][f]) for f in found]
+        length = max(math.sqrt(sum(r * r for r in ratios)), 1e-12)
+        margin = model["bias"] + sum(float(model["weights"][f]) * r / length for f, r in zip(found, ratios, strict=True))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-(model["slope"] * margin + model["offset"]))), rel=1e-4)
+
+
+def test_quality_sample_is_bounded_in_bytes(spark, docs, prose):
+    good, bad = [(i, prose(i, 300)) for i in range(20)], [(100 + i, prose(i, 300).replace("a", "%")) for i in range(20)]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in good + bad], "doc_id long, quality int")
+    sizes = [4 * len(Q.Features().of(t)) for _, t in good + bad]
+    seen = []
+    real = Q.fit
+    Q.fit = lambda rows, y: seen.append(sum(4 * len(r) for r in rows)) or real(rows, y)
+    try:
+        Q.train(docs(good + bad), labels)
+        Q.train(docs(good + bad), labels, sample_bytes=sum(sizes) // 2)
+    finally:
+        Q.fit = real
+    assert seen[0] == sum(sizes) and sum(sizes) // 2 - max(sizes) <= seen[1] <= sum(sizes) // 2

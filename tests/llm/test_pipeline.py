@@ -40,6 +40,19 @@ def _windows(text):
     return [tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))] if len(w) >= 10 else []
 
 
+def test_extra_columns_of_any_name_pass_through(spark, docs, sf_dir):
+    """Columns named as the operators' own results, or their helpers, stay as they are until the mix."""
+    names = ["score", "lang_pred", "items", "n_words", "spans", "kept", "_id", "_text", "_row", "component_id", "_keep0", "size", "n_shingles"]
+    rows = [(1, "the thing is there and here we go"), (2, "another thing of the same kind"), (2, "another thing of the same kind"), (3, "password=hunter22 and more")]
+    plain = docs(rows).select("doc_id", "text", "lang", "source", "n_chars")
+    table = plain.selectExpr("*", *[f"CONCAT('{n} ', doc_id) AS {n}" for n in names])
+    for name, stage in P.STAGES[:-1]:
+        table, before = P.staged(stage(spark, table, sf_dir), name), table.columns
+        assert table.columns == before
+        assert {r["score"] for r in table.collect()} == {"score 1", "score 2", "score 3"}
+    assert sorted(r["doc_id"] for r in P.mix_sources(spark, table, sf_dir).collect()) == [1, 2, 3]
+
+
 def test_windows_helper_agrees_with_the_operator_test():
     text = "One two, three four five six seven eight nine ten eleven"
     assert hit_words([text], [(1, text)])[0][1] == 11 and len(_windows(text)) == 2
