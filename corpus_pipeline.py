@@ -22,7 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     told = language.identify(docs, model, keep=tuple(docs.columns), strict=True)
-    return told.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    return told.where(F.col("lang_pred") != language.UNKNOWN).select("kept.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without a window of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.decontaminate(docs, benchmark, keep=tuple(docs.columns))
-    return found.where(F.size("items") == 0).select(*docs.columns)
+    return found.where(F.size("items") == 0).select("kept.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
