@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.numbers import safe_divide
-from meterlake.operators.joins import join_totals
 
 
 def pct_of_total(df: DataFrame, col: str, alias: str = "pct_of_total", places: int = 2) -> DataFrame:
@@ -66,7 +65,8 @@ def global_rank(df: DataFrame, value: str, within: str | None = None, buckets: i
     if buckets is None:
         buckets = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     part = [within] if within else []
-    hist = df.filter(F.col(value).isNotNull()).groupBy(*part, value).agg(F.count(F.lit(1)).alias("_n"))
+    # Rows without a value are a group that counts nothing.
+    hist = df.groupBy(*part, value).agg(F.count(value).alias("_n"))
     points = [i / buckets for i in range(1, buckets)]
     cuts = hist.agg(F.percentile_approx(value, points, 20 * buckets)).scalar()
     hist = hist.withColumn("_cuts", cuts)
@@ -76,7 +76,7 @@ def global_rank(df: DataFrame, value: str, within: str | None = None, buckets: i
     before, whole = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*part)
     offsets = (
         hist.groupBy(*part, "_b")
-        .agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
+        .agg(F.sum("_n").alias("_rows"), F.count(value).alias("_values"))
         .select(
             *part,
             "_b",
@@ -96,12 +96,16 @@ def global_rank(df: DataFrame, value: str, within: str | None = None, buckets: i
         *part,
         value,
         (F.col("_rows_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0)) + 1).alias("rank"),
-        (F.col("_values_before") + F.row_number().over(inside)).cast("bigint").alias("dense_rank"),
+        (F.col("_values_before") + F.count(value).over(inside)).cast("bigint").alias("dense_rank"),
         "_total",
-        "_n",
     )
     ranks = ranks.withColumn(
         "percent_rank", F.when(F.col("_total") > 1, safe_divide(F.col("rank") - 1, F.col("_total") - 1)).otherwise(0.0)
     )
-    rest = [c for c in df.columns if c not in (value, within)]
-    return join_totals(df, ranks.drop("_total"), [*part, value], spread=rest, null_safe=bool(part), n="_n")
+    # A value that very many rows share stays one key: nothing else uses this shuffle, so AQE splits its partition.
+    names = ["rank", "dense_rank", "percent_rank"]
+    ranks = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in [*part, value]], *[F.when(F.col(value).isNotNull(), F.col(c)).alias(c) for c in names])
+    if not part:
+        return df.join(ranks, F.col(value) == F.col(f"_r_{value}"), "left").select(*df.columns, *names)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in [*part, value]])
+    return df.join(ranks, same, "left").select(*df.columns, *names)
