@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake import proxies as P
+from meterlake.functions.dates import week_start
 from meterlake.plans.attribution import apply_spend, spend_deltas
 from meterlake.queries import Query
 from meterlake.queries.attribution import _APPLY, _metrics
-from meterlake.queries.views import dbl
+from meterlake.queries.views import dbl, week
 from meterlake.session import checkpointed, shared_dir
-from meterlake.sinks import reports, tables
-from meterlake.sinks.loads import Change, Loads
+from meterlake.sinks import history, reports, summaries, tables
+from meterlake.sinks.loads import REJECTED, Change, Loads
 from meterlake.plans.validation import quality_long, quality_profile
 
 # The new export of replace_range holds these two days only.
@@ -103,6 +104,36 @@ def update_spend(s, d):
     return out.select("activity_date", "user_email", "total_applies", F.col("daily_spend_usd").cast("double").alias("daily_spend_usd"))
 
 
+def append_new(s, d):
+    """The second export overlaps the first one: what is stored already is refused, so every event is stored once."""
+    name, store = "claude_ai_usage_stats", Loads(s, shared_dir(s, "lake"))
+    history.append_new(store, name, _events(s, d).filter("event_type <> 'project_created'"), ["event_id"])
+    for _ in range(2):
+        history.append_new(store, name, _events(s, d), ["event_id"])
+    return _daily(store.read(name))
+
+
+def append_new_refused(s, d):
+    """What the second export brought again, beside the table."""
+    name, store = "claude_ai_usage_stats", Loads(s, shared_dir(s, "lake"))
+    history.append_new(store, name, _events(s, d).filter("event_type <> 'project_created'"), ["event_id"])
+    history.append_new(store, name, _events(s, d), ["event_id"])
+    return _daily(store.read(name + REJECTED))
+
+
+def kept_event_users(s, d):
+    """Distinct users by week and event type from the bitmaps of days; one day's events are replaced first."""
+    store, logs = Loads(s, shared_dir(s, "lake")), P.app_usage_logs(s, d)
+    days = [r[0] for r in logs.select("activity_date").distinct().collect()]  # calendar days
+    summaries.refresh(store, summaries.EVENTS, lambda _: logs, days)
+    only = logs.filter("event_type = 'project_created'")
+    summaries.refresh(store, summaries.EVENTS, lambda _: only, [x for x in days if str(x) == TARGET])
+    by = week_start("activity_date").alias("week")
+    users = summaries.distinct_users(store, summaries.EVENTS, by, F.col("event_type"))
+    events = store.read(summaries.EVENTS.totals).groupBy(by, "event_type").agg(F.sum("events").alias("events"))
+    return events.join(users, ["week", "event_type"])
+
+
 def validation_report(s, d):
     """A quality report written as JSON and read back."""
     logs = P.app_usage_logs(s, d)
@@ -128,6 +159,13 @@ QUERIES = {
     "replace_range": Query(replace_range, _REPLACED),
     "range_replaced": Query(range_replaced, _REPLACED),
     "update_spend": Query(update_spend, _APPLY),
+    "append_new": Query(append_new, f"{_DAILY} FROM logs GROUP BY 1, 2"),
+    "append_new_refused": Query(append_new_refused, f"{_DAILY} FROM logs WHERE event_type <> 'project_created' GROUP BY 1, 2"),
+    "kept_event_users": Query(
+        kept_event_users,
+        f"""SELECT {week('activity_date')} AS week, event_type, COUNT(*) AS events, COUNT(DISTINCT user_email) AS users FROM logs
+WHERE activity_date <> DATE '{TARGET}' OR event_type = 'project_created' GROUP BY 1, 2""",
+    ),
     "write_report": Query(
         validation_report,
         """WITH n AS (SELECT COUNT(*) AS t, COUNT(*) FILTER (client_platform IS NULL) AS p, COUNT(*) FILTER (user_email IS NULL) AS u FROM logs)

@@ -258,6 +258,31 @@ COMBINED_DAILY_COSTS = Table(
     ("provider", "user_email"),
 )
 
+# Daily partials that summaries of longer spans are folded from (``sinks.summaries``).
+DAILY_USER_COSTS = Table(
+    "daily_user_costs",
+    "cost_date date, user_email string, provider string, amount_usd decimal(28,6), rows bigint",
+    "cost_date",
+    ("user_email",),
+)
+DAILY_COST_USERS = Table(
+    "daily_cost_users", "cost_date date, provider string, part bigint, users binary", "cost_date", ("provider",)
+)
+DAILY_USER_EVENTS = Table(
+    "daily_user_events",
+    "activity_date date, user_email string, event_type string, client_platform string, events bigint",
+    "activity_date",
+    ("user_email",),
+)
+DAILY_EVENT_USERS = Table(
+    "daily_event_users",
+    "activity_date date, event_type string, client_platform string, part bigint, users binary",
+    "activity_date",
+    ("event_type",),
+)
+# A user keeps the number for good; ``first_date`` is the month of the rows that brought it.
+USER_IDS = Table("user_ids", "first_date date, user_email string, id bigint", "first_date", ("user_email",))
+
 # The providers of the combined cost fact.
 API, IDE, EDITOR = "claude_api", "claude_code", "cursor"
 

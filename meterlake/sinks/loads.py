@@ -25,7 +25,9 @@ from meterlake.functions.dates import Day
 from meterlake.schemas import TABLES
 
 LOG = "version bigint, load string, table string, day date, paths array<string>, rows bigint"
-REJECTED, STATUS = "_rejected", "_status"
+REJECTED, STATUS, SEEN = "_rejected", "_status", "_seen"
+# Blocks of the Bloom filters that ``history`` keeps beside a table, one set for each load and day.
+SEEN_DDL = "day date, load string, parts bigint, part bigint, bits binary"
 # What a load did for a day of a table.
 STATUS_DDL = "date date, rows bigint, rejected bigint, total_cost double, status string, reason string, alert boolean, run string"
 
@@ -36,15 +38,22 @@ class Conflict(Exception):
 
 @dataclass(frozen=True)
 class Change:
-    """New rows of a table, and the days they replace: those with rows, the ``span`` from first to last, and ``days``."""
+    """New rows of a table, and the days they replace: those with rows, the ``span`` from first to last, and ``days``.
+
+    With ``append`` they replace nothing: what a day holds stays beside them.
+    """
 
     rows: DataFrame
     span: tuple[dt.date, dt.date] | None = None
     days: list[dt.date] = field(default_factory=list)
+    append: bool = False
 
 
 def schema_of(table: str) -> tuple[T.StructType, str, tuple[str, ...]]:
-    """Columns, day column and cluster columns of a table, of its rejected rows (``_rejected``) or of its load status (``_status``)."""
+    """Columns, day column and cluster columns of a table, or of what is kept beside it: rejected rows (``_rejected``), load status
+    (``_status``) and filters of its keys (``_seen``)."""
+    if table.endswith(SEEN):
+        return T.StructType.fromDDL(SEEN_DDL), "day", ()
     if table.endswith(STATUS):
         return T.StructType.fromDDL(STATUS_DDL), "date", ()
     spec = TABLES[table.removesuffix(REJECTED)]
@@ -131,6 +140,11 @@ class Loads:
         found = self.days(table, start, end, version)
         return self._files(table, [p for paths in found.values() for p in paths])
 
+    def read_days(self, table: str, days: list[dt.date], version: int | None = None) -> DataFrame:
+        """The live rows of the listed days; no other day's files are looked at."""
+        wanted = set(days)
+        return self._files(table, [p for d, paths in self.days(table, version=version).items() if d in wanted for p in paths])
+
     # --- writing ---
 
     def _written(self, table: str, rows: DataFrame, load: str) -> dict[dt.date, tuple[list[str], int]]:
@@ -151,9 +165,9 @@ class Loads:
             raise ValueError(f"{table}: rows without {day}; nothing was loaded")
         return {r[0]: ([f"{place}/{day}={r[0]}"], r[1]) for r in counts}
 
-    def _commit(self, load: str, changes: Callable[[], dict[str, dict[dt.date, tuple[list[str], int]]]], tries: int = 5) -> int:
-        for _ in range(tries):
-            version = self.version() + 1
+    def _commit(self, load: str, changes: Callable[[], dict[str, dict[dt.date, tuple[list[str], int]]]], tries: int = 5, after: int | None = None) -> int:
+        for _ in range(tries if after is None else 1):
+            version = (self.version() if after is None else after) + 1
             entries = [
                 json.dumps({"version": version, "load": load, "table": table, "day": str(day), "paths": paths, "rows": n})
                 for table, days in changes().items() for day, (paths, n) in sorted(days.items())
@@ -164,15 +178,20 @@ class Loads:
                 return version
         raise Conflict(load)
 
-    def commit(self, changes: dict[str, Change], load: str | None = None) -> int:
+    def loaded(self, load: str) -> int | None:
+        """The version a load of this name made, if it is in the log."""
+        return self.log().where(F.col("load") == load).agg(F.max("version")).first()[0]
+
+    def commit(self, changes: dict[str, Change], load: str | None = None, after: int | None = None) -> int:
         """Replace days of several tables at once; returns the version that shows them.
 
         A load whose name is in the log already changes nothing: repeating it
         after a success is as safe as after a stop. Rows without a day refuse
-        the load.
+        the load. ``after`` names the version that the rows were derived from:
+        if there is a later one, the load is refused (``Conflict``).
         """
         load = load or uuid.uuid4().hex
-        known = self.log().where(F.col("load") == load).agg(F.max("version")).first()[0]
+        known = self.loaded(load)
         if known is not None:
             return known
         new = {table: self._written(table, change.rows, load) for table, change in changes.items()}
@@ -180,12 +199,15 @@ class Loads:
         def entries() -> dict[str, dict[dt.date, tuple[list[str], int]]]:
             out = {}
             for table, change in changes.items():
-                live = self.days(table)
+                live = {r.day: (r.paths, r.rows) for r in self.state().where(F.col("table") == table).collect()}  # one row per calendar day
+                if change.append:
+                    out[table] = {d: (live.get(d, ([], 0))[0] + paths, live.get(d, ([], 0))[1] + n) for d, (paths, n) in new[table].items()}
+                    continue
                 gone = [d for d in live if d in change.days or change.span and change.span[0] <= d <= change.span[1]]
                 out[table] = {d: ([], 0) for d in gone} | new[table]
             return out
 
-        return self._commit(load, entries)
+        return self._commit(load, entries, after=after)
 
     def replace_range(self, table: str, rows: DataFrame, load: str | None = None) -> tuple[dt.date, dt.date] | None:
         """Replace every day from the first to the last day of ``rows``, those without rows too. Empty input changes nothing."""

@@ -1,0 +1,159 @@
+"""Summaries of long spans, folded from daily partials that are kept and updated by day.
+
+A day of a fact is reduced to two small tables: sums by user, and the users
+themselves as bitmaps over a dictionary that numbers them densely. Sums of
+days add up and bitmaps of days are OR-ed, so a month, a quarter or any other
+span comes out exactly, distinct users included, without its facts. When a
+day is loaded again only that day's facts are read.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from meterlake.functions.dates import Day, month_start
+from meterlake.plans import costs as C
+from meterlake.plans import insights as I
+from meterlake.session import checkpointed
+from meterlake.sinks.loads import Change, Conflict, Loads
+
+IDS = "user_ids"
+
+
+@dataclass(frozen=True)
+class Summary:
+    """What is kept of a fact: ``sums`` (SQL aggregates that add up) by day, user and ``keys``, and the users by day and ``keys``."""
+
+    day: str
+    keys: tuple[str, ...]
+    sums: dict[str, str]
+    totals: str
+    users: str
+    sources: tuple[str, ...]
+
+
+COSTS = Summary(
+    "cost_date", ("provider",), {"amount_usd": "sum(amount_usd)", "rows": "count(1)"}, "daily_user_costs", "daily_cost_users",
+    ("claude_costs", "claude_code_usage_stats", "cursor_daily_metrics"),
+)
+EVENTS = Summary(
+    "activity_date", ("event_type", "client_platform"), {"events": "count(1)"}, "daily_user_events", "daily_event_users",
+    ("claude_app_usage_logs",),
+)
+
+
+def numbered(users: DataFrame, first: int) -> DataFrame:
+    """Distinct users with ``id`` from ``first`` upwards, without a gap.
+
+    Users are sorted within shards of their hash; a shard starts after the
+    users of the shards before it. Only the totals of the shards, one row for
+    each shuffle partition, pass one task.
+    """
+    shards = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    users = checkpointed(users.withColumn("_shard", F.pmod(F.xxhash64("user_email"), F.lit(shards))))
+    before = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = users.groupBy("_shard").agg(F.count(F.lit(1)).alias("_n")).select("_shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_shard").orderBy("user_email")) - 1
+    return users.join(starts, "_shard").withColumn("id", F.lit(first) + F.col("_start") + place).drop("_shard", "_start")
+
+
+def refresh(store: Loads, summary: Summary, facts: Callable[[list[dt.date]], DataFrame], days: list[dt.date], load: str | None = None, tries: int = 3) -> int:
+    """Bring the partials of ``days`` up to date; ``facts`` returns the rows of the days it is given.
+
+    A day without rows loses its partials. Totals, bitmaps and new numbers
+    commit together; if another load commits meanwhile the days are computed
+    again, so that a number is never given twice. Rows without a user are in
+    the sums and in no bitmap. No days change nothing.
+    """
+    load = load or uuid.uuid4().hex
+    for _ in range(tries):
+        base = store.version()
+        if store.loaded(load) is not None or not days:
+            return base
+        try:
+            return store.commit(_changes(store, summary, facts(days), days), load, after=base)
+        except Conflict:
+            continue
+    raise Conflict(load)
+
+
+def _changes(store: Loads, summary: Summary, rows: DataFrame, days: list[dt.date]) -> dict[str, Change]:
+    by = [summary.day, *summary.keys]
+    sums = [F.expr(sql).alias(name) for name, sql in summary.sums.items()]
+    totals = checkpointed(rows.where(F.col(summary.day).isin(days)).groupBy(*by, "user_email").agg(*sums))
+    known = store.read(IDS).select("first_date", "user_email", "id")
+    last = known.agg(F.max("id")).first()[0]
+    came = totals.where("user_email IS NOT NULL").groupBy("user_email").agg(F.trunc(F.min(summary.day), "MM").alias("first_date"))
+    new = checkpointed(numbered(came.join(known, "user_email", "left_anti"), (last or 0) + 1).select("first_date", "user_email", "id"))
+    ids = known.unionByName(new).select("user_email", "id")
+    users = totals.select(*by, "user_email").join(ids, "user_email").groupBy(*by, F.bitmap_bucket_number("id").alias("part"))
+    return {
+        summary.totals: Change(totals, days=days),
+        summary.users: Change(users.agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("users")), days=days),
+        IDS: Change(new, append=True),
+    }
+
+
+def stale_days(store: Loads, summary: Summary) -> list[dt.date]:
+    """Days of the sources that were loaded, or removed, after the partials of the day."""
+    log = store.log().groupBy("table", "day").agg(F.max("version").alias("version"))
+    mine = log.where(F.col("table") == summary.totals).select("day", F.col("version").alias("done"))
+    theirs = log.where(F.col("table").isin(*summary.sources)).groupBy("day").agg(F.max("version").alias("version"))
+    late = theirs.join(mine, "day", "left").where(F.col("version") > F.coalesce("done", F.lit(0)))
+    return sorted(r[0] for r in late.select("day").collect())  # calendar days
+
+
+def refresh_costs(store: Loads, ide_workspace: str | None = None, load: str | None = None) -> int:
+    """Update the cost partials for the days whose facts changed; reads those days only."""
+
+    def facts(days: list[dt.date]) -> DataFrame:
+        return C.combined_daily_costs(*[store.read_days(t, days) for t in COSTS.sources], ide_workspace)
+
+    return refresh(store, COSTS, facts, stale_days(store, COSTS), load)
+
+
+def refresh_events(store: Loads, load: str | None = None) -> int:
+    """The same for the activity log."""
+    return refresh(store, EVENTS, lambda days: store.read_days(EVENTS.sources[0], days), stale_days(store, EVENTS), load)
+
+
+# --- reading ---------------------------------------------------------------------------
+
+
+def distinct_users(store: Loads, summary: Summary, *by: Column, start: Day | None = None, end: Day | None = None) -> DataFrame:
+    """``users``: the number of distinct users of each group, exact; ``by`` may use the day and the keys.
+
+    Bitmaps of 32768 users are OR-ed before and after the shuffle; no user is
+    sorted, exploded or compared.
+    """
+    names = [f"_{i}" for i in range(len(by))]
+    rows = store.read(summary.users, start, end)
+    whole = rows.groupBy(*[c.alias(n) for c, n in zip(by, names)], "part").agg(F.bitmap_or_agg("users").alias("users"))
+    out = whole.groupBy(*names).agg(F.coalesce(F.sum(F.bitmap_count("users")), F.lit(0)).cast("bigint").alias("users"))
+    given = rows.limit(0).select(*by).columns
+    return out.select(*[F.col(n).alias(g) for n, g in zip(names, given)], "users")
+
+
+def monthly_summary(store: Loads) -> DataFrame:
+    """``costs.monthly_summary`` from the partials."""
+    return C.monthly_summary(store.read(COSTS.totals))
+
+
+def monthly_finance(store: Loads) -> DataFrame:
+    """``insights.monthly_finance`` from the partials."""
+    return I.monthly_finance(store.read(COSTS.totals))
+
+
+def executive_summary(store: Loads, monthly_budget: float = 73000.0 / 3) -> DataFrame:
+    """``insights.executive_summary`` from the partials; users come from the bitmaps."""
+    nobody = store.read(COSTS.totals).withColumn("user_email", F.lit(None).cast("string"))
+    months = I.executive_summary(nobody, monthly_budget)
+    users = distinct_users(store, COSTS, month_start("cost_date").alias("cost_month"))
+    out = months.join(users, "cost_month", "left").withColumn("active_users", F.coalesce("users", F.lit(0)).cast("bigint"))
+    return out.select(*months.columns).orderBy("cost_month")
