@@ -73,7 +73,7 @@ def test_users_keep_their_numbers(spark, store):
         after = {r.user_email: r.id for r in store.read(S.IDS).collect()}
         assert before.items() <= after.items()
         assert sorted(after.values()) == list(range(1, len(after) + 1))
-        check(store)
+    check(store)
 
 
 def test_distinct_users_over_many_blocks(spark, store):
