@@ -199,10 +199,11 @@ class Loads:
         def entries() -> dict[str, dict[dt.date, tuple[list[str], int]]]:
             out = {}
             for table, change in changes.items():
-                live = {r.day: (r.paths, r.rows) for r in self.state().where(F.col("table") == table).collect()}  # one row per calendar day
                 if change.append:
-                    out[table] = {d: (live.get(d, ([], 0))[0] + paths, live.get(d, ([], 0))[1] + n) for d, (paths, n) in new[table].items()}
+                    held = {r.day: r for r in self.state().where(F.col("table") == table).collect()}  # one row per calendar day
+                    out[table] = {d: (held[d].paths + paths, held[d].rows + n) if d in held else (paths, n) for d, (paths, n) in new[table].items()}
                     continue
+                live = self.days(table)
                 gone = [d for d in live if d in change.days or change.span and change.span[0] <= d <= change.span[1]]
                 out[table] = {d: ([], 0) for d in gone} | new[table]
             return out
