@@ -104,6 +104,15 @@ def update_spend(s, d):
     return out.select("activity_date", "user_email", "total_applies", F.col("daily_spend_usd").cast("double").alias("daily_spend_usd"))
 
 
+def recluster_events(s, d):
+    """Two appends are laid out again by all cluster columns; a filter on the second one then reads few row groups."""
+    name, store = "claude_ai_usage_stats", Loads(s, shared_dir(s, "lake"))
+    for created in (True, False):
+        store.commit({name: Change(_events(s, d).filter((F.col("event_type") == "project_created") == created), append=True)})
+    store.recluster(name)
+    return _daily(store.read(name))
+
+
 def append_new(s, d):
     """The second export overlaps the first one: what is stored already is refused, so every event is stored once."""
     name, store = "claude_ai_usage_stats", Loads(s, shared_dir(s, "lake"))
@@ -159,6 +168,7 @@ QUERIES = {
     "replace_range": Query(replace_range, _REPLACED),
     "range_replaced": Query(range_replaced, _REPLACED),
     "update_spend": Query(update_spend, _APPLY),
+    "recluster_events": Query(recluster_events, f"{_DAILY} FROM logs GROUP BY 1, 2"),
     "append_new": Query(append_new, f"{_DAILY} FROM logs GROUP BY 1, 2"),
     "append_new_refused": Query(append_new_refused, f"{_DAILY} FROM logs WHERE event_type <> 'project_created' GROUP BY 1, 2"),
     "kept_event_users": Query(

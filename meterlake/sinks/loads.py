@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from meterlake.functions.dates import Day
 from meterlake.schemas import TABLES
+from meterlake.sinks.clustering import laid_out
 
 LOG = "version bigint, load string, table string, day date, paths array<string>, rows bigint"
 REJECTED, STATUS, SEEN = "_rejected", "_status", "_seen"
@@ -41,12 +42,15 @@ class Change:
     """New rows of a table, and the days they replace: those with rows, the ``span`` from first to last, and ``days``.
 
     With ``append`` they replace nothing: what a day holds stays beside them.
+    Files are sorted by the declared cluster columns one after the other, or
+    by the columns in ``by`` interleaved (see ``clustering``).
     """
 
     rows: DataFrame
     span: tuple[dt.date, dt.date] | None = None
     days: list[dt.date] = field(default_factory=list)
     append: bool = False
+    by: tuple[str, ...] = ()
 
 
 def schema_of(table: str) -> tuple[T.StructType, str, tuple[str, ...]]:
@@ -147,7 +151,7 @@ class Loads:
 
     # --- writing ---
 
-    def _written(self, table: str, rows: DataFrame, load: str) -> dict[dt.date, tuple[list[str], int]]:
+    def _written(self, table: str, rows: DataFrame, load: str, by: tuple[str, ...] = ()) -> dict[dt.date, tuple[list[str], int]]:
         """Write rows by day where nobody reads yet; the folder and the number of rows of each day."""
         schema, day, cluster = schema_of(table)
         if "ingestion_timestamp" in schema.names and "ingestion_timestamp" not in rows.columns:
@@ -158,7 +162,8 @@ class Loads:
         rows = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
         place = f"data/{table}/load={load}"
         # What an attempt that stopped has left under the same name goes.
-        out = rows.hint("rebalance", day).sortWithinPartitions(day, *cluster).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        ordered = laid_out(rows, day, list(by)) if by else rows.hint("rebalance", day).sortWithinPartitions(day, *cluster)
+        out = ordered.write.mode("overwrite").option("partitionOverwriteMode", "static")
         out.partitionBy(day).parquet(f"{self.root}/{place}")
         counts = self.spark.read.schema(schema).parquet(f"{self.root}/{place}").groupBy(day).count().collect()  # one row per calendar day
         if any(r[0] is None for r in counts):
@@ -194,7 +199,7 @@ class Loads:
         known = self.loaded(load)
         if known is not None:
             return known
-        new = {table: self._written(table, change.rows, load) for table, change in changes.items()}
+        new = {table: self._written(table, change.rows, load, change.by) for table, change in changes.items()}
 
         def entries() -> dict[str, dict[dt.date, tuple[list[str], int]]]:
             out = {}
@@ -219,6 +224,23 @@ class Loads:
         self.commit({table: Change(rows, (span[0], span[1]))}, load)
         return span[0], span[1]
 
+    def recluster(self, table: str, by: list[str] | None = None, start: Day | None = None, end: Day | None = None, load: str | None = None) -> int:
+        """Rewrite the live days in [start, end] so that filters on any of ``by`` skip files and row groups; the rows stay the same.
+
+        ``by`` are the declared cluster columns unless named. Small files that
+        appends and updates left merge on the way. A load that commits
+        meanwhile wins: this one is refused (``Conflict``) and can be repeated.
+        """
+        _, day, cluster = schema_of(table)
+        by, base = tuple(by or [c for c in cluster if c != day]), self.version()
+        if not by:
+            raise ValueError(f"{table} declares no cluster columns; name some")
+        days = self.days(table, start, end, base)
+        if not days:
+            return base
+        rows = self._files(table, [p for paths in days.values() for p in paths])
+        return self.commit({table: Change(rows, days=list(days), by=by)}, load, after=base)
+
     def update(self, table: str, keys: DataFrame, on: list[str], changed: Callable[[DataFrame], DataFrame], load: str | None = None) -> int:
         """Rewrite the files that hold a row with one of ``keys``; all other files stay as they are.
 

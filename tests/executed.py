@@ -37,3 +37,24 @@ def final_plan(df) -> str:
     """The adaptive plan after it has run."""
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_scanned(df) -> int:
+    """Rows that the scans of the finished plan decoded: those of the row groups and pages that statistics did not rule out."""
+    df.collect()
+    total = 0
+
+    def walk(p):
+        nonlocal total
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(p.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(p.plan())
+        if name == "FileSourceScanExec":
+            total += p.metrics().apply("numOutputRows").value()
+        for c in _children(p.children()):
+            walk(c)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return total

@@ -1,0 +1,143 @@
+"""Interleaved layout: same rows, and every cluster column prunes row groups."""
+
+import glob
+
+import pyarrow.parquet as pq
+import pytest
+from executed import rows_scanned
+from pyspark.sql import functions as F
+
+from meterlake.sinks.clustering import cuts_of, interleaved, laid_out, placed
+from meterlake.sinks.loads import Change, Conflict, Loads
+
+NAME, KEYS = "claude_ai_usage_stats", ["user_email", "conversation_uuid", "project_uuid"]
+
+
+@pytest.fixture()
+def small_groups(spark):
+    """Row groups of 32 kB and no merging of ranges, so that a small table has many."""
+    own = {"parquet.block.size": "32768", "parquet.page.size": "4096", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def events(spark, n=60000, days=1):
+    """Independent key columns, one user with a third of all rows."""
+    h = lambda seed, m: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(m))
+    return spark.range(n).select(
+        F.date_add(F.lit("2025-10-01").cast("date"), h(0, days).cast("int")).alias("activity_date"),
+        F.col("id").cast("string").alias("event_id"),
+        F.when(h(1, 3) == 0, "hot").otherwise(F.format_string("u%05d", h(2, 500))).alias("user_email"),
+        F.format_string("c%05d", h(3, 500)).alias("conversation_uuid"),
+        F.when(h(4, 10) > 0, F.format_string("p%05d", h(5, 500))).alias("project_uuid"),
+    )
+
+
+def groups(store, column, value):
+    """Row groups whose minimum and maximum admit the value, and all of them, of the live files."""
+    hit = every = 0
+    for paths in store.days(NAME).values():
+        for file in [f for p in paths for f in glob.glob(f"{store.root}/{p}/*.parquet")]:
+            meta = pq.ParquetFile(file).metadata
+            at = meta.schema.to_arrow_schema().names.index(column)
+            for g in range(meta.num_row_groups):
+                stats = meta.row_group(g).column(at).statistics
+                every += 1
+                hit += stats.has_min_max and stats.min <= value <= stats.max
+    return hit, every
+
+
+def test_each_cluster_column_prunes(spark, tmp_path, small_groups):
+    store = Loads(spark, str(tmp_path / "lake"))
+    rows = events(spark)
+    store.commit({NAME: Change(rows)})
+    before = {c: groups(store, c, v) for c, v in [("conversation_uuid", "c00250"), ("project_uuid", "p00250")]}
+    assert all(hit == every for hit, every in before.values())  # sorted by user first: nothing else prunes
+    store.recluster(NAME, KEYS)
+    wanted = [("user_email", "u00250"), ("conversation_uuid", "c00250"), ("project_uuid", "p00250")]
+    for column, value in wanted:
+        hit, every = groups(store, column, value)
+        assert every >= 20 and hit <= every * 0.6, (column, hit, every)
+        found = store.read(NAME).where(F.col(column) == value)
+        assert rows_scanned(found) <= 0.6 * rows.count()
+        assert found.count() == rows.where(F.col(column) == value).count()
+    both = store.read(NAME).where("conversation_uuid = 'c00250' AND project_uuid = 'p00250'")
+    assert rows_scanned(both) <= 0.35 * rows.count()
+    same = store.read(NAME).select(*rows.columns)
+    assert same.exceptAll(rows).count() == rows.exceptAll(same).count() == 0
+
+
+def test_a_hot_value_is_spread(spark, small_groups):
+    """All rows share one value of every cluster column: the ranges still are of even size."""
+    rows = events(spark, 20000).withColumn("user_email", F.lit("hot")).withColumn("conversation_uuid", F.lit(None).cast("string"))
+    out = laid_out(rows, "activity_date", KEYS[:2])
+    sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sum(sizes) == 20000 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+def test_only_named_days_are_rewritten(spark, tmp_path):
+    store = Loads(spark, str(tmp_path / "lake"))
+    rows = events(spark, 600, days=3)
+    for part in (0, 1):
+        store.commit({NAME: Change(rows.where(F.pmod(F.col("event_id").cast("bigint"), F.lit(2)) == part), append=True)})
+    before = store.days(NAME)
+    store.recluster(NAME, start="2025-10-02", end="2025-10-02")  # the declared cluster columns
+    after = store.days(NAME)
+    assert [str(d) for d in before if before[d] != after[d]] == ["2025-10-02"]
+    assert {len(p) for p in before.values()} == {2} and sorted(len(p) for p in after.values()) == [1, 2, 2]
+    assert sorted(r.event_id for r in store.read(NAME).collect()) == sorted(r.event_id for r in rows.collect())
+    stamps = {r.ingestion_timestamp for r in store.read(NAME).collect()}
+    assert len(stamps) == 2  # the time of the load stays
+    version = store.version()
+    assert store.recluster(NAME, start="2030-01-01") == version == store.version()
+
+
+def test_a_load_in_between_wins(spark, tmp_path, monkeypatch):
+    store = Loads(spark, str(tmp_path / "lake"))
+    store.commit({NAME: Change(events(spark, 100))})
+    real = Loads._written
+
+    def late(self, table, rows, load, by=()):
+        out = real(self, table, rows, load, by)
+        if by:
+            monkeypatch.setattr(Loads, "_written", real)
+            store.commit({NAME: Change(events(spark, 10))})
+        return out
+
+    monkeypatch.setattr(Loads, "_written", late)
+    with pytest.raises(Conflict):
+        store.recluster(NAME)
+    assert store.read(NAME).count() == 10
+    store.recluster(NAME)
+    assert store.read(NAME).count() == 10
+
+
+def test_places_are_ranks_among_the_cuts(spark):
+    data = [(i, None if i % 7 == 0 else f"{i % 40:03d}" + "x" * (i % 5) * 40, float(i % 13)) for i in range(500)]
+    rows = spark.createDataFrame(data, "i int, s string, x double")
+    cuts = cuts_of(rows, ["i", "s", "x"], bits=4)
+    assert all(len(c) == 15 and c == sorted(c) for c in cuts.values())
+    out = placed(rows, cuts, bits=4).withColumn("z", interleaved(["_place0", "_place1", "_place2"], 4)).collect()
+    for r in out:
+        places = [sum(c <= v for c in cuts[n]) if v is not None else 0 for n, v in (("i", r.i), ("s", r.s), ("x", r.x))]
+        assert [r._place0, r._place1, r._place2] == places
+        z = sum((p >> b & 1) << (3 * b + 2 - j) for j, p in enumerate(places) for b in range(4))
+        assert r.z == z
+
+
+def test_edge_cases(spark):
+    none = spark.createDataFrame([], "activity_date date, a string, _z string")
+    assert laid_out(none, "activity_date", ["a"]).collect() == []
+    same = spark.createDataFrame([(None, None, "q")] * 3 + [(None, "", None)] * 2, none.schema)
+    out = laid_out(same, "activity_date", ["a"])
+    assert out.columns == same.columns and sorted(map(str, out.collect())) == sorted(map(str, same.collect()))
+    nulls = spark.createDataFrame([(None, None, "q")] * 3, none.schema)
+    assert laid_out(nulls, "activity_date", ["a"]).count() == 3
+    with pytest.raises(ValueError):
+        laid_out(same, "activity_date", [])
+    with pytest.raises(ValueError):
+        interleaved([f"_place{i}" for i in range(8)])
