@@ -12,6 +12,7 @@ from meterlake.functions.dates import week_start
 from meterlake.plans.attribution import apply_spend, spend_deltas
 from meterlake.queries import Query
 from meterlake.queries.attribution import _APPLY, _metrics
+from meterlake.queries.validation import EVENT_SUMMARY, EVENTS_BY_TYPE
 from meterlake.queries.views import dbl, week
 from meterlake.session import checkpointed, shared_dir
 from meterlake.sinks import history, reports, summaries, tables
@@ -143,6 +144,26 @@ def kept_event_users(s, d):
     return events.join(users, ["week", "event_type"])
 
 
+def _kept_events(s, d) -> Loads:
+    """Partials of all events, one day at first with other rows."""
+    store, logs = Loads(s, shared_dir(s, "lake")), P.app_usage_logs(s, d)
+    days = [r[0] for r in logs.select("activity_date").distinct().collect()]  # calendar days
+    early = logs.filter((F.col("activity_date") != TARGET) | (F.col("event_type") == "project_created"))
+    summaries.refresh(store, summaries.EVENTS, lambda _: early, days)
+    summaries.refresh(store, summaries.EVENTS, lambda _: logs, [x for x in days if str(x) == TARGET])
+    return store
+
+
+def kept_event_summary(s, d):
+    """``event_summary`` from bitmaps of users, conversations and projects."""
+    return summaries.event_summary(_kept_events(s, d))
+
+
+def kept_events_by_type(s, d):
+    """``events_by_type`` from the same."""
+    return summaries.events_by_type(_kept_events(s, d))
+
+
 def validation_report(s, d):
     """A quality report written as JSON and read back."""
     logs = P.app_usage_logs(s, d)
@@ -176,6 +197,8 @@ QUERIES = {
         f"""SELECT {week('activity_date')} AS week, event_type, COUNT(*) AS events, COUNT(DISTINCT user_email) AS users FROM logs
 WHERE activity_date <> DATE '{TARGET}' OR event_type = 'project_created' GROUP BY 1, 2""",
     ),
+    "kept_event_summary": Query(kept_event_summary, EVENT_SUMMARY),
+    "kept_events_by_type": Query(kept_events_by_type, EVENTS_BY_TYPE),
     "write_report": Query(
         validation_report,
         """WITH n AS (SELECT COUNT(*) AS t, COUNT(*) FILTER (client_platform IS NULL) AS p, COUNT(*) FILTER (user_email IS NULL) AS u FROM logs)

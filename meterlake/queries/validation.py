@@ -245,6 +245,14 @@ def _event_view(s, d):
     return P.claude_code_usage_stats(s, d).select("activity_date", "user_email", F.col("num_sessions").alias("total_events"))
 
 
+EVENT_SUMMARY = """SELECT 'Claude AI Usage Summary' AS metric_name, COUNT(*) AS total_events, COUNT(DISTINCT user_email) AS unique_users,
+  COUNT(DISTINCT event_type) AS unique_event_types, COUNT(DISTINCT conversation_uuid) AS unique_conversations,
+  COUNT(DISTINCT project_uuid) AS unique_projects, MIN(activity_date) AS earliest_date, MAX(activity_date) AS latest_date FROM logs"""
+
+EVENTS_BY_TYPE = """SELECT event_type, COUNT(*) AS event_count, COUNT(DISTINCT user_email) AS unique_users,
+  COUNT(DISTINCT conversation_uuid) AS unique_conversations, MIN(activity_date) AS first_occurrence,
+  MAX(activity_date) AS last_occurrence FROM logs GROUP BY 1"""
+
 QUERIES = {
     "spend_summary": Query(
         _spend(V.spend_summary),
@@ -290,15 +298,11 @@ FROM editor WHERE {RANGE} GROUP BY 1 ORDER BY total_requests DESC NULLS LAST, us
     "quality_report": Query(_quality_report, _QUALITY),
     "event_summary": Query(
         _logs(V.event_summary),
-        """SELECT 'Claude AI Usage Summary' AS metric_name, COUNT(*) AS total_events, COUNT(DISTINCT user_email) AS unique_users,
-  COUNT(DISTINCT event_type) AS unique_event_types, COUNT(DISTINCT conversation_uuid) AS unique_conversations,
-  COUNT(DISTINCT project_uuid) AS unique_projects, MIN(activity_date) AS earliest_date, MAX(activity_date) AS latest_date FROM logs""",
+        EVENT_SUMMARY,
     ),
     "events_by_type": Query(
         _logs(V.events_by_type),
-        """SELECT event_type, COUNT(*) AS event_count, COUNT(DISTINCT user_email) AS unique_users,
-  COUNT(DISTINCT conversation_uuid) AS unique_conversations, MIN(activity_date) AS first_occurrence,
-  MAX(activity_date) AS last_occurrence FROM logs GROUP BY 1""",
+        EVENTS_BY_TYPE,
     ),
     "top_event_users": Query(
         _logs(V.top_event_users),

@@ -280,6 +280,14 @@ DAILY_EVENT_USERS = Table(
     "activity_date",
     ("event_type",),
 )
+DAILY_EVENT_VALUES = Table(
+    "daily_event_values",
+    "activity_date date, event_type string, client_platform string, name string, part bigint, bits binary",
+    "activity_date",
+    ("name", "event_type"),
+)
+# Numbers of the values of other columns, counted up within each ``name``.
+VALUE_IDS = Table("value_ids", "first_date date, name string, value string, id bigint", "first_date", ("name", "value"))
 # A user keeps the number for good; ``first_date`` is the month of the rows that brought it.
 USER_IDS = Table("user_ids", "first_date date, user_email string, id bigint", "first_date", ("user_email",))
 

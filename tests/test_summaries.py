@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.dates import month_start
 from meterlake.plans import costs as C
 from meterlake.plans import insights as I
+from meterlake.plans import validation as V
 from meterlake.sinks import summaries as S
 from meterlake.sinks.loads import Change, Conflict, Loads
 
@@ -120,3 +121,57 @@ def test_two_refreshes_at_once_never_share_a_number(spark, store, monkeypatch):
     monkeypatch.setattr(S, "_changes", lambda *a: (store.commit({EDITOR: Change(editor(spark, ("2025-11-01", "c", 1)))}), real(*a))[1])
     with pytest.raises(Conflict):
         S.refresh(store, S.COSTS, facts, [dt.date(2025, 10, 1)], tries=2)
+
+
+LOGS = "claude_app_usage_logs"
+
+
+def logs(spark, seed, days, n=60):
+    """Events with conversations and projects that come back on other days, of other types, or not at all."""
+    rng = random.Random(seed)
+    pick = lambda letter, m: rng.choice([None, *[f"{letter}{i}" for i in range(m)]])
+    rows = [(f"2025-10-{d:02d}", pick("u", 9), pick("t", 4), pick("x", 3), pick("c", 40), pick("p", 5)) for d in days for _ in range(n)]
+    names = "activity_date string, user_email string, event_type string, client_platform string, conversation_uuid string, project_uuid string"
+    return spark.createDataFrame(rows, names).withColumn("activity_date", F.col("activity_date").cast("date"))
+
+
+def check_events(store, **span):
+    from executed import final_plan
+
+    facts = store.read(LOGS)
+    mine, whole = S.event_summary(store, **span), V.event_summary(facts, **span)
+    assert mine.columns == whole.columns or set(mine.columns) == set(whole.columns)
+    same(mine.select(*whole.columns), whole)
+    kinds = S.events_by_type(store, **span)
+    same(kinds.select(*V.events_by_type(facts, **span).columns), V.events_by_type(facts, **span))
+    for df in (mine, kinds):
+        plan = final_plan(df)
+        assert "Expand" not in plan and LOGS not in plan
+
+
+def test_several_distinct_counts_come_from_bitmaps(spark, store):
+    store.commit({LOGS: Change(logs(spark, 1, range(1, 5)))})
+    S.refresh_events(store)
+    check_events(store)
+    check_events(store, start="2025-10-02", end="2025-10-03")
+    # A day is loaded again, with values that no other day has.
+    store.commit({LOGS: Change(logs(spark, 2, [3], 5).unionByName(logs(spark, 3, [3], 2).withColumn("conversation_uuid", F.lit("new"))))})
+    S.refresh_events(store)
+    check_events(store)
+    for name, group in (("conversation_uuid", 41), ("project_uuid", 5)):
+        ids = [r.id for r in store.read(S.VALUES).where(F.col("name") == name).collect()]
+        assert sorted(ids) == list(range(1, len(ids) + 1)) and len(ids) <= group
+    by_day = S.distinct_values(store, S.EVENTS, "project_uuid", F.col("activity_date"))
+    same(by_day, store.read(LOGS).groupBy("activity_date").agg(F.countDistinct("project_uuid").alias("values")))
+    with pytest.raises(ValueError):
+        S.distinct_values(store, S.EVENTS, "user_agent")
+
+
+def test_event_counts_of_nothing(spark, store):
+    S.refresh_events(store)
+    row = S.event_summary(store).first()
+    assert (row.total_events, row.unique_users, row.unique_event_types, row.unique_conversations, row.unique_projects) == (0, 0, 0, 0, 0)
+    assert row.earliest_date is None and S.events_by_type(store).collect() == []
+    store.commit({LOGS: Change(logs(spark, 4, [1], 3).withColumns({c: F.lit(None).cast("string") for c in ("user_email", "conversation_uuid", "project_uuid")}))})
+    S.refresh_events(store)
+    check_events(store)
