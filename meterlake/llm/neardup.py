@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from meterlake.llm.common import U64, as_bytes, mixed, slices, staged
 from meterlake.llm.components import components
+from meterlake.operators.joins import join_totals
 
 RUN = 3  # consecutive retained values that make a key
 MEMO = 400_000
@@ -164,9 +165,11 @@ def near_duplicates(
     # The sketch of a class comes from its smallest document.
     reps = linked.join(kinds.select(F.col("_rep").alias("_id"), F.col("_set").alias("_own")), "_id", "left_semi").dropDuplicates(["_id", "_set"])
     reps = reps.join(kinds, "_set").where("_id = _rep")
-    keyed = reps.select("_id", F.explode("_keys").alias("key")).distinct()
+    keyed = staged(reps.select("_id", F.explode("_keys").alias("key")).distinct(), "keyed")
     lists = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("_id").alias("first"), F.max("_id").alias("last")).where("size > 1")
-    members = staged(keyed.join(lists, "key"), "lists")
+    # Long lists are spread over sub-keys by their counted sizes.
+    lists = staged(lists.withColumn("_rows", F.col("size")), "sizes")
+    members = staged(join_totals(keyed, lists, ["key"], spread=["_id"], how="inner", n="_rows"), "lists")
 
     few = members.where(F.col("size") <= small).select("key", "_id")
     pairs = few.select("key", F.col("_id").alias("a")).join(few.select("key", F.col("_id").alias("b")), "key").where("a < b").select("a", "b")
