@@ -226,8 +226,10 @@ def _across(many: DataFrame, found: DataFrame, sets: DataFrame, percent: int, bl
     grouped by overlap, so that documents meet once and not in each list.
     """
     labelled = many.join(found.select(F.col("node").alias("_id"), "component"), "_id", "left").withColumn("component", F.coalesce("component", "_id"))
-    open_lists = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = staged(labelled.join(open_lists, "key"), "open")
+    labelled = staged(labelled, "labelled")
+    lists = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("_rows"))
+    open_lists = staged(lists.where("lo < hi").select("key", "_rows"), "open_lists")
+    rest = staged(join_totals(labelled, open_lists, ["key"], spread=["_id"], how="inner", n="_rows"), "open")
     if not rest.limit(1).count():
         return None
     groups = components(rest.select(F.col("first").alias("a"), F.col("_id").alias("b")), "groups")
