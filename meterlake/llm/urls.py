@@ -43,6 +43,23 @@ def suffix_and_domain(host: Column) -> tuple[Column, Column]:
     return last(k), last(k + 1)
 
 
+def by_longest_suffix(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """hosts with ``suffix``, the longest row of ``suffixes`` (column suffix) that the host ends with at a dot, and ``domain``, one label more.
+
+    Without such a row the last label is the suffix; a host that is a suffix
+    itself is its own domain. Rows stand as they are: no wildcards.
+    """
+    labels, n = F.split("host", r"\."), F.size(F.split("host", r"\."))
+    tail = lambda m: F.array_join(F.slice(labels, F.greatest(n - m + 1, F.lit(1)), m), ".")
+    listed = suffixes.select(F.lower("suffix").alias("_tail")).where("_tail <> ''").distinct()
+    tails = hosts.select("host", F.explode(F.sequence(F.lit(1), n)).alias("_m"), labels.alias("_labels"))
+    tails = tails.withColumn("_tail", F.array_join(F.slice("_labels", F.size("_labels") - F.col("_m") + 1, F.col("_m")), "."))
+    # A host's row is unique, so are its tails.
+    best = tails.join(listed, "_tail").groupBy("host").agg(F.max("_m").alias("_m"))
+    k = F.coalesce("_m", F.lit(1))
+    return hosts.join(best, "host", "left").withColumns({"suffix": tail(k), "domain": tail(k + 1)}).drop("_m")
+
+
 def strength(groups: DataFrame) -> float:
     """Prior strength of one level (n outcomes, k bad, a row per group): beta-binomial by the method of moments.
 
@@ -61,15 +78,20 @@ def strength(groups: DataFrame) -> float:
     return min(max(1 / rho - 1, 1.0), 1000.0) if rho > 0 else 1000.0
 
 
-def reputation(hosts: DataFrame, z: float = 1.645) -> DataFrame:
+def reputation(hosts: DataFrame, z: float = 1.645, suffixes: DataFrame | None = None) -> DataFrame:
     """hosts (host, n outcomes, k bad ones) with ``mean`` and ``low``, the posterior's mean and lower bound for a bad page.
 
     A host's Beta prior has the posterior mean of its registered domain, that
     one's the mean of its suffix, that one's the mean of all outcomes; a host
-    without outcomes thus stands as its domain does.
+    without outcomes thus stands as its domain does. ``suffixes`` is a table of
+    those that names are registered under (column suffix); without it they are
+    single labels and the few in SECOND_LEVEL.
     """
-    suffix, domain = suffix_and_domain(F.col("host"))
-    hosts = hosts.select("host", "n", "k", domain.alias("domain"), suffix.alias("suffix"))
+    if suffixes is None:
+        suffix, domain = suffix_and_domain(F.col("host"))
+        hosts = hosts.select("host", "n", "k", domain.alias("domain"), suffix.alias("suffix"))
+    else:
+        hosts = by_longest_suffix(hosts.select("host", "n", "k"), suffixes)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     n, k = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
@@ -91,13 +113,15 @@ def judge(
     z: float = 1.645,
     id_col: str = "page_id",
     url_col: str = "url",
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per row of ``pages``: id, host, path, rule, verdict.
 
     A fitting rule decides. Other pages are blocked when the lower posterior
     bound of their host's share of bad pages reaches ``limit``. Outcomes are
     rows (id, bad 0/1) for some pages, ids unique; without them the pages
-    that a rule decides are the labelled ones (block is bad).
+    that a rule decides are the labelled ones (block is bad). ``suffixes``: see
+    ``reputation``.
 
     Null urls and urls without ``://`` have an empty host and path, fit no
     rule and are allowed. Repeated rows each get their row and count each as
@@ -116,7 +140,7 @@ def judge(
     else:
         labelled = judged.join(outcomes.select(F.col(id_col), F.col("bad").cast("int").alias("bad")), id_col, "left").select("host", "bad")
     hosts = labelled.where("host <> ''").groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
-    blocked = reputation(hosts, z).where(F.col("low") >= limit).select(F.col("host").alias("_host"), F.lit("block").alias("_says"))
+    blocked = reputation(hosts, z, suffixes).where(F.col("low") >= limit).select(F.col("host").alias("_host"), F.lit("block").alias("_says"))
     # A host's row is unique; AQE splits the rows of a hot host.
     out = judged.join(blocked, judged["host"] == blocked["_host"], "left")
     return out.select(id_col, "host", "path", "rule", F.coalesce("verdict", "_says", F.lit("allow")).alias("verdict"))

@@ -45,6 +45,46 @@ def test_reputation_shrinks_hosts_to_their_domain(spark):
     assert {r["verdict"] for r in U.judge(pages, {}).collect()} == {"allow"}
 
 
+def test_suffixes_from_a_table(spark):
+    listed = spark.createDataFrame([("ca",), ("gov.BC.ca",), ("pages.dev",), ("pages.dev",), ("",), (None,)], "suffix string").selectExpr("*", "1 AS host")
+    names = ["a.b.gov.bc.ca", "gov.bc.ca", "x.bc.ca", "me.pages.dev", "q.me.pages.dev", "notpages.dev", "a.unknown", "ca", "a..ca", ""]
+    hosts = spark.createDataFrame([(h,) for h in names], "host string")
+    got = {r["host"]: (r["suffix"], r["domain"]) for r in U.by_longest_suffix(hosts, listed).collect()}
+    assert got["a.b.gov.bc.ca"] == ("gov.bc.ca", "b.gov.bc.ca") and got["gov.bc.ca"] == ("gov.bc.ca", "gov.bc.ca")
+    assert got["x.bc.ca"] == ("ca", "bc.ca") and got["me.pages.dev"] == got["q.me.pages.dev"] == ("pages.dev", "me.pages.dev")
+    assert got["notpages.dev"] == ("dev", "notpages.dev") and got["a.unknown"] == ("unknown", "a.unknown") and got["ca"] == ("ca", "ca")
+    assert len(got) == len(names)
+    # One bad tenant says nothing about the others once its suffix is listed.
+    rows = [(i, f"http://bad{i % 3}.pages.dev/{i}") for i in range(60)] + [(100 + i, f"http://fine{i % 9}.ca/{i}") for i in range(60)] + [(200, "http://new.pages.dev/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    outcomes = pages.selectExpr("page_id", "CAST(page_id < 100 AS INT) AS bad").where("page_id < 200")
+    verdict = lambda s: {r["page_id"]: r["verdict"] for r in U.judge(pages, {}, outcomes, suffixes=s).collect()}
+    plain, by_table, none = verdict(None), verdict(listed), verdict(listed.limit(0))
+    assert plain[0] == by_table[0] == "block" and plain[100] == by_table[100] == "allow" and none == plain
+
+
+def test_the_bound_spares_clean_pages_that_were_held_out(spark):
+    """Few outcomes a host: pages blocked by the posterior bound are clean less often than those blocked by the host's share."""
+    import random
+
+    rng, rows = random.Random(5), []
+    for d in range(150):
+        rate = rng.betavariate(0.6, 1.4)
+        for h in range(rng.randint(1, 4)):
+            rows += [(f"http://h{h}.d{d}.org/", int(rng.random() < rate)) for _ in range(rng.randint(2, 12))]
+    pages = spark.createDataFrame([(i, url) for i, (url, _) in enumerate(rows)], "page_id long, url string")
+    bad = {i: b for i, (_, b) in enumerate(rows)}
+    known = [(i, b) for i, b in bad.items() if i % 3 == 0]
+    got = U.judge(pages, {}, spark.createDataFrame(known, "page_id long, bad int")).collect()
+    blocked = [r["page_id"] for r in got if r["verdict"] == "block" and r["page_id"] % 3]
+    share = {}
+    for i, b in known:
+        share.setdefault(rows[i][0], []).append(b)
+    raw = [i for i in bad if i % 3 and rows[i][0] in share and sum(share[rows[i][0]]) / len(share[rows[i][0]]) >= 0.5]
+    clean = lambda ids: sum(1 - bad[i] for i in ids) / len(ids)
+    assert len(blocked) >= 20 and clean(blocked) < 0.75 * clean(raw)
+
+
 def test_suffix_and_domain(spark):
     names = ["a.b.co.uk", "x.example.com", "com", "co.uk", "b.co.uk", ""]
     got = spark.createDataFrame([(n,) for n in names], "h string").select(*[c.alias(n) for c, n in zip(U.suffix_and_domain(__import__("pyspark").sql.functions.col("h")), "sd", strict=True)]).collect()
