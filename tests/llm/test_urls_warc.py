@@ -126,3 +126,14 @@ def test_files_keep_the_records(spark, tmp_path):
     plain = lambda df: sorted(tuple("" if v is None else v for v in r) for r in df.select(names).collect())
     assert plain(back) == plain(records)
     assert plain(W.derive(back)) == plain(W.derive(sources))
+
+
+def test_a_page_is_searched_once_for_its_title(spark):
+    """Resolving references reads its text several times; what makes the text must not run as often."""
+    pages = spark.createDataFrame([(1, "u", "<title>a &amp;lt; b\t&#38;nbsp;</title>\r\n<p>x  y&copy;<br\r\n>&nbsp;z</p>")], "page_id long, url string, html string")
+    out = W.derive(W.responses(pages))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("<title") == 1 and plan.count("!--") == 1
+    blocks = {r["record_type"]: r["block"] for r in out.collect()}
+    assert "title: a &lt; b  \r\n" in blocks["metadata"]
+    assert blocks["conversion"] == "a &lt; b  \nx y©\n z"
