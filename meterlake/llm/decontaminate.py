@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import as_bytes, slices, staged
+from meterlake.llm.common import as_bytes, mapped, slices, staged
 
 # Bytes of words: 0-9, a-z and all of non-ASCII; A-Z become lower case, the rest separates.
 _FOLD = bytes(
@@ -96,7 +96,7 @@ def windows(benchmark: DataFrame, width: int, id_col: str, text_col: str) -> Dat
                     rows += [(b" ".join(w[i : i + width]), item) for i in range(max(1, len(w) - width + 1))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.string())], ["words", "item"])
 
-    return benchmark.select(F.col(id_col).cast("string"), text_col).mapInArrow(cut, WINDOW).distinct()
+    return mapped(benchmark.select(F.col(id_col).cast("string"), text_col), cut, WINDOW).distinct()
 
 
 def decontaminate(
@@ -183,7 +183,7 @@ def _searched(texts: DataFrame, table) -> DataFrame:
             )
 
     schema = T.StructType([*(texts.schema[c] for c in names), *HITS.fields])
-    return texts.mapInArrow(search, schema)
+    return mapped(texts, search, schema)
 
 
 def _merged(spans):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import slices, staged
+from meterlake.llm.common import mapped, slices, staged
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -61,7 +61,7 @@ def counts(examples: DataFrame) -> DataFrame:
             columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(list(rows.values()), pa.int64())], COUNTS.names)
 
-    return examples.mapInArrow(count, COUNTS).groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
+    return mapped(examples, count, COUNTS).groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
 
 
 def train(
@@ -193,7 +193,7 @@ def identify(
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in passed], *out], schema.names)
 
     schema = T.StructType([*[rows.schema[c] for c in passed], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    told = rows.mapInArrow(predict, schema)
+    told = mapped(rows, predict, schema)
     place = {text_col: "_text", id_col: "_id", **{c: f"_keep{i}" for i, c in enumerate(beside)}}
     kept = [F.struct(*[F.col(place[c]).alias(c) for c in dict.fromkeys(keep)]).alias("kept")] if keep else []
     return told.select(F.col("_id").alias(id_col), *kept, "lang_pred", "score")

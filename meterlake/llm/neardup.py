@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import U64, as_bytes, mixed, slices, staged
+from meterlake.llm.common import U64, as_bytes, mapped, mixed, slices, staged
 from meterlake.llm.components import components
 from meterlake.operators.joins import join_totals
 
@@ -115,7 +115,7 @@ def sketches(docs: DataFrame, width: int, percent: int, k: int, values: int) ->
                 ["_id", "_n", "_set", "_sketch", "_keys"],
             )
 
-    return docs.mapInArrow(sketch, SKETCHED)
+    return mapped(docs, sketch, SKETCHED)
 
 
 def near_duplicates(
@@ -216,7 +216,7 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
             sets = [made.of(t).view(SIGNED) for t in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["_id", "_hashes"])
 
-    return texts.select("_id", "_text").mapInArrow(hashed, "_id long, _hashes array<long>")
+    return mapped(texts.select("_id", "_text"), hashed, "_id long, _hashes array<long>")
 
 
 def _across(many: DataFrame, found: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame | None:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import slices
+from meterlake.llm.common import mapped, slices
 
 VOCABULARY = os.path.join(os.environ.get("TOKENIZERS", "/opt/tokenizers"), "byte_bpe_50k.tiktoken")
 
@@ -120,7 +120,7 @@ def scan(docs: DataFrame, vocabulary: str = VOCABULARY, ratio: float = 2.0, id_c
 
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     schema = T.StructType([docs.select(id_col).schema[0], T.StructField("spans", SPANS)])
-    return docs.select(id_col, text_col).mapInArrow(find, schema)
+    return mapped(docs.select(id_col, text_col), find, schema)
 
 
 def redact(docs: DataFrame, vocabulary: str = VOCABULARY, ratio: float = 2.0, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
@@ -135,7 +135,7 @@ def redact(docs: DataFrame, vocabulary: str = VOCABULARY, ratio: float = 2.0, ma
             columns = [pa.array(texts, c.type) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(clean, docs.schema)
+    return mapped(docs, clean, docs.schema)
 
 
 def _without(text: str, encode, ratio: float, mark: str) -> str:

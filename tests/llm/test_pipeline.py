@@ -78,3 +78,17 @@ def test_odd_rows(spark, docs, sf_dir):
     for _, stage in P.STAGES:
         none = P.staged(stage(spark, none, sf_dir), "none")
     assert none.count() == 0
+
+
+def test_texts_travel_in_batches_bounded_by_bytes(spark):
+    import pyarrow as pa
+
+    from meterlake.llm.common import BATCH_BYTES, mapped
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    rows = spark.range(0, 8000, 1, 1).selectExpr("repeat('long text ', 500) AS text")
+    found = [r["n"] for r in mapped(rows, sizes, "n long").collect()]
+    assert sum(found) > 40_000_000 and max(found) < 1.1 * BATCH_BYTES
