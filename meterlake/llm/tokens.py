@@ -54,9 +54,22 @@ class Merges:
             self.ranks.setdefault((a, b), rank)
             self.parts.setdefault(a + b, (a, b))
         self.tokens = set(map(raw, model["vocab"]))
-        self.endings = {t[i:] for t in self.tokens for i in range(len(t))}
         self.ends: dict[bytes, tuple[list, list] | None] = {}
-        self.apart: dict[tuple[bytes, bytes], bool] = {}
+        # Tokens read from their ends: node and byte before -> node, and the token that a node spells.
+        self.steps: dict[int, int] = {}
+        self.spelled: list[bytes | None] = [None]
+        for token in self.tokens:
+            node = 0
+            for byte in reversed(token):
+                key = node << 8 | byte
+                node = self.steps.get(key)
+                if node is None:
+                    node = self.steps[key] = len(self.spelled)
+                    self.spelled.append(None)
+            self.spelled[node] = token
+        # Of the token of a node, once it was met: whether it stays apart from the token of another; False if the merges never make it.
+        self.apart: list[dict[int, bool] | bool | None] = [False if token is None else None for token in self.spelled]
+        self.known = 0
 
     def encode(self, word: bytes) -> list[bytes]:
         """The merges applied to a few bytes, lowest rank first, leftmost first."""
@@ -94,17 +107,27 @@ class Merges:
 
         A merge of the same rank further left goes first, so the left part must be there longer.
         """
-        known = self.apart.get((a, b))
-        if known is None:
-            if len(self.apart) > 1 << 20:
-                self.apart.clear()
-            ranks = self.ranks
-            known = not any(
-                (rank := ranks.get((x, y))) is not None and rank < x_until and rank <= y_until
-                for x, x_until in self.edges(a)[0] for y, y_until in self.edges(b)[1]
-            )
-            self.apart[a, b] = known
-        return known
+        ranks = self.ranks
+        return not any(
+            (rank := ranks.get((x, y))) is not None and rank < x_until and rank <= y_until
+            for x, x_until in self.edges(a)[0] for y, y_until in self.edges(b)[1]
+        )
+
+    def meet(self, node: int) -> dict[int, bool] | bool:
+        """The answers known for the token of a node met for the first time; False if the merges never make it."""
+        self.apart[node] = {} if self.edges(self.spelled[node]) else False
+        return self.apart[node]
+
+    def learn(self, before: int, node: int) -> bool:
+        """Whether the tokens of two nodes stay apart, kept for the next time up to a bound."""
+        if self.known > 1 << 20:
+            for answers in self.apart:
+                if answers:
+                    answers.clear()
+            self.known = 0
+        self.known += 1
+        fits = self.apart[node][before] = self.stay_apart(self.spelled[before], self.spelled[node])
+        return fits
 
     def prefix_counts(self, piece: bytes) -> list[int]:
         """Tokens of piece[:i] for i from 0 to its length, by dynamic programming.
@@ -113,25 +136,31 @@ class Merges:
         apart, and each prefix has one. So of the tokens ending at i, one fits
         the last token of the prefix before it, and the count is one more.
         """
-        counts, lengths = [0], [0]
-        endings, ends, apart = self.endings, self.ends, self.apart
+        counts, last = [0], [0]
+        step, apart = self.steps.get, self.apart
         for end in range(1, len(piece) + 1):
-            for at in range(end - 1, -1, -1):
-                token = piece[at:end]
-                if token not in endings:
-                    raise ValueError(f"no token of the vocabulary ends at byte {end} of {piece[:40]!r}")
-                if token in ends and not ends[token] or token not in ends and not self.edges(token):
+            node, at = 0, end
+            while at:
+                at -= 1
+                node = step(node << 8 | piece[at])
+                if node is None:
+                    break
+                answers = apart[node]
+                if answers is False:
+                    continue
+                if answers is None and self.meet(node) is False:
                     continue
                 if not at:
                     break
-                before = piece[at - lengths[at] : at]
-                fits = apart.get((before, token))
-                if fits or fits is None and self.stay_apart(before, token):
+                fits = apart[node].get(last[at])
+                if fits or fits is None and self.learn(last[at], node):
                     break
             else:
+                node = None
+            if node is None:
                 raise ValueError(f"no token of the vocabulary ends at byte {end} of {piece[:40]!r}")
             counts.append(counts[at] + 1)
-            lengths.append(end - at)
+            last.append(node)
         return counts
 
 

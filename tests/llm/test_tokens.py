@@ -84,3 +84,25 @@ def test_budget_is_spent_to_the_token(spark):
     assert sum(r.taken < r.n_tokens for r in out) <= 1
     assert K.budget(counted, 10**9).agg(F.sum("taken")).first()[0] == counted.agg(F.sum("n_tokens")).first()[0]
     assert K.budget(counted.limit(0), 10).count() == 0
+
+
+def test_a_token_is_looked_up_by_its_last_bytes():
+    """A step to the left costs one lookup, and what is known of two neighbours is kept up to a bound."""
+    merges = K.Counter(K.vocabulary_path()).merges
+    piece = " uncharacteristically-größer".encode()
+    expected = [0, *[len(merges.encode(piece[:i])) for i in range(1, len(piece) + 1)]]
+    asked, steps = [], merges.steps
+
+    class Steps(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return steps.get(key, default)
+
+    merges.steps = Steps()
+    assert merges.prefix_counts(piece) == expected
+    longest = max(map(len, merges.tokens))
+    assert len(piece) <= len(asked) <= len(piece) * longest
+    merges.known = (1 << 20) + 1
+    merges.meet(steps[ord("a")])
+    assert merges.learn(steps[ord("q")], steps[ord("a")]) in (True, False) and merges.known == 1
+    assert merges.prefix_counts(piece) == expected
