@@ -77,11 +77,13 @@ def activity_rows(raw: DataFrame) -> DataFrame:
     ``has_user`` is false for them; ``app_usage_rows`` and ``skipped_rows``
     take one side each, so nothing is lost silently.
     """
-    parsed = raw.select(
-        "*",
+    literals = F.struct(
         parse_literal("actor_info", _ACTOR).alias("actor"),
         parse_literal("entity_info", _ENTITY).alias("entity"),
+        literal_to_json("event_info").alias("event_json"),
     )
+    # Through a generator, which filters on what it yields stay above: otherwise each would parse again.
+    parsed = raw.select("*", F.inline(F.array(literals)))
     email = F.col("actor.metadata.email_address")
     return parsed.select(
         iso_timestamp("created_at").alias("activity_timestamp"),
@@ -90,7 +92,7 @@ def activity_rows(raw: DataFrame) -> DataFrame:
         F.col("actor.name").alias("user_name"),
         F.col("actor.uuid").alias("user_uuid"),
         F.col("event").alias("event_type"),
-        literal_to_json("event_info").alias("event_info"),
+        F.col("event_json").alias("event_info"),
         F.col("entity.type").alias("entity_type"),
         F.col("entity.uuid").alias("entity_uuid"),
         F.when(F.col("entity.type") == "chat_conversation", F.col("entity.uuid")).alias("conversation_uuid"),

@@ -5,6 +5,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterlake.functions.text import literal_to_json, parse_literal
 from meterlake.sources import csv_exports as X
@@ -187,3 +188,29 @@ def test_read_parquet_fills_columns_added_later(spark, tmp_path):
     ).write.parquet(str(tmp_path / "c"))
     (r,) = read_parquet(spark, str(tmp_path / "c"), "vw_combined_daily_costs", "2025-10-01", "2025-10-01").collect()
     assert (r.provider, r.model) == ("cursor", None)
+
+
+def test_literals_without_escapes(spark, monkeypatch):
+    """Whole-text patterns give what the tokens give, whatever stands inside and outside of strings."""
+    import random
+
+    from meterlake.functions import text as TX
+
+    rng = random.Random(5)
+    parts = ["'", "'", '"', '"', "None", "True", "False", "N", "T", "x", "_", "é", "(", ")", "[", "]", "{", "}", ", ", ",", ":", " ", "\n", "\\", "\\'", "1"]
+    strings = ["'a'", "'None'", '"it\'s (None, )"', "'(True,)'", "''", '""', "'é,]'", "'a\"b'", "'a\\'b'"]
+    texts = ["".join(rng.choices(parts + 3 * strings, k=rng.randrange(1, 14))) for _ in range(6000)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(TX.python_literal_to_json("t")).collect()]
+    plain = df.where(F.col("t").rlike(TX._PLAIN)).count()
+    monkeypatch.setattr(TX, "_PLAIN", "(?!)")
+    assert got == [r[0] for r in df.select(TX.python_literal_to_json("t")).collect()]
+    assert 1500 < plain < 5500
+
+
+def test_activity_parses_each_literal_once(spark, sf_dir):
+    """The filter on the parsed e-mail and the test for empty JSON used to parse again."""
+    from meterlake.queries.sources import app_log_transform
+
+    plan = app_log_transform(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 3 and plan.count("from_json(") == 2
