@@ -101,9 +101,14 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, values: dict[str, str]) -
     Reducing the dimension to one row per key first keeps the fact grain. A
     dimension that Catalyst knows to be small is broadcast, so that the facts
     are not shuffled; for a larger one AQE splits the partitions of hot keys.
+    Facts without a key match nothing and are spread by a hash of their other
+    columns: as one key they would all go to one task.
     """
-    one = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(c).alias(a) for a, c in values.items()])
-    return facts.join(one, key, "left").select(*facts.columns, *values)
+    rest = [c for c in facts.columns if c != key]
+    # An aggregate, as a plain 0 would make the second key a filter and not part of the join.
+    one = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.lit(0).cast("bigint")).alias(SALT), *[F.min(c).alias(a) for a, c in values.items()])
+    spread = facts.withColumn(SALT, F.when(F.col(key).isNull(), F.xxhash64(*rest) if rest else F.lit(0)).otherwise(0).cast("bigint"))
+    return spread.join(one, [key, SALT], "left").select(*facts.columns, *values)
 
 
 def anti_join(spine: DataFrame, df: DataFrame, spine_col: str, col: str) -> DataFrame:

@@ -61,6 +61,29 @@ def test_small_dimension_does_not_shuffle_the_facts(spark, tmp_path):
     assert small.filter("k = 'hot'").distinct().count() == 500 and {r.user for r in small.filter("k = 'hot'").collect()} == {"a"}
 
 
+def test_facts_without_a_key_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from meterlake.operators.joins import lookup
+
+    facts = spark.range(8000).selectExpr("IF(id % 4 = 0, CONCAT('k', id), NULL) AS k", "id AS v")
+    dim = spark.range(8000).selectExpr("IF(id = 4, NULL, CONCAT('k', id)) AS k", "CONCAT('u', id) AS u")
+    names = ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n, v in zip(names, ("false", "-1")):
+            spark.conf.set(n, v)
+        out = lookup(facts, dim, "k", {"user": "u"})
+        parts = [r["count"] for r in out.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        got = out.collect()
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    assert sum(parts) == 6000 and max(parts) < 2 * 6000 / 8
+    assert len(got) == 8000 and {r.user for r in got if r.k is None or r.k == "k4"} == {None}
+    assert all(r.user == f"u{r.v}" for r in got if r.k is not None and r.k != "k4")
+
+
 def test_building_plans_starts_no_job(spark):
     from meterlake.operators import joins as J
     from meterlake.operators.aggregates import global_rank
