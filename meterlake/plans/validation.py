@@ -14,7 +14,7 @@ from meterlake.functions.numbers import count_big, percent, rate, safe_divide
 from meterlake.functions.text import string_agg_distinct
 from meterlake.operators.aggregates import top_k, union_all
 from meterlake.operators.filters import any_violation, between_dates, trailing
-from meterlake.operators.joins import anti_join, presence
+from meterlake.operators.joins import SALT, anti_join, presence
 from meterlake.sources.tables import columns_of, matching_columns
 
 PASS, FAIL, WARN = "PASS", "FAIL", "WARNING"
@@ -618,11 +618,26 @@ def unmapped_keys(fct: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
     return out.orderBy(F.col("usage_count").desc(), "api_key_id", "platform")
 
 
+def _by_user(rows: DataFrame, **flags: Column) -> DataFrame:
+    """Rows per day, platform and user (``n``), and for how many of them each flag holds.
+
+    A task that computes the fact should not also hold a table of its users:
+    rows go to their users first, in as many partitions as the session has
+    for shuffles, which AQE does not merge. Rows without a user are spread over
+    sub-keys and so are several rows of the result.
+    """
+    parts, keys = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["usage_date", "platform", "user_email", SALT]
+    salt = F.when(F.col("user_email").isNull(), F.pmod(F.xxhash64("api_key_id", "model"), F.lit(parts))).otherwise(0)
+    placed = rows.select("usage_date", "platform", "user_email", salt.alias(SALT), *[c.alias(name) for name, c in flags.items()])
+    return placed.repartition(parts, *keys).groupBy(*keys).agg(count_big().alias("n"), *[count_big(F.col(name)).alias(name) for name in flags])
+
+
 def attribution_rate(fct: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
-    out = trailing(fct, "usage_date", days, as_of).groupBy("usage_date", "platform").agg(
-        count_big().alias("total_records"),
-        F.countDistinct("user_email").alias("unique_users"),
-        F.round(rate(F.col("user_email").isNotNull()), 6).alias("attribution_rate"),
+    known = F.sum(F.when(F.col("user_email").isNotNull(), F.col("n")).otherwise(0))
+    out = _by_user(trailing(fct, "usage_date", days, as_of)).groupBy("usage_date", "platform").agg(
+        F.sum("n").alias("total_records"),
+        F.count("user_email").alias("unique_users"),
+        F.round(safe_divide(known, F.sum("n")), 6).alias("attribution_rate"),
     )
     return out.orderBy(F.col("usage_date").desc(), "platform")
 
@@ -649,10 +664,10 @@ def usage_anomalies(fct: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
 
 def anomaly_counts(fct: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
     negative = (F.col("input_tokens") < 0) | (F.col("output_tokens") < 0)
-    out = trailing(fct, "usage_date", days, as_of).groupBy("usage_date", "platform").agg(
-        count_big().alias("record_count"),
-        count_big(negative).alias("negative_values"),
-        F.countDistinct("user_email").alias("unique_users"),
+    out = _by_user(trailing(fct, "usage_date", days, as_of), negative=negative).groupBy("usage_date", "platform").agg(
+        F.sum("n").alias("record_count"),
+        F.sum("negative").alias("negative_values"),
+        F.count("user_email").alias("unique_users"),
     )
     return out.orderBy(F.col("usage_date").desc())
 

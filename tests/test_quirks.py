@@ -394,3 +394,23 @@ def test_elapsed_is_an_interval(spark):
 
     row = spark.sql("SELECT TIMESTAMP'2025-01-01 10:00:00' AS a, TIMESTAMP'2025-01-02 11:30:00' AS b").select(elapsed(F.col("a"), F.col("b")).alias("e")).first()
     assert row.e == dt.timedelta(days=1, hours=1, minutes=30)
+
+
+def test_users_by_day_are_held_in_all_shuffle_partitions(spark):
+    """The fact's tasks hold no table of users beside their own; rows without a user do not meet in one task."""
+    import datetime as dt
+
+    from executed import final_plan
+
+    from meterlake.plans import validation as V
+
+    d = dt.date(2025, 1, 1)
+    none = [(d, "a", None, f"k{i}", "m", 1 - i % 3, 0) for i in range(400)]
+    fct = spark.createDataFrame(none + [(d, "a", f"u{i % 50}", "k", f"m{i}", 1, -(i % 2)) for i in range(100)],
+                                "usage_date date, platform string, user_email string, api_key_id string, model string, input_tokens bigint, output_tokens bigint")
+    users = V._by_user(fct)
+    parts = [r["count"] for r in users.where("user_email IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(parts) > 4
+    assert [tuple(r) for r in V.attribution_rate(fct, d).collect()] == [(d, "a", 500, 50, 0.2)]
+    assert [tuple(r) for r in V.anomaly_counts(fct, d).collect()] == [(d, "a", 500, 133 + 50, 50)]
+    assert "REPARTITION_BY_NUM" in final_plan(V.anomaly_counts(fct, d))
