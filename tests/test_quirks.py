@@ -414,3 +414,12 @@ def test_users_by_day_are_held_in_all_shuffle_partitions(spark):
     assert [tuple(r) for r in V.attribution_rate(fct, d).collect()] == [(d, "a", 500, 50, 0.2)]
     assert [tuple(r) for r in V.anomaly_counts(fct, d).collect()] == [(d, "a", 500, 133 + 50, 50)]
     assert "REPARTITION_BY_NUM" in final_plan(V.anomaly_counts(fct, d))
+
+
+def test_daily_productivity_adds_up_once(spark, sf_dir):
+    """By day nothing is left to fold: one table of users and days a task, not one of days and two of periods."""
+    from meterlake.queries import all_queries
+
+    plan = all_queries()["productivity_metrics_daily"].run(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    by_user = [line for line in plan if "Aggregate [" in line and "user_email" in line.split("],")[0]]
+    assert len(by_user) == sum("Relation [" in line for line in plan) > 0
