@@ -86,7 +86,8 @@ def append_new(store: Loads, table: str, rows: DataFrame, on: list[str], load: s
             stored = store.read_days(table, days).select(*[F.col(c).alias(f"_s_{c}") for c in on])
             again = checkpointed(maybe.join(stored, _same(on), "left_semi"))
         again = again.select(*[F.col(c).alias(f"_s_{c}") for c in on])
-        new = rows.join(again, _same(on), "left_anti") if days else rows
+        # Kept, as it is read three times: for the table, the sizes of its filters and their bits.
+        new = checkpointed(rows.join(again, _same(on), "left_anti")) if days else rows
         changes = {table: Change(new, append=True), table + SEEN: Change(filters(new, day, on, load), append=True)}
         if days:
             refused = rows.join(again, _same(on), "left_semi")

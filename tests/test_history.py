@@ -98,3 +98,14 @@ def test_days_stored_another_way_are_indexed(spark, store):
     index(store, NAME, KEY)
     append_new(store, NAME, frame(spark, ("2025-10-01", "a", "v"), ("2025-10-02", "a", "v")), KEY)
     assert ids(store.read(NAME)) == [("01", "a", "u"), ("02", "a", "v"), ("02", "b", "u")]
+
+
+def test_new_rows_are_found_once(spark, tmp_path, monkeypatch):
+    """The table and its filters read the kept new rows; the comparison with the stored ones is not run for each of them."""
+    store = Loads(spark, str(tmp_path / "lake"))
+    append_new(store, NAME, frame(spark, ("2025-10-01", "a", "u"), ("2025-10-02", "b", "u")), KEY)
+    plans, commit = [], Loads.commit
+    monkeypatch.setattr(Loads, "commit", lambda self, changes, *a, **k: plans.append({t: c.rows._jdf.queryExecution().optimizedPlan().toString() for t, c in changes.items()}) or commit(self, changes, *a, **k))
+    append_new(store, NAME, frame(spark, ("2025-10-01", "a", "v"), ("2025-10-01", "c", "v")), KEY)
+    assert len(plans) == 1 and not any("LeftAnti" in p for p in plans[0].values())
+    assert store.read(NAME).count() == 3 and store.read(NAME + "_rejected").count() == 1
