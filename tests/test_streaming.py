@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from meterlake.sources import json_reports as R
 from meterlake.streaming import ingest as ST
 
@@ -85,3 +87,53 @@ def test_repeated_and_broken_pages(spark, tmp_path):
     land(src, "g.json", "2025-10-02", 300)
     (src / "h.json").write_text((src / "g.json").read_text().replace("\n", ""))  # the same page, written otherwise
     assert run() == ([1.0, 2.0, 3.0], ["e.json", "f.json"])
+
+
+def lines(path, name, *texts):
+    (path / name).write_text("\n".join(texts) + "\n")
+
+
+def a_page(amount):
+    return json.dumps({"data": [{"starting_at": "2025-10-01T00:00:00Z", "results": [{"amount": str(amount), "model": "m"}]}]})
+
+
+def test_a_page_is_parsed_once_and_whole_files_are_not_read_again(spark, tmp_path, monkeypatch):
+    src, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src.mkdir()
+    runs, run = [], ST._run
+    monkeypatch.setattr(ST, "_run", lambda *a: runs.append(run(*a)) or runs[-1])
+    lines(src, "a b.json", *(a_page(100 * i) for i in range(50)))
+    lines(src, "c.json", a_page(100), '{"data": [', "  ", a_page(9900), '[{"data": []}]')
+    ST.ingest_stream(spark, str(src), out, ckpt, R.COST_PAGE, lambda pages: R.cost_rows(pages, "org"), None, False)
+    assert sorted(float(r.amount_usd) for r in spark.read.parquet(out).collect()) == [*map(float, range(50)), 99.0]
+    broken = spark.read.schema("file string, raw string, digest string").parquet(f"{out}_broken").collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.raw) for r in broken) == [("c.json", '[{"data": []}]'), ("c.json", '{"data": [')]
+    assert [sum(p.numInputRows for p in q.recentProgress) for q in runs] == [55, 5]
+    assert runs[0]._jsq.explainInternal(False).count("from_json(") == 1
+
+
+def test_broken_pages_of_a_run_that_failed_between_its_queries(spark, tmp_path, monkeypatch):
+    src, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src.mkdir()
+    run = ST._run
+
+    def load():
+        ST.ingest_stream(spark, str(src), out, ckpt, R.COST_PAGE, lambda pages: R.cost_rows(pages, "org"), None, False)
+
+    def fails(frame, path, *rest):
+        if path.endswith("_broken"):
+            raise RuntimeError("stopped")
+        return run(frame, path, *rest)
+
+    lines(src, "a.json", a_page(100), "{")
+    monkeypatch.setattr(ST, "_run", fails)
+    with pytest.raises(RuntimeError):
+        load()
+    monkeypatch.setattr(ST, "_run", run)
+    lines(src, "b.json", a_page(200))
+    lines(src, "c.json", "{x")
+    load()
+    load()
+    assert sorted(float(r.amount_usd) for r in spark.read.parquet(out).collect()) == [1.0, 2.0]
+    broken = spark.read.schema("file string, raw string, digest string").parquet(f"{out}_broken").collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.raw) for r in broken) == [("a.json", "{"), ("c.json", "{x")]
