@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import staged
+from meterlake.llm.common import narrow_broadcasts, staged
 
 
+@narrow_broadcasts
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of every node of ``links`` (a, b); component is the smallest node reachable.
 
@@ -16,7 +17,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     round at least halves the nodes that still have links, so rounds and
     doublings grow with the logarithm of the graph. Hubs cost nothing extra:
     minima combine before the shuffle, and joins to labels have one row per
-    node on one side, so that AQE can split the other. No links, no rows.
+    node on one side, so that AQE can split the other. The driver gets no side
+    of more than 256 KB to broadcast. No links, no rows.
     """
     edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     labels = None

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import U64, as_bytes, mapped, mixed, slices, staged
+from meterlake.llm.common import U64, as_bytes, mapped, mixed, narrow_broadcasts, slices, staged
 from meterlake.llm.components import components
 from meterlake.operators.joins import join_totals
 
@@ -118,6 +118,7 @@ def sketches(docs: DataFrame, width: int, percent: int, k: int, values: int) ->
     return mapped(docs, sketch, SKETCHED)
 
 
+@narrow_broadcasts
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -197,7 +198,8 @@ def near_duplicates(
     classes = kinds.join(found.select(F.col("node").alias("_rep"), "component"), "_rep", "left").select("_set", F.coalesce("component", "_rep").alias("_component"))
     out = made.select("_id", "_n", "_set").join(classes, "_set", "left")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("_component", "_id"))
-    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
+    out = out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
+    return staged(out, "classes")
 
 
 def _likely(similarity: float, k: int, least: int):

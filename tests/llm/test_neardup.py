@@ -4,8 +4,11 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from meterlake.llm import common
 from meterlake.llm import components as C
 from meterlake.llm import neardup as N
 
@@ -108,3 +111,46 @@ def test_both_filters_together_stay_below_the_chance(similarity):
     fewer = lambda n: sum(math.comb(64, i) * similarity**i * (1 - similarity) ** (64 - i) for i in range(n))
     assert N.missed(similarity, values) + fewer(least) < 1e-6 <= N.missed(similarity, values) + fewer(least + 1)
     assert fewer(math.ceil(64 * similarity - 5 * (64 * similarity * (1 - similarity)) ** 0.5)) > 1e-6  # five deviations are too few
+
+
+def plans_since(spark, last):
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    found = [runs.apply(i) for i in range(runs.size())]
+    return [r.physicalPlanDescription() for r in found if r.executionId() > last], max((r.executionId() for r in found), default=-1)
+
+
+def test_large_tables_are_not_broadcast(spark):
+    """150,000 links are 2 MB as a file, under Spark's 10 MB, and 300,000 rows on the driver."""
+    ids = np.random.default_rng(5).choice(2**60, (150_000, 2))
+    links = common.staged(spark.createDataFrame(pd.DataFrame(ids, columns=["a", "b"])), "links")
+    _, last = plans_since(spark, -1)
+    found = C.components(links)
+    plans, _ = plans_since(spark, last)
+    assert plans and not any("BroadcastExchange" in p for p in plans)
+    assert found.count() == 300_000 and found.agg(F.sum((F.col("node") == F.col("component")).cast("int"))).first()[0] == 150_000
+    few = spark.range(10).withColumnRenamed("id", "node")
+    for side, sent in ((found.select("node"), False), (found.where("node < 0").select("node"), True)):
+        assert ("Broadcast" in few.join(common.beside(side), "node", "left_anti")._jdf.queryExecution().executedPlan().toString()) == sent
+
+
+@pytest.mark.parametrize("own,inside", [("10m", common.BROADCAST_BYTES), ("10485760b", common.BROADCAST_BYTES), ("64k", "64k"), ("-1", "-1")])
+def test_the_driver_gets_no_large_side(spark, docs, monkeypatch, own, inside):
+    key, seen, staged = common.BROADCASTS[0], set(), N.staged
+    usual = spark.conf.get(key)
+    monkeypatch.setattr(N, "staged", lambda df, name: (seen.add(spark.conf.get(key)), staged(df, name))[1])
+    spark.conf.set(key, own)
+    try:
+        out = N.near_duplicates(docs([(1, "a b"), (2, "a b"), (3, "c d")]))
+        assert seen == {str(inside)} and spark.conf.get(key) == own
+        assert {r["doc_id"]: r["kept"] for r in out.collect()} == {1: True, 2: False, 3: True}
+        with pytest.raises(ValueError):
+            common.narrow_broadcasts(lambda df: int("x"))(out)
+        assert spark.conf.get(key) == own
+    finally:
+        spark.conf.set(key, usual)
+
+
+def test_a_limit_that_was_not_set_is_not_set_after(spark):
+    own = spark.newSession().range(2)
+    inside = [common.narrow_broadcasts(lambda df: df.sparkSession.conf.get(k, None))(own) for k in common.BROADCASTS]
+    assert inside == [str(common.BROADCAST_BYTES), None] and [own.sparkSession.conf.get(k, None) for k in common.BROADCASTS] == [None, None]
