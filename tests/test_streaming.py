@@ -1,9 +1,13 @@
 """Streams run until caught up; a second run adds nothing."""
 
+import gzip
 import json
+import pathlib
+import time
 
 import pytest
 
+from meterlake.queries import sources as Q
 from meterlake.sources import json_reports as R
 from meterlake.streaming import ingest as ST
 
@@ -137,3 +141,45 @@ def test_broken_pages_of_a_run_that_failed_between_its_queries(spark, tmp_path,
     assert sorted(float(r.amount_usd) for r in spark.read.parquet(out).collect()) == [1.0, 2.0]
     broken = spark.read.schema("file string, raw string, digest string").parquet(f"{out}_broken").collect()
     assert sorted((r.file.rsplit("/", 1)[1], r.raw) for r in broken) == [("a.json", "{"), ("c.json", "{x")]
+
+
+def shuffles(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {p for d in dirs for p in pathlib.Path(d).rglob("shuffle_*")}
+
+
+def test_a_run_leaves_no_shuffle_files(spark, tmp_path):
+    src, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src.mkdir()
+    lines(src, "a.json", *(a_page(100 * i) for i in range(50)))
+    before, kept = shuffles(spark), spark.conf.get(ST.CLEANUP)
+    ST.ingest_stream(spark, str(src), out, ckpt, R.COST_PAGE, lambda pages: R.cost_rows(pages, "org"), None, False)
+    assert spark.conf.get(ST.CLEANUP) == kept
+    for _ in range(50):  # they are removed in the background
+        if not shuffles(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles(spark) - before
+
+
+def test_compressed_pages(spark, tmp_path):
+    src, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src.mkdir()
+    for name, texts in (("a.txt.gz", [a_page(100), "{", a_page(200)]), ("b.txt.gz", [a_page(200), a_page(300)])):
+        with gzip.open(src / name, "wt") as f:
+            f.write("\n".join(texts) + "\n")
+    lines(src, "c.json", a_page(300), a_page(400))
+    ST.ingest_stream(spark, str(src), out, ckpt, R.COST_PAGE, lambda pages: R.cost_rows(pages, "org"), None, False)
+    assert sorted(float(r.amount_usd) for r in spark.read.parquet(out).collect()) == [1.0, 2.0, 3.0, 4.0]
+    broken = spark.read.schema("file string, raw string, digest string").parquet(f"{out}_broken").collect()
+    assert [(r.file.rsplit("/", 1)[1], r.raw) for r in broken] == [("a.txt.gz", "{")]
+
+
+def test_the_query_lands_compressed_pages(spark, sf_dir, tmp_path, monkeypatch):
+    """A page is about 190 bytes of text; lineitem lands twice, with one page cut short."""
+    monkeypatch.setattr(Q, "shared_dir", lambda s, name: str(tmp_path / name))
+    days = Q.ingest_stream(spark, sf_dir).collect()
+    n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    landed = list((tmp_path / "ingest-in").glob("part-*"))
+    assert sum(r["rows"] for r in days) == n and spark.read.text(str(tmp_path / "ingest-in")).count() == 2 * n + 1
+    assert sum(p.stat().st_size for p in landed) < 2 * n * 40 and all(p.suffix == ".gz" for p in landed)
