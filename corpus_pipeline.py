@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate, language, mixing, neardup, secrets
-from meterlake.llm.common import staged
+from meterlake.llm.common import beside, staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +27,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: five words, similarity 0.8. Of rows with one id one stays."""
-    found = staged(neardup.near_duplicates(docs, width=5, percent=80), "classes")
-    out = docs.join(found.where("NOT kept").select("doc_id"), "doc_id", "left_anti")
+    found = neardup.near_duplicates(docs, width=5, percent=80)
+    out = docs.join(beside(found.where("NOT kept").select("doc_id")), "doc_id", "left_anti")
     again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.limit(1).count():
+        again = beside(again)
         once = out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         out = out.join(again, "doc_id", "left_anti").unionByName(once)
     return out.select(*docs.columns)

@@ -1,6 +1,7 @@
 import re
 
 import corpus_pipeline as P
+from meterlake.llm import common
 from test_decontaminate import brute as hit_words
 from test_neardup import brute as classes
 
@@ -92,3 +93,15 @@ def test_texts_travel_in_batches_bounded_by_bytes(spark):
     rows = spark.range(0, 8000, 1, 1).selectExpr("repeat('long text ', 500) AS text")
     found = [r["n"] for r in mapped(rows, sizes, "n long").collect()]
     assert sum(found) > 40_000_000 and max(found) < 1.1 * BATCH_BYTES
+
+
+def test_many_dropped_or_repeated_ids_are_not_broadcast(spark, docs, sf_dir, monkeypatch):
+    """Two dropped ids and one kept twice stand for more than 100,000 of each."""
+    rows = [(1, "a b c"), (2, "a b c"), (3, "a b c"), (4, "d e f"), (4, "d e f"), (5, "g h i"), (None, "a b c")]
+    table, plans = docs(rows).select("doc_id", "text", "lang", "source", "n_chars"), []
+    for most in (common.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+        out = P.near_duplicates(spark, table, sf_dir)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, "a b c"), (1, "a b c"), (4, "d e f"), (5, "g h i")]
+    assert "BroadcastHashJoin" in plans[0] and "Broadcast" not in plans[1]
